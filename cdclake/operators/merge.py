@@ -18,8 +18,9 @@ def merge_changes(
     Matched and deleted: row removed. Matched otherwise: row replaced. Unmatched and not
     deleted: row added. Unmatched delete, or a latest change without a code: nothing happens.
     Replacing every non-key column is the same as dropping the matched rows and adding the new
-    ones, so one anti join does it: a small change set is broadcast and the target is neither
-    shuffled nor sorted; a large one falls back to a join that shuffles the target once.
+    ones, so one anti join does it: a change set that Spark knows to be small (files below the
+    broadcast threshold) is broadcast and the target is neither shuffled nor sorted; any other is
+    joined by shuffling the target once.
     """
     latest = latest_per_key(changes, spec, seq_col).where(F.col(OP).isNotNull())
     untouched = target.join(latest.select(spec.pk), spec.pk, "left_anti")

@@ -38,7 +38,10 @@ class Lake:
 
     ``catalog`` is set when the lake sits in a V2 catalog with row-level commands; silver is then
     a table changed by MERGE. Otherwise silver is a set of Parquet snapshots behind a view.
-    ``state_buckets`` should give buckets of some hundred megabytes.
+    ``state_buckets`` should give buckets of some hundred megabytes. ``gold_by_day`` partitions the
+    marts by their day: always so in a V2 catalog, where a partition is cheap, and off by default
+    for Parquet, where it would mean one small directory and file per day; there the marts are
+    kept sorted by day, so that file statistics prune instead.
     """
 
     spark: SparkSession
@@ -48,6 +51,7 @@ class Lake:
     provider: str = "parquet"
     state_buckets: int = 8
     keep_versions: int = 2
+    gold_by_day: bool = False
 
     def namespace(self, layer: str) -> str:
         name = f"{self.prefix}{layer}"
@@ -112,7 +116,8 @@ def create_silver(lake: Lake, specs: Iterable[TableSpec] = tuple(ENTITIES.values
 
 def create_gold(lake: Lake) -> None:
     for mart, (schema, day) in MARTS.items():
-        _create(lake, lake.gold(mart), schema, day, "static")
+        by_day = lake.catalog or lake.gold_by_day
+        _create(lake, lake.gold(mart), schema, day if by_day else None, "static")
 
 
 def create_layers(lake: Lake, specs: Iterable[TableSpec] = tuple(ENTITIES.values())) -> None:
@@ -183,13 +188,20 @@ def _require_day_overwrite(lake: Lake, name: str) -> None:
 def refresh(lake: Lake, df: DataFrame, mart: str) -> None:
     """Replace the whole content of a gold table, days that are no longer produced included."""
     schema, day = MARTS[mart]
-    # insertInto goes by position, and a table lists its partition column last.
-    columns = [c for c in schema.fieldNames() if c != day] + [day]
-    rows = cluster_for_write(df.select(*columns), day)
     if lake.catalog:
-        rows.writeTo(lake.gold(mart)).overwrite(F.lit(True))
+        cluster_for_write(df.select(*schema.fieldNames()), day).writeTo(lake.gold(mart)).overwrite(
+            F.lit(True)
+        )
+        return
+    # insertInto goes by position, and a table lists its partition column last.
+    rows = df.select(*lake.scan(lake.gold(mart)).columns)
+    if lake.gold_by_day:
+        # A fixed number of writers: by size alone the many small days would all go to one task.
+        writers = int(lake.spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.repartition(writers, day).sortWithinPartitions(day)
     else:
-        rows.write.insertInto(lake.gold(mart), overwrite=True)
+        rows = cluster_for_write(rows, day)
+    rows.write.insertInto(lake.gold(mart), overwrite=True)
 
 
 def cluster_for_write(df: DataFrame, partition: str, *order: str) -> DataFrame:
