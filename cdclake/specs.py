@@ -50,9 +50,9 @@ class TableSpec:
     month_of: str | None = None
     not_null: tuple[str, ...] = ()
     unique: tuple[str, ...] = ()
-    domains: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    domains: Mapping[str, tuple[str, ...]] = field(default_factory=dict, hash=False)
     foreign_keys: tuple[ForeignKey, ...] = ()
-    defaults: Mapping[str, str] = field(default_factory=dict)
+    defaults: Mapping[str, str] = field(default_factory=dict, hash=False)
     version_column: str | None = None
     status_column: str | None = None
 
