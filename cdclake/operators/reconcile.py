@@ -107,20 +107,23 @@ def count_diff_by(
     A NULL value of ``key`` matches nothing and so gives one row per side, unless ``null_safe``.
     """
 
-    def counts(df: DataFrame, n: str, name: str) -> DataFrame:
+    def per_key(df: DataFrame, side: str) -> DataFrame:
         if day is not None:
             df = df.where(on_day(F.col(ts_col), day))
-        return df.groupBy(F.col(key).alias(name)).agg(F.count("*").alias(n))
-
-    s = counts(source, "src_cnt", "__skey")
-    t = counts(silver, "slv_cnt", "__tkey")
-    skey, tkey = F.col("__skey"), F.col("__tkey")
-    src, slv = coalesce_zero(F.col("src_cnt")), coalesce_zero(F.col("slv_cnt"))
-    return s.join(t, skey.eqNullSafe(tkey) if null_safe else skey == tkey, "full_outer").select(
-        F.coalesce(skey, tkey).alias(key),
-        src.alias("source_count"),
-        slv.alias("silver_count"),
-        (slv - src).alias("difference"),
+        counted = df.groupBy(key).agg(F.count("*").alias("rows"))
+        return counted.withColumnRenamed(key, "key").alias(side)
+
+    keys = F.col("source.key"), F.col("silver.key")
+    matched = keys[0].eqNullSafe(keys[1]) if null_safe else keys[0] == keys[1]
+    return (
+        per_key(source, "source")
+        .join(per_key(silver, "silver"), matched, "full_outer")
+        .select(
+            F.coalesce(*keys).alias(key),
+            coalesce_zero(F.col("source.rows")).alias("source_count"),
+            coalesce_zero(F.col("silver.rows")).alias("silver_count"),
+        )
+        .withColumn("difference", F.col("silver_count") - F.col("source_count"))
     )
 
 

@@ -153,6 +153,12 @@ def list_tables(lake: Lake, layers: Iterable[str] = LAYERS) -> DataFrame:
     return lake.spark.createDataFrame(names, "layer string, table_name string")
 
 
+def list_namespaces(lake: Lake) -> DataFrame:
+    """Every namespace of the lake's catalog."""
+    scope = f" IN {lake.catalog}" if lake.catalog else ""
+    return lake.spark.sql(f"SHOW NAMESPACES{scope}")
+
+
 # -- bronze and gold ----------------------------------------------------------------------------
 
 

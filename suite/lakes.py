@@ -46,12 +46,12 @@ def feed_files(spark: SparkSession, sf: str) -> str:
     return once(spark, sf, "feed", build)
 
 
-def pipeline(spark: SparkSession, sf: str) -> Lake:
+def loaded_lake(spark: SparkSession, sf: str) -> Lake:
     """Bronze, silver and gold after both days went through the jobs, day by day."""
 
     def build() -> Lake:
         root = feed_files(spark, sf)
-        lake = empty_lake(spark, "pipeline")
+        lake = empty_lake(spark, "loaded")
         create_layers(lake, b.SPECS.values())
         for day in (b.DAY_1, b.DAY_2):
             run_bronze(lake, root, day, specs=b.SPECS)
@@ -59,7 +59,7 @@ def pipeline(spark: SparkSession, sf: str) -> Lake:
         run_gold(lake, specs=b.SPECS)
         return lake
 
-    return once(spark, sf, "pipeline", build)
+    return once(spark, sf, "loaded", build)
 
 
 def user_files(spark: SparkSession, sf: str) -> str:

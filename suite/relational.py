@@ -81,13 +81,16 @@ def full_outer_compare(spark: SparkSession, sf: str) -> DataFrame:
     return count_diff_by(source, silver, "event_type", b.EVENT_DAY)
 
 
+_SEGMENTS = "(SELECT nullif(c_mktsegment, 'BUILDING') AS segment, c_acctbal >= 0 AS solvent FROM customer)"
+
+
 @query(
     "count_diff_by",
-    """SELECT coalesce(s.k, t.k) AS segment, coalesce(a, 0) AS source_count,
-      coalesce(c, 0) AS silver_count, coalesce(c, 0) - coalesce(a, 0) AS difference
-      FROM (SELECT nullif(c_mktsegment, 'BUILDING') AS k, count(*) AS a FROM customer GROUP BY k) s
-      FULL OUTER JOIN (SELECT nullif(c_mktsegment, 'BUILDING') AS k, count(*) AS c FROM customer
-        WHERE c_acctbal >= 0 GROUP BY k) t ON s.k = t.k""",
+    f"""SELECT segment, count(*) AS source_count, count(*) FILTER (solvent) AS silver_count,
+      count(*) FILTER (solvent) - count(*) AS difference
+      FROM {_SEGMENTS} WHERE segment IS NOT NULL GROUP BY segment
+      UNION ALL SELECT NULL, count(*), 0, -count(*) FROM {_SEGMENTS} WHERE segment IS NULL
+      UNION ALL SELECT NULL, 0, count(*), count(*) FROM {_SEGMENTS} WHERE segment IS NULL AND solvent""",
 )
 def diff_with_null_key(spark: SparkSession, sf: str) -> DataFrame:
     """A NULL key gives one row per side."""

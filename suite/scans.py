@@ -27,7 +27,7 @@ from cdclake.sources.lake import (
 from cdclake.specs import MARTS
 from suite import bindings as b
 from suite import jobs
-from suite.lakes import empty_lake, pipeline, plain, user_files
+from suite.lakes import empty_lake, loaded_lake, plain, user_files
 from suite.registry import query
 
 
@@ -57,7 +57,7 @@ _INGESTED = " UNION ALL ".join(
 
 @query("ingest_all_tables", _INGESTED)
 def ingest_all_tables(spark: SparkSession, sf: str) -> DataFrame:
-    return _bronze_counts(pipeline(spark, sf))
+    return _bronze_counts(loaded_lake(spark, sf))
 
 
 def _loaded_twice(spark: SparkSession, sf: str, label: str, idempotent: bool) -> DataFrame:
@@ -90,7 +90,7 @@ def replace_day(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("scan_table", f"SELECT * FROM {b.SILVER['pnr_records']}")
 def scan_table(spark: SparkSession, sf: str) -> DataFrame:
-    lake = pipeline(spark, sf)
+    lake = loaded_lake(spark, sf)
     return plain(lake.scan(lake.silver(b.SPECS["pnr_records"])))
 
 
@@ -102,7 +102,7 @@ def scan_table(spark: SparkSession, sf: str) -> DataFrame:
 )
 def register_views(spark: SparkSession, sf: str) -> DataFrame:
     spec = b.SPECS["pnr_records"]
-    silver = scan_silver(pipeline(spark, sf), spec)
+    silver = scan_silver(loaded_lake(spark, sf), spec)
     source_view, silver_view = register_pair(spec, b.pnr_records(spark, sf), silver)
     return spark.sql(
         f"""SELECT s.booking_status AS source_status, t.booking_status AS silver_status,
@@ -135,7 +135,7 @@ def overwrite_sink(spark: SparkSession, sf: str) -> DataFrame:
     lake = empty_lake(spark, "overwrite")
     create_layers(lake, [])
     refresh(lake, marts.daily_booking_summary(b.pnr_records(spark, sf)), "daily_booking_summary")
-    silver = scan_silver(pipeline(spark, sf), b.SPECS["pnr_records"])
+    silver = scan_silver(loaded_lake(spark, sf), b.SPECS["pnr_records"])
     refresh(lake, marts.daily_booking_summary(silver), "daily_booking_summary")
     return lake.scan(lake.gold("daily_booking_summary"))
 
@@ -186,19 +186,19 @@ _GOLD_SQL = _census_sql(
 
 @query("create_bronze_tables", _BRONZE_SQL)
 def bronze_tables(spark: SparkSession, sf: str) -> DataFrame:
-    lake = pipeline(spark, sf)
+    lake = loaded_lake(spark, sf)
     return _census(lake, "bronze", {n: lake.bronze(s) for n, s in b.SPECS.items()})
 
 
 @query("create_silver_tables", _SILVER_SQL)
 def silver_tables(spark: SparkSession, sf: str) -> DataFrame:
-    lake = pipeline(spark, sf)
+    lake = loaded_lake(spark, sf)
     return _census(lake, "silver", {s.silver_name: lake.silver(s) for s in b.SPECS.values()})
 
 
 @query("create_gold_tables", _GOLD_SQL)
 def gold_tables(spark: SparkSession, sf: str) -> DataFrame:
-    lake = pipeline(spark, sf)
+    lake = loaded_lake(spark, sf)
     return _census(lake, "gold", {m: lake.gold(m) for m in MARTS})
 
 
@@ -208,7 +208,7 @@ def gold_tables(spark: SparkSession, sf: str) -> DataFrame:
 )
 def list_catalog(spark: SparkSession, sf: str) -> DataFrame:
     """Every table the catalog lists for readers, with its row count."""
-    lake = pipeline(spark, sf)
+    lake = loaded_lake(spark, sf)
     listed = list_tables(lake).collect()
     return union_all(
         _census(lake, r.layer, {r.table_name: lake.table(r.layer, r.table_name)}) for r in listed
@@ -286,7 +286,7 @@ def evolving_scan(spark: SparkSession, sf: str) -> DataFrame:
       GROUP BY booking_channel""",
 )
 def sql_surface(spark: SparkSession, sf: str) -> DataFrame:
-    lake = pipeline(spark, sf)
+    lake = loaded_lake(spark, sf)
     return spark.sql(
         f"""SELECT booking_channel, sum(total_bookings) AS bookings,
         count(DISTINCT booking_date) AS active_days

@@ -102,3 +102,12 @@ def test_gold_jobs_cover_the_marts():
     from cdclake.specs import MARTS
 
     assert list(jobs.MART_JOBS) == list(MARTS)
+
+
+def test_shuffle_width_follows_the_data():
+    from cdclake.plans.session import settings
+
+    def width(n):
+        return int(settings(n, cores=16)["spark.sql.shuffle.partitions"])
+
+    assert [width(n) for n in (0, 192 * 1024**2 * 100, 10**15)] == [16, 100, 40_000]

@@ -16,6 +16,7 @@ def on(df, day):
 def test_layers_have_the_declared_tables(spark, lake):
     lk.create_layers(lake)
     lk.create_layers(lake)  # again: nothing to do
+    assert {lake.namespace(x) for x in lk.LAYERS} <= {r[0] for r in rows(lk.list_namespaces(lake))}
     listed = rows(lk.list_tables(lake))
     assert listed == sorted(
         [("bronze", n) for n in ENTITIES]
