@@ -35,7 +35,11 @@ def as_state(changes: DataFrame, spec: TableSpec, seq_col: str | None = None) ->
 
 
 def merge_state(
-    state: DataFrame, changes: DataFrame, spec: TableSpec, seq_col: str | None = None
+    state: DataFrame,
+    changes: DataFrame,
+    spec: TableSpec,
+    seq_col: str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Fold changes into a state that remembers, per key, the change that produced it.
 
@@ -44,11 +48,14 @@ def merge_state(
     cannot bring a key back; :func:`current_rows` hides them. Hence replaying, reordering or
     splitting the changes leads to the same state.
 
-    Both sides hold one row per key at the join, so it cannot fan out or skew. A state stored
-    bucketed by key is read in place; only the changes are shuffled to its buckets.
+    Both sides hold one row per key at the join, so it cannot fan out or skew. If the state is
+    stored in ``buckets`` by key, it is read in place and only the latest changes are moved to
+    its buckets, however many partitions a shuffle otherwise has.
     """
     columns = state.columns
     latest = latest_per_key(as_state(changes, spec, seq_col), spec, seq_col)
+    if buckets:
+        latest = latest.repartition(buckets, spec.pk)
     old = state.select(spec.pk, F.struct(*columns).alias("__old"))
     new = latest.select(spec.pk, F.struct(*columns).alias("__new"))
     age_old = F.struct(*precedence(spec, columns, "__old.", seq_col))

@@ -30,6 +30,7 @@ from cdclake.sources.lake import (
     create_gold,
     fresh_dir,
     refresh,
+    register_pair,
     scan_silver,
 )
 from cdclake.specs import ENTITIES, EVENT_DATE, TableSpec
@@ -181,6 +182,28 @@ def snapshot(lake: Lake, df: DataFrame, label: str) -> DataFrame:
     return lake.spark.read.parquet(path)
 
 
+def load_pairs(
+    lake: Lake,
+    read_source: Callable[[TableSpec], DataFrame],
+    specs: Specs = ENTITIES,
+    materialize: bool = True,
+) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """(source, silver) of every table, also registered as ``src_<table>`` and ``slv_<table>``.
+
+    ``read_source`` gives the source table, usually by JDBC; ``materialize`` copies it to files
+    once, as several checks read it.
+    """
+    pairs = {}
+    for name, spec in specs.items():
+        source = read_source(spec)
+        if materialize:
+            source = snapshot(lake, source, name)
+        silver = scan_silver(lake, spec)
+        register_pair(spec, source, silver)
+        pairs[name] = (source, silver)
+    return pairs
+
+
 def run_reconciliation(
     pairs: Mapping[str, tuple[DataFrame, DataFrame]],
     steps: Iterable[str] | None = None,

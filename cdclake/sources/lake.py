@@ -292,8 +292,10 @@ def apply_changes(lake: Lake, changes: DataFrame, spec: TableSpec) -> None:
 
         merge_into(lake.silver(spec), changes, spec)
     else:
-        merged = merge_state(read_state(lake, spec), changes, spec)
-        publish_state(lake, spec, merged, aligned=_version(lake, spec) is not None)
+        stored = _version(lake, spec) is not None
+        buckets = lake.state_buckets if stored else None
+        merged = merge_state(read_state(lake, spec), changes, spec, buckets=buckets)
+        publish_state(lake, spec, merged, aligned=stored)
 
 
 def scan_silver(

@@ -93,29 +93,28 @@ PAYMENTS = f"""(SELECT CAST(o_orderkey AS VARCHAR) AS payment_id,
 
 def flight_segments(spark: SparkSession, sf: str) -> DataFrame:
     """One segment per line; the route runs from the supplier's to the customer's nation."""
-    nations = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    # Each step joins a base table, whose size Spark knows, to the larger side.
+    nations = table(spark, sf, "nation")
     origin = nations.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("origin"))
     dest = nations.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("dest"))
-    suppliers = (
-        table(spark, sf, "supplier")
-        .join(origin, "s_nationkey")
-        .select(F.col("s_suppkey").alias("l_suppkey"), "origin")
+    suppliers = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
     )
-    customers = (
-        table(spark, sf, "customer")
-        .join(dest, "c_nationkey")
-        .select(F.col("c_custkey").alias("o_custkey"), "dest")
+    customers = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_nationkey"
     )
     bookings = (
         table(spark, sf, "orders")
         .select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
         .join(customers, "o_custkey")
+        .join(dest, "c_nationkey")
     )
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_shipdate"
     )
     return (
         lines.join(suppliers, "l_suppkey")
+        .join(origin, "s_nationkey")
         .join(bookings, "l_orderkey")
         .select(
             (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("segment_id"),

@@ -98,6 +98,21 @@ def test_snapshot_is_read_from_files(spark, lake):
     assert copy.count() == 5 and copy.inputFiles()
 
 
+def test_reconciliation_of_a_loaded_lake(spark, loaded):
+    lake, root = loaded
+    run_bronze(lake, root, "2024-01-01", specs=SPECS)
+    run_silver(lake, specs=SPECS)
+    source = {name: lk.scan_silver(lake, spec) for name, spec in SPECS.items()}
+    source["payments"] = source["payments"].withColumn("payment_status", F.lit("FAILED"))
+    pairs = jobs.load_pairs(lake, lambda spec: source[spec.name], SPECS)
+    assert pairs["payments"][0].inputFiles()
+    checks = jobs.run_reconciliation(pairs, ["silver", "state"], specs=SPECS)
+    assert rows(checks.where("status <> 'OK'"), "table_name", "check_name", "value") == [
+        ("payments", "payment_status_mismatch", 1)
+    ]
+    assert spark.sql("SELECT * FROM src_pnr_records JOIN slv_pnr_records USING (pnr_id)").count() == 1
+
+
 def test_gold_jobs_cover_the_marts():
     from cdclake.specs import MARTS
 

@@ -136,15 +136,24 @@ def test_failed_publication_leaves_readers_where_they_were(spark, lake):
     assert rows(lk.scan_silver(lake, ITEM)) == [(1, "good", 1), (2, "fixed", 1)]
 
 
-def test_merge_does_not_shuffle_the_bucketed_state(spark, lake):
+@pytest.mark.parametrize("width", ["4", "16"])
+def test_merge_does_not_shuffle_the_bucketed_state(spark, lake, width):
     lk.create_silver(lake, [ITEM])
     lk.apply_changes(lake, changes(spark, [(i, "a", 1, "c", 1) for i in range(50)]), ITEM)
-    merged = merge_state(lk.read_state(lake, ITEM), changes(spark, [(1, "b", 1, "u", 2)]), ITEM)
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    state_side = plan.split("FullOuter", 1)[1].split("Scan ExistingRDD")[0]
-    assert "Bucketed: true" in plan
-    assert state_side.count("Exchange") == 1  # that of the changes
-    assert rows(merged.where("name = 'b'"), "id") == [(1,)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", width)
+    try:
+        log = changes(spark, [(1, "b", 1, "u", 2)])
+        merged = merge_state(lk.read_state(lake, ITEM), log, ITEM, buckets=lake.state_buckets)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan
+        assert "Exchange" not in plan.split("FullOuter", 1)[1].split("FileScan", 1)[0]
+        lk.apply_changes(lake, log, ITEM)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert rows(lk.scan_silver(lake, ITEM).where("name = 'b'"), "id") == [(1,)]
+    table_name = f"{lake.namespace('silver')}.items_state_v2"
+    assert len(spark.table(table_name).inputFiles()) <= lake.state_buckets
 
 
 def test_month_partitions_prune(spark, lake):
