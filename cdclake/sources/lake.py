@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -14,7 +15,8 @@ from pyspark.sql import types as T
 
 from cdclake.functions import as_day
 from cdclake.operators.changes import conform
-from cdclake.operators.merge import merge_state
+from cdclake.operators.merge import current_rows, merge_state
+from cdclake.sources.row_level import merge_state_into
 from cdclake.specs import ENTITIES, EVENT_DATE, MARTS, OP, TableSpec
 
 LAYERS = ("bronze", "silver", "gold")
@@ -37,7 +39,8 @@ class Lake:
     """Names of the three namespaces and where their data lives.
 
     ``catalog`` is set when the lake sits in a V2 catalog with row-level commands; silver is then
-    a table changed by MERGE. Otherwise silver is a set of Parquet snapshots behind a view.
+    a state table changed by MERGE. Otherwise it is a set of Parquet snapshots of that state. Either
+    way readers use a view that hides deletes.
     ``state_buckets`` should give buckets of some hundred megabytes. ``gold_by_day`` partitions the
     marts by their day: always so in a V2 catalog, where a partition is cheap, and off by default
     for Parquet, where it would mean one small directory and file per day; there the marts are
@@ -109,7 +112,12 @@ def create_silver(lake: Lake, specs: Iterable[TableSpec] = tuple(ENTITIES.values
     for spec in specs:
         if lake.catalog:
             month = f"months({spec.month_of})" if spec.month_of else None
-            _create(lake, lake.silver(spec), spec.schema, month)
+            _create(lake, _state_name(lake, spec), spec.state_schema, month)
+            names = ", ".join(f"`{c}`" for c in spec.columns)
+            lake.spark.sql(
+                f"CREATE VIEW IF NOT EXISTS {lake.silver(spec)} AS SELECT {names} "
+                f"FROM {_state_name(lake, spec)} WHERE {OP} <> 'd'"
+            )
         elif _version(lake, spec) is None:
             publish_state(lake, spec, lake.spark.createDataFrame([], spec.state_schema))
 
@@ -148,7 +156,7 @@ def reset(lake: Lake, layers: Iterable[str] = ("bronze", "silver"), namespaces:
 def list_tables(lake: Lake, layers: Iterable[str] = LAYERS) -> DataFrame:
     """(layer, table_name) of every table a reader is meant to use."""
     names = [
-        (layer, name) for layer in layers for name in _tables(lake, layer) if "_state_v" not in name
+        (layer, name) for layer in layers for name in _tables(lake, layer) if not re.search(r"_state(_v\d+)?$", name)
     ]
     return lake.spark.createDataFrame(names, "layer string, table_name string")
 
@@ -223,8 +231,12 @@ def cluster_for_write(df: DataFrame, partition: str, *order: str) -> DataFrame:
 # -- silver -------------------------------------------------------------------------------------
 
 
+def _state_name(lake: Lake, spec: TableSpec) -> str:
+    return lake.table("silver", f"{spec.name}_state")
+
+
 def _state_table(lake: Lake, spec: TableSpec, version: int) -> str:
-    return lake.table("silver", f"{spec.name}_state_v{version}")
+    return f"{_state_name(lake, spec)}_v{version}"
 
 
 def _version(lake: Lake, spec: TableSpec) -> int | None:
@@ -237,6 +249,8 @@ def _version(lake: Lake, spec: TableSpec) -> int | None:
 
 def read_state(lake: Lake, spec: TableSpec) -> DataFrame:
     """Published state: live rows and tombstones, with the change that produced each."""
+    if lake.catalog:
+        return lake.spark.table(_state_name(lake, spec))
     version = _version(lake, spec)
     if version is None:
         return lake.spark.createDataFrame([], spec.state_schema)
@@ -288,9 +302,7 @@ def publish_state(lake: Lake, spec: TableSpec, state: DataFrame, aligned: bool =
 def apply_changes(lake: Lake, changes: DataFrame, spec: TableSpec) -> None:
     """Upsert and delete silver rows by the latest change of each key."""
     if lake.catalog:
-        from cdclake.sources.row_level import merge_into
-
-        merge_into(lake.silver(spec), changes, spec)
+        merge_state_into(_state_name(lake, spec), changes, spec)
     else:
         stored = _version(lake, spec) is not None
         buckets = lake.state_buckets if stored else None
@@ -302,7 +314,7 @@ def scan_silver(
     lake: Lake, spec: TableSpec, first: str | dt.date | None = None, last: str | dt.date | None = None
 ) -> DataFrame:
     """Silver rows; days ``first`` to ``last`` (both included) also prune month partitions."""
-    df = lake.spark.table(lake.silver(spec))
+    df = current_rows(read_state(lake, spec), spec) if lake.catalog else lake.scan(lake.silver(spec))
     if spec.month_of and first is not None and last is not None:
         first, last = as_day(first), as_day(last)
         if not lake.catalog:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdclake.functions.columns import DELETE
-from cdclake.operators.changes import latest_per_key
+from cdclake.operators.changes import latest_per_key, precedence
+from cdclake.operators.merge import as_state
 from cdclake.specs import OP, TableSpec
 
 
@@ -29,3 +30,27 @@ def merge_into(table: str, changes: DataFrame, spec: TableSpec, seq_col: str | N
         .insert(values)
         .merge()
     )
+
+
+def merge_state_into(
+    table: str, changes: DataFrame, spec: TableSpec, seq_col: str | None = None
+) -> None:
+    """MERGE into a state table that keeps the change behind each row, deletes included.
+
+    A change wins only if it is not older than what the table holds, so late or repeated batches
+    do no harm; a delete updates its row to a tombstone instead of removing it.
+    """
+    latest = latest_per_key(as_state(changes, spec, seq_col), spec, seq_col).alias("s")
+    columns = latest.columns
+    age_new = F.struct(*precedence(spec, columns, "s.", seq_col))
+    age_old = F.struct(*precedence(spec, columns, f"{table}.", seq_col))
+    values = {c: F.col(f"s.{c}") for c in columns}
+    updates = {c: v for c, v in values.items() if c != spec.pk}
+    (
+        latest.mergeInto(table, F.col(f"{table}.{spec.pk}") == F.col(f"s.{spec.pk}"))
+        .whenMatched(age_new >= age_old)
+        .update(updates)
+        .whenNotMatched()
+        .insert(values)
+        .merge()
+    )

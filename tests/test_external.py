@@ -1,7 +1,11 @@
 """Adapters whose other side (a database, a row-level catalog) is not available in tests."""
 
+import pytest
+
 from cdclake.sources.jdbc import Split, key_ranges, read_jdbc, sqlserver_url
+from cdclake.sources.lake import Lake, apply_changes, create_gold, create_silver
 from cdclake.sources.row_level import merge_into
+from cdclake.specs import entity
 from util import ITEM, changes
 
 
@@ -54,26 +58,58 @@ def test_text_keys_are_read_by_disjoint_ranges(spark):
     assert key_ranges("id", []) == ["1 = 1"]
 
 
-def test_row_level_merge_has_the_three_clauses(spark, monkeypatch):
-    calls = []
+class Writer:
+    """Records the clauses of a MERGE."""
+
+    def __init__(self, calls):
+        self.calls = calls
+
+    def __getattr__(self, name):
+        def record(*args):
+            self.calls.append((name, *args))
+            return self
 
-    class Writer:
-        def __getattr__(self, name):
-            def record(*args):
-                calls.append((name, *args))
-                return self
+        return record
 
-            return record
+
+@pytest.fixture
+def merges(spark, monkeypatch):
+    calls = []
 
     def merge(self, name, condition):
-        calls.append(("into", name, str(condition), self.columns))
-        return Writer()
+        calls.append(("into", name, self.columns))
+        return Writer(calls)
+
+    monkeypatch.setattr(type(spark.range(1)), "mergeInto", merge)
+    return calls
+
 
-    log = changes(spark, [(1, "a", 1, "u", 1)])
-    monkeypatch.setattr(type(log), "mergeInto", merge)
-    merge_into("cat.silver.items_clean", log, ITEM)
-    assert [c[0] for c in calls] == [
+def test_row_level_merge_has_the_three_clauses(spark, merges):
+    merge_into("cat.silver.items_clean", changes(spark, [(1, "a", 1, "u", 1)]), ITEM)
+    assert [c[0] for c in merges] == [
         "into", "whenMatched", "delete", "whenMatched", "update", "whenNotMatched", "insert", "merge",
     ]
-    assert calls[0][1] == "cat.silver.items_clean"
-    assert set(calls[4][1]) == {"name", "qty"} and set(calls[6][1]) == {"id", "name", "qty"}
+    assert merges[0][1] == "cat.silver.items_clean"
+    assert set(merges[4][1]) == {"name", "qty"} and set(merges[6][1]) == {"id", "name", "qty"}
+
+
+def test_row_level_state_merge_lets_only_newer_changes_win(spark, merges):
+    lake = Lake(spark, catalog="cat")
+    apply_changes(lake, changes(spark, [(1, "a", 1, "d", 1)]), ITEM)
+    assert [c[0] for c in merges] == ["into", "whenMatched", "update", "whenNotMatched", "insert", "merge"]
+    assert merges[0][1:] == ("cat.silver.items_state", ["id", "name", "qty", "__op", "__source_ts_ms"])
+    condition = str(merges[1][1])
+    assert ">=" in condition and "cat.silver.items_state.__source_ts_ms" in condition
+    assert set(merges[2][1]) == {"name", "qty", "__op", "__source_ts_ms"}
+
+
+def test_catalog_tables_use_transforms(monkeypatch):
+    statements = []
+    fake = type("Session", (), {"sql": lambda self, text: statements.append(text)})()
+    lake = Lake(fake, catalog="cat", provider="fmt")
+    create_silver(lake, [entity("payments")])
+    create_gold(lake)
+    assert "cat.silver.payments_state" in statements[0] and "NOT NULL" in statements[0]
+    assert "USING fmt PARTITIONED BY (months(created_at))" in statements[0]
+    assert statements[1].startswith("CREATE VIEW IF NOT EXISTS cat.silver.payments_clean")
+    assert all("PARTITIONED BY (" in s and "OPTIONS" not in s for s in statements[2:])
