@@ -6,9 +6,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from llm.common import Scratch, documents
+from llm.decontamination import leaks
+from llm.licenses import scan as scan_licenses
+from llm.licenses import scan_sql as license_sql
 from llm.packing import pack, token_pieces
+from llm.secrets import scan as scan_secrets
+from llm.sharding import assign_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,8 +25,41 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op5_bounded_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = assign_shards(documents(spark, sf_dir), shards=16)
+    return shards.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        F.col("home").alias("home_shard"),
+    )
+
+
+@query
+def op7_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(documents(spark, sf_dir))
+
+
+@query
+def op8_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
+
+
+ORACLES["op8_license_dice"] = license_sql()
+
+
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     pieces = token_pieces(documents(spark, sf_dir), path, capacity=1024, end_id=2)
     return pack(pieces, Scratch(spark, "packing"), capacity=1024)
+
+
+@query
+def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
