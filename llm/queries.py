@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from llm.common import Scratch, documents
 from llm.decontamination import leaks
+from llm.jaccard import jaccard_components
 from llm.licenses import scan as scan_licenses
 from llm.licenses import scan_sql as license_sql
 from llm.packing import pack, token_pieces
@@ -25,6 +26,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir), Scratch(spark, "jaccard"))
+
+
 @query
 def op5_bounded_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = assign_shards(documents(spark, sf_dir), shards=16)
