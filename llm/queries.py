@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from llm.common import Scratch, documents
 from llm.decontamination import leaks
+from llm.huffman import read_blocks, write_token_files
 from llm.jaccard import jaccard_components
 from llm.licenses import scan as scan_licenses
 from llm.licenses import scan_sql as license_sql
@@ -31,6 +32,13 @@ def op1_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), Scratch(spark, "jaccard"))
 
 
+@query
+def op3_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    scratch = Scratch(spark, "token-files")
+    return read_blocks(*write_token_files(documents(spark, sf_dir), scratch, path, end_id=2, spaces=False))
+
+
 @query
 def op5_bounded_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = assign_shards(documents(spark, sf_dir), shards=16)
