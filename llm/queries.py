@@ -15,6 +15,7 @@ from llm.jaccard import jaccard_components
 from llm.licenses import scan as scan_licenses
 from llm.licenses import scan_sql as license_sql
 from llm.packing import pack, token_pieces
+from llm.quality import judge
 from llm.secrets import scan as scan_secrets
 from llm.sharding import assign_shards
 
@@ -39,6 +40,12 @@ def op3_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_blocks(*write_token_files(documents(spark, sf_dir), scratch, path, end_id=2, spaces=False))
 
 
+@query
+def op4_trusted_ratio_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = documents(spark, sf_dir, "labels").filter("quality = 1 AND coalesce(toxic, 0) = 0")
+    return judge(documents(spark, sf_dir), trusted)
+
+
 @query
 def op5_bounded_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = assign_shards(documents(spark, sf_dir), shards=16)
