@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import Scratch, documents
+from llm.common import Scratch, crc_mod, documents
 from llm.decontamination import leaks
 from llm.huffman import read_blocks, write_token_files
 from llm.jaccard import jaccard_components
+from llm import langid, lm
 from llm.licenses import scan as scan_licenses
 from llm.licenses import scan_sql as license_sql
 from llm.packing import pack, token_pieces
@@ -33,6 +34,11 @@ def op1_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), Scratch(spark, "jaccard"))
 
 
+@query
+def op2_log_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir), Scratch(spark, "lm"))
+
+
 @query
 def op3_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -61,6 +67,14 @@ def op5_bounded_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
+    found = langid.predict(docs.select("doc_id", "text"), langid.train(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op7_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(documents(spark, sf_dir))
