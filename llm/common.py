@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from typing import ClassVar
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -32,12 +33,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables of one run in the shared folder. A table cuts lineage and outlives lost executors."""
+    """Tables of one run in the shared folder. A table cuts lineage and outlives lost executors.
+
+    Results read them lazily, so they stay until `release`, to be called when results are written.
+    """
+
+    open: ClassVar[list[Scratch]] = []
 
     def __init__(self, spark: SparkSession, what: str):
         self.spark = spark
         self.path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
         self.written = 0
+        Scratch.open.append(self)
 
     def table(self, df: DataFrame, codec: str = "snappy") -> DataFrame:
         self.written += 1
@@ -46,11 +53,17 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(at)
 
     def drop(self) -> None:
-        """Remove the run's tables, after its result has been written elsewhere."""
+        """Remove this run's tables."""
         fs_path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         fs_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(fs_path, True)
 
 
+def release() -> None:
+    """Remove the tables of all runs so far."""
+    while Scratch.open:
+        Scratch.open.pop().drop()
+
+
 def steps(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """Slices of the batches of about STEP_BYTES of text, so that memory doesn't follow batch sizes."""
     for batch in batches:
