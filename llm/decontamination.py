@@ -154,12 +154,14 @@ def leaks_in_block(docs: DataFrame, items: Items, width: int, threshold: float,
             found = words(batch.column("text"))
             hashes = found.hashes()
             row, place, gram = _hits(items, table, hashes, found.first)
+            if not len(row):
+                continue
             n = np.diff(items.first)[gram]
             pick = np.repeat(items.first[gram] - (np.cumsum(n) - n), n) + np.arange(n.sum())
             row, place, item, at = np.repeat(row, n), np.repeat(place, n), items.item[pick], items.at[pick]
             order = np.lexsort((place, item, row))
             row, place, item, at = row[order], place[order], item[order], at[order]
-            edge = np.flatnonzero(np.diff(row * len(items.ids) + item, prepend=-1)) if len(row) else np.zeros(0, np.int64)
+            edge = np.flatnonzero(np.diff(row * len(items.ids) + item, prepend=-1))
             out = []
             chars = None
             for a, b in zip(edge, np.append(edge[1:], len(row)), strict=True):
