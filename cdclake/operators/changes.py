@@ -94,8 +94,8 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     return _cast_to(df, spec.change_schema, strict=True)
 
 
-def split_unconvertible(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
-    """(rows that fit the spec's types, rows with at least one value that does not)."""
+def unconvertible(df: DataFrame, spec: TableSpec) -> Column:
+    """Whether a row has a value that does not fit its type in the spec."""
     known = {f.name: f for f in spec.change_schema}
     misfits = [
         F.col(f.name).isNotNull()
@@ -103,14 +103,18 @@ def split_unconvertible(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, Data
         for f in df.schema
         if f.name in known and f.dataType != known[f.name].dataType
     ]
-    if not misfits:
-        return conform(df, spec), df.limit(0)
-    bad = reduce(lambda a, b: a | b, misfits)
+    return reduce(lambda a, b: a | b, misfits, F.lit(False))
+
+
+def split_unconvertible(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit the spec's types, rows with at least one value that does not)."""
+    bad = unconvertible(df, spec)
     return _cast_to(df.where(~bad), spec.change_schema, strict=False), df.where(bad)
 
 
 def _cast_to(df: DataFrame, schema: T.StructType, strict: bool) -> DataFrame:
     present = {f.name: f.dataType for f in df.schema}
+    # A log may lack what only the capture adds; its schema then ends without it.
     required = set(schema.fieldNames()) - {f.name for f in CHANGE_FIELDS}
     columns = []
     for f in schema:
@@ -149,9 +153,10 @@ def precedence(
     """What makes one change of a key newer than another, most significant first.
 
     Source time, then the log sequence if one was captured, then the change code, then the
-    row's own version time, then the remaining values, so that no two distinct changes tie and
-    the outcome never depends on row order. NULL is lowest throughout.
+    row's own version time, then the remaining values and what the capture added, so that no two distinct
+    changes tie and the outcome never depends on row order. NULL is lowest throughout.
     """
+    seq_col = seq_col or (spec.seq_column if spec.seq_column in columns else None)
 
     def col(name: str) -> Column:
         return F.col(f"{prefix}{name}")
@@ -164,7 +169,7 @@ def precedence(
     if spec.version_column in columns:
         order.append(col(spec.version_column))
         first.add(spec.version_column)
-    order += [col(c) for c in spec.columns if c in columns and c not in first]
+    order += [col(c) for c in (*spec.columns, EVENT_DATE, DELETED) if c in columns and c not in first]
     return order
 
 

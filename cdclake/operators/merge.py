@@ -16,13 +16,14 @@ def merge_changes(
     """``target`` after upserting and deleting by the latest change of each key.
 
     Matched and deleted: row removed. Matched otherwise: row replaced. Unmatched and not
-    deleted: row added. Unmatched delete, or a latest change without a code: nothing happens.
+    deleted: row added. Unmatched delete: nothing happens. Changes without a code are ignored, as everywhere in
+    the library: the latest change that has one decides.
     Replacing every non-key column is the same as dropping the matched rows and adding the new
     ones, so one anti join does it: a change set that Spark knows to be small (files below the
     broadcast threshold) is broadcast and the target is neither shuffled nor sorted; any other is
     joined by shuffling the target once.
     """
-    latest = latest_per_key(changes, spec, seq_col).where(F.col(OP).isNotNull())
+    latest = latest_per_key(changes.where(F.col(OP).isNotNull()), spec, seq_col)
     untouched = target.join(latest.select(spec.pk), spec.pk, "left_anti")
     upserts = latest.where(F.col(OP) != DELETE)
     return project(untouched, spec).unionByName(project(upserts, spec))
@@ -30,8 +31,9 @@ def merge_changes(
 
 def as_state(changes: DataFrame, spec: TableSpec, seq_col: str | None = None) -> DataFrame:
     """The state columns of changes that carry a code: table row, code, source time."""
-    extra = [seq_col] if seq_col else []
-    return changes.where(F.col(OP).isNotNull()).select(*spec.state_schema.fieldNames(), *extra)
+    names = spec.state_schema.fieldNames()
+    extra = [seq_col] if seq_col and seq_col not in names else []
+    return changes.where(F.col(OP).isNotNull()).select(*names, *extra)
 
 
 def merge_state(

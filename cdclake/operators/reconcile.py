@@ -71,13 +71,16 @@ def state_mismatch(
     column: str | None = None,
     names: tuple[str, str] = ("src_status", "target_status"),
     null_safe: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """Keys present on both sides whose status differs.
 
     Each side is first reduced to distinct (key, status) with a row count, so a key repeated
     many times on both sides yields one row per status pair instead of every pair of rows;
     ``pair_count`` is the number of row pairs behind it (1 when keys are unique). With
-    ``null_safe`` a NULL against a value is reported too.
+    ``null_safe`` a NULL against a value is reported too. ``unique`` says that one side has each key once, as
+    silver does: the sides are then joined on the key as they are, which moves each of them once at most, and only
+    the mismatches are grouped. The result is the same.
     """
     column = column or spec.status_column
     src_name, tgt_name = names
@@ -86,6 +89,13 @@ def state_mismatch(
         keyed = df.where(F.col(spec.pk).isNotNull())
         return keyed.groupBy(spec.pk, F.col(column).alias(status)).agg(F.count("*").alias(n))
 
+    if unique:
+        sides = [
+            df.where(F.col(spec.pk).isNotNull()).select(spec.pk, F.col(column).alias(name))
+            for df, name in ((source, src_name), (silver, tgt_name))
+        ]
+        differing = sides[0].join(sides[1], spec.pk).where(differs(F.col(src_name), F.col(tgt_name), null_safe))
+        return differing.groupBy(spec.pk, src_name, tgt_name).agg(F.count("*").alias("pair_count"))
     return (
         statuses(source, src_name, "__s")
         .join(statuses(silver, tgt_name, "__t"), spec.pk)

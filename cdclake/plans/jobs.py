@@ -3,21 +3,25 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cdclake.functions import as_day
 from cdclake.operators import marts
+from cdclake.operators.changes import unconvertible
 from cdclake.operators.reconcile import (
     count_reconciliation,
     duplicate_summary,
     event_total,
     count_diff_by,
+    pk_duplicates,
+    sample_violations,
     state_mismatch,
     union_all,
     verdict,
@@ -28,12 +32,15 @@ from cdclake.sources.lake import (
     append_bronze,
     apply_changes,
     create_gold,
-    fresh_dir,
+    day_marks,
+    merged_days,
+    path_exists,
     refresh,
     register_pair,
+    remove_dir,
     scan_silver,
 )
-from cdclake.specs import ENTITIES, EVENT_DATE, TableSpec
+from cdclake.specs import ENTITIES, EVENT_DATE, OP, TableSpec
 
 Specs = Mapping[str, TableSpec]
 
@@ -43,6 +50,8 @@ class JobResult:
     item: str
     status: str  # ok, missing or failed
     detail: str = ""
+    counts: Mapping[str, int] = field(default_factory=dict)  # rows set aside or ignored, by reason
+    error: BaseException | None = field(default=None, compare=False, repr=False)
 
 
 class JobFailed(RuntimeError):
@@ -53,27 +62,34 @@ class JobFailed(RuntimeError):
 
 
 def _run_each(
-    job: str, items: Iterable[str], work: Callable[[str], None], parallel: int, strict: bool
+    job: str,
+    items: Iterable[str],
+    work: Callable[[str], Mapping[str, int] | None],
+    parallel: int,
+    strict: bool,
+    may_be_missing: bool = False,
 ) -> list[JobResult]:
     """Run independent items, keep going past a failure, then raise if there was any.
 
+    With ``may_be_missing`` an item whose input path does not exist is ``missing``, not failed.
+
     Submitting several items at once lets small tables fill the cluster while a large one runs.
     """
 
     def attempt(item: str) -> JobResult:
         try:
-            work(item)
-            return JobResult(item, "ok")
+            return JobResult(item, "ok", counts=work(item) or {})
         except AnalysisException as e:
-            missing = e.getCondition() == "PATH_NOT_FOUND"
-            return JobResult(item, "missing" if missing else "failed", str(e)[:500])
+            missing = may_be_missing and e.getCondition() == "PATH_NOT_FOUND"
+            return JobResult(item, "missing" if missing else "failed", str(e), error=e)
         except Exception as e:  # noqa: BLE001 - one table must not stop the others
-            return JobResult(item, "failed", str(e)[:500])
+            return JobResult(item, "failed", str(e), error=e)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         results = list(pool.map(attempt, items))
-    if strict and any(r.status == "failed" for r in results):
-        raise JobFailed(job, results)
+    failed = [r.error for r in results if r.status == "failed"]
+    if strict and failed:
+        raise JobFailed(job, results) from failed[0]
     return results
 
 
@@ -97,18 +113,59 @@ def run_bronze(
     idempotent: bool = True,
     parallel: int = 6,
     strict: bool = True,
+    layout: str = "{table}",
+    quarantine: bool = False,
 ) -> list[JobResult]:
     """Load one UTC arrival day of change files into bronze, table by table.
 
-    A table without files for the day is reported as ``missing`` and is not a failure.
+    All of the day is read, so with ``idempotent`` it replaces what an earlier load of the day left. A table
+    without files for the day is ``missing``, which is no failure; a root that does not exist is one.
+    ``layout`` is the template of the tables' directories. With ``quarantine`` rows with a value that does
+    not fit its type go to the table ``<log>_rejected`` and are counted as ``rejected``, the others are
+    loaded; without, such a row fails its table.
     """
     day = as_day(date)
+    if not path_exists(lake.spark, root):
+        raise FileNotFoundError(f"no such root of change files: {root}")
 
-    def load(name: str) -> None:
+    def load(name: str) -> Mapping[str, int]:
         spec = specs[name]
-        append_bronze(lake, read_changes(lake.spark, root, spec, day), spec, idempotent)
-
-    return _run_each("bronze", _chosen(tables, specs), load, parallel, strict)
+        raw = read_changes(lake.spark, root, spec, day, layout=layout, typed=False)
+        if not quarantine:
+            append_bronze(lake, raw, spec, idempotent)
+            return {}
+        bad = unconvertible(raw, spec)
+        seen = Observation(f"rejected-{name}-{uuid.uuid4().hex}")
+        watched = raw.observe(seen, F.count_if(bad).alias("rejected"))
+        append_bronze(lake, watched.where(~bad), spec, idempotent)
+        rejected = seen.get.get("rejected") or 0
+        if rejected or idempotent:
+            _set_aside(lake, raw.where(bad), spec, day, idempotent)
+        return {"rejected": rejected}
+
+    return _run_each("bronze", _chosen(tables, specs), load, parallel, strict, may_be_missing=True)
+
+
+def rejected_table(lake: Lake, spec: TableSpec) -> str:
+    return lake.table("bronze", f"{spec.name}_rejected")
+
+
+def _set_aside(lake: Lake, rows: DataFrame, spec: TableSpec, day: dt.date, replace: bool) -> None:
+    """Keep whole rows as JSON beside the log, by arrival day."""
+    name = rejected_table(lake, spec)
+    options = "" if lake.catalog else " OPTIONS ('partitionOverwriteMode' = 'dynamic')"
+    lake.spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} (row STRING, {EVENT_DATE} STRING) "
+        f"USING {lake.provider}{options} PARTITIONED BY ({EVENT_DATE})"
+    )
+    if replace and not lake.catalog:
+        lake.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({EVENT_DATE} = '{day.isoformat()}')")
+    kept = rows.select(F.to_json(F.struct(*rows.columns)).alias("row"), F.lit(day.isoformat()).alias(EVENT_DATE))
+    if lake.catalog:
+        writer = kept.writeTo(name)
+        writer.overwrite(F.col(EVENT_DATE) == day.isoformat()) if replace else writer.append()
+    else:
+        kept.write.insertInto(name)
 
 
 def run_silver(
@@ -122,14 +179,35 @@ def run_silver(
     """Merge bronze into silver.
 
     ``since`` reads only arrival days from that one on. That is safe even if it overlaps what was
-    merged before, as older or repeated changes do not win; without it all of bronze is read.
+    merged before, as older or repeated changes do not win. Without it, days are read that were not merged
+    yet or whose files have changed since, as the silver table records; in a V2 catalog all of bronze.
+    Changes without a key or without a code are ignored and counted, as ``null_keys`` and ``null_ops``.
     """
 
-    def merge(name: str) -> None:
-        changes = lake.scan(lake.bronze(specs[name]))
+    def merge(name: str) -> Mapping[str, int]:
+        spec = specs[name]
+        changes = lake.scan(lake.bronze(spec))
+        days = None
+        if not lake.catalog:
+            marks, merged = day_marks(lake, spec), merged_days(lake, spec)
+            if since is None:
+                days = {d: m for d, m in marks.items() if merged.get(d) != m}
+                if not days and merged:
+                    return {"days": 0}
+                changes = changes.where(F.col(EVENT_DATE).isin(sorted(days)))
+            else:
+                days = {d: m for d, m in marks.items() if d >= as_day(since).isoformat()}
         if since is not None:
             changes = changes.where(F.col(EVENT_DATE) >= as_day(since).isoformat())
-        apply_changes(lake, changes, specs[name])
+        seen = Observation(f"ignored-{name}-{uuid.uuid4().hex}")
+        changes = changes.observe(
+            seen,
+            F.count_if(F.col(spec.pk).isNull()).alias("null_keys"),
+            F.count_if(F.col(spec.pk).isNotNull() & F.col(OP).isNull()).alias("null_ops"),
+        )
+        apply_changes(lake, changes, spec, days)
+        counts = {k: v or 0 for k, v in seen.get.items()}
+        return counts if days is None else counts | {"days": len(days)}
 
     return _run_each("silver", _chosen(tables, specs), merge, parallel, strict)
 
@@ -177,11 +255,19 @@ def snapshot(lake: Lake, df: DataFrame, label: str) -> DataFrame:
     Every check of a reconciliation then sees the same source rows, the database is read once,
     and a lost executor costs a re-read of files only.
     """
-    path = fresh_dir(lake.spark, f"snapshot-{label}")
+    path = lake.work_dir(f"snapshot-{label}")
     df.write.parquet(path)
     return lake.spark.read.parquet(path)
 
 
+def drop_snapshots(lake: Lake, pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> None:
+    """Remove the copies that ``load_pairs`` made, once the checks have been read or written."""
+    for source, _ in pairs.values():
+        for folder in {f.rsplit("/", 1)[0] for f in source.inputFiles()}:
+            if folder.rsplit("/", 1)[-1].startswith("snapshot-"):
+                remove_dir(lake.spark, folder)
+
+
 def load_pairs(
     lake: Lake,
     read_source: Callable[[TableSpec], DataFrame],
@@ -194,14 +280,40 @@ def load_pairs(
     once, as several checks read it.
     """
     pairs = {}
-    for name, spec in specs.items():
+
+    def load(name: str) -> None:
+        spec = specs[name]
         source = read_source(spec)
         if materialize:
             source = snapshot(lake, source, name)
-        silver = scan_silver(lake, spec)
-        register_pair(spec, source, silver)
-        pairs[name] = (source, silver)
-    return pairs
+        pairs[name] = (source, scan_silver(lake, spec))
+
+    _run_each("load_pairs", specs, load, len(specs), strict=True)
+    for name, spec in specs.items():
+        register_pair(spec, *pairs[name])
+    return {name: pairs[name] for name in specs}
+
+
+def reconciliation_offenders(
+    pairs: Mapping[str, tuple[DataFrame, DataFrame]], specs: Specs = ENTITIES, n: int = 5
+) -> DataFrame:
+    """(table_name, check_name, key, detail): up to ``n`` rows behind each failed check, in order of key."""
+    found = []
+    for table, (source, silver) in pairs.items():
+        spec = specs[table]
+        key = F.col(spec.pk).cast("string").alias("key")
+        doubled = sample_violations(pk_duplicates(silver, spec), spec.pk, n=n)
+        checks = [("duplicated_keys", doubled, F.lit(""))]
+        if spec.status_column:
+            mismatch = state_mismatch(source, silver, spec, unique=True)
+            order = (spec.pk, "src_status", "target_status")
+            detail = F.format_string("source=%s silver=%s", "src_status", "target_status")
+            checks.append((f"{spec.status_column}_mismatch", sample_violations(mismatch, *order, n=n), detail))
+        found += [
+            rows.select(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), key, detail.alias("detail"))
+            for check, rows, detail in checks
+        ]
+    return union_all(found)
 
 
 def run_reconciliation(
@@ -253,7 +365,7 @@ def run_reconciliation(
         for table, (source, silver) in pairs.items():
             if not specs[table].status_column:
                 continue
-            mismatch = state_mismatch(source, silver, specs[table])
+            mismatch = state_mismatch(source, silver, specs[table], unique=True)
             add(
                 "state",
                 f"{specs[table].status_column}_mismatch",

@@ -1,4 +1,8 @@
-"""Raw change files: Parquet under ``<root>/<table>/event_date=…/__op=…``."""
+"""Raw change files: Parquet under ``<root>/<directory of the table>/event_date=…/__op=…``.
+
+The directory is the table's name, or follows a template such as ``prefix.schema.{table}``, as a sink
+that names directories by topic writes them.
+"""
 
 from __future__ import annotations
 
@@ -15,8 +19,8 @@ from cdclake.specs import EVENT_DATE, OP, TableSpec
 PARTITIONS = (EVENT_DATE, OP)
 
 
-def table_path(root: str, spec: TableSpec) -> str:
-    return f"{root.rstrip('/')}/{spec.name}"
+def table_path(root: str, spec: TableSpec, layout: str = "{table}") -> str:
+    return f"{root.rstrip('/')}/{layout.format(table=spec.name)}"
 
 
 def read_changes(
@@ -25,6 +29,8 @@ def read_changes(
     spec: TableSpec,
     days: str | dt.date | Iterable[str | dt.date] | None = None,
     merge_schema: bool = False,
+    layout: str = "{table}",
+    typed: bool = True,
 ) -> DataFrame:
     """Changes of one table that arrived on the given day(s), typed as bronze.
 
@@ -32,9 +38,9 @@ def read_changes(
     no footers are read to infer it, ``event_date`` stays text, columns missing from older files
     read as NULL and decimals that travelled as doubles are cast back. ``merge_schema`` instead
     takes the union of the files' own schemas, which also keeps columns the spec lacks. A day
-    without a directory raises an AnalysisException.
+    without a directory raises an AnalysisException. Without ``typed`` rows stay as the files have them.
     """
-    base = table_path(root, spec)
+    base = table_path(root, spec, layout)
     reader = spark.read.option("basePath", base)
     if merge_schema:
         reader = reader.option("mergeSchema", True)
@@ -47,7 +53,7 @@ def read_changes(
         raw = reader.parquet(*[f"{base}/{EVENT_DATE}={as_day(d).isoformat()}" for d in days])
     if merge_schema:
         raw = raw.withColumn(EVENT_DATE, F.col(EVENT_DATE).cast("string"))
-    return conform(raw, spec)
+    return conform(raw, spec) if typed else raw
 
 
 def as_file_rows(changes: DataFrame, spec: TableSpec) -> DataFrame:
@@ -58,7 +64,12 @@ def as_file_rows(changes: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def write_change_files(
-    changes: DataFrame, root: str, spec: TableSpec, mode: str = "append", max_records: int = 0
+    changes: DataFrame,
+    root: str,
+    spec: TableSpec,
+    mode: str = "append",
+    max_records: int = 0,
+    layout: str = "{table}",
 ) -> None:
     """Batch twin of the streaming file sink.
 
@@ -69,4 +80,4 @@ def write_change_files(
     writer = rows.write.mode(mode).partitionBy(*PARTITIONS)
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
-    writer.parquet(table_path(root, spec))
+    writer.parquet(table_path(root, spec, layout))

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
-import tempfile
+import json
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -20,20 +19,40 @@ from cdclake.sources.row_level import merge_state_into
 from cdclake.specs import ENTITIES, EVENT_DATE, MARTS, OP, TableSpec
 
 LAYERS = ("bronze", "silver", "gold")
+# Properties of silver views and state tables.
 VERSION = "cdclake.version"
+SNAPSHOTS = "cdclake.snapshots"
+DAYS = "cdclake.days"
+STATE = "cdclake.state"
 OVERWRITE_MODE = "partitionOverwriteMode"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``, or a local one in tests."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured.rstrip("/") if configured else tempfile.mkdtemp(prefix="cdclake-")
+    """The folder every executor can reach: ``spark.checkpoint.dir`` or the context's checkpoint folder."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return configured.rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer published a silver table in the meantime; nothing was changed."""
+
+
 @dataclass(frozen=True)
 class Lake:
     """Names of the three namespaces and where their data lives.
@@ -41,7 +60,9 @@ class Lake:
     ``catalog`` is set when the lake sits in a V2 catalog with row-level commands; silver is then
     a state table changed by MERGE. Otherwise it is a set of Parquet snapshots of that state. Either
     way readers use a view that hides deletes.
-    ``state_buckets`` should give buckets of some hundred megabytes. ``gold_by_day`` partitions the
+    ``state_buckets`` should give buckets of some hundred megabytes; a Parquet lake needs it, a V2
+    catalog takes it as the number of key buckets of the state. ``keep_versions`` snapshots stay
+    readable: a reader that is still on an older one fails. ``gold_by_day`` partitions the
     marts by their day: always so in a V2 catalog, where a partition is cheap, and off by default
     for Parquet, where it would mean one small directory and file per day; there the marts are
     kept sorted by day, so that file statistics prune instead.
@@ -52,10 +73,22 @@ class Lake:
     prefix: str = ""
     catalog: str | None = None
     provider: str = "parquet"
-    state_buckets: int = 8
+    state_buckets: int | None = None
     keep_versions: int = 2
     gold_by_day: bool = False
 
+    def __post_init__(self) -> None:
+        if self.keep_versions < 1:
+            raise ValueError("keep_versions must be at least 1, the snapshot that readers see")
+        if self.catalog is None and self.state_buckets is None:
+            raise ValueError("a Parquet lake needs state_buckets")
+
+    def work_dir(self, label: str) -> str:
+        """A new folder for intermediate tables, under the lake's own root where it has one."""
+        if self.root:
+            return f"{self.root.rstrip('/')}/_work/{label}-{uuid.uuid4().hex}"
+        return fresh_dir(self.spark, label)
+
     def namespace(self, layer: str) -> str:
         name = f"{self.prefix}{layer}"
         return f"{self.catalog}.{name}" if self.catalog else name
@@ -92,7 +125,12 @@ def _ddl(schema: T.StructType) -> str:
 
 
 def _create(
-    lake: Lake, name: str, schema: T.StructType, partition: str | None, overwrite: str = ""
+    lake: Lake,
+    name: str,
+    schema: T.StructType,
+    partition: str | None,
+    overwrite: str = "",
+    property_: str = "",
 ) -> None:
     """``overwrite`` fixes on the table itself whether INSERT OVERWRITE replaces all of it or only
     the partitions written, whatever the session is set to."""
@@ -100,6 +138,7 @@ def _create(
     options = f" OPTIONS ('{OVERWRITE_MODE}' = '{overwrite}')" if overwrite and not lake.catalog else ""
     lake.spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema)}) USING {lake.provider}{options}{by}"
+        + (f" TBLPROPERTIES ('{property_}' = 'true')" if property_ else "")
     )
 
 
@@ -111,8 +150,9 @@ def create_bronze(lake: Lake, specs: Iterable[TableSpec] = tuple(ENTITIES.values
 def create_silver(lake: Lake, specs: Iterable[TableSpec] = tuple(ENTITIES.values())) -> None:
     for spec in specs:
         if lake.catalog:
-            month = f"months({spec.month_of})" if spec.month_of else None
-            _create(lake, _state_name(lake, spec), spec.state_schema, month)
+            by = [f"months({spec.month_of})"] if spec.month_of else []
+            by += [f"bucket({lake.state_buckets}, {spec.pk})"] if lake.state_buckets else []
+            _create(lake, _state_name(lake, spec), spec.state_schema, ", ".join(by) or None, property_=STATE)
             names = ", ".join(f"`{c}`" for c in spec.columns)
             lake.spark.sql(
                 f"CREATE VIEW IF NOT EXISTS {lake.silver(spec)} AS SELECT {names} "
@@ -149,14 +189,17 @@ def reset(lake: Lake, layers: Iterable[str] = ("bronze", "silver"), namespaces:
             continue
         for name in _tables(lake, layer):
             full = lake.table(layer, name)
-            view = not lake.catalog and lake.spark.catalog.getTable(full).tableType == "VIEW"
+            view = lake.spark.catalog.getTable(full).tableType == "VIEW"
             lake.spark.sql(f"DROP {'VIEW' if view else 'TABLE'} IF EXISTS {full}")
 
 
 def list_tables(lake: Lake, layers: Iterable[str] = LAYERS) -> DataFrame:
-    """(layer, table_name) of every table a reader is meant to use."""
+    """(layer, table_name) of every table a reader is meant to use: all but the states of silver."""
     names = [
-        (layer, name) for layer in layers for name in _tables(lake, layer) if not re.search(r"_state(_v\d+)?$", name)
+        (layer, name)
+        for layer in layers
+        for name in _tables(lake, layer)
+        if not (layer == "silver" and _properties(lake, lake.table(layer, name)).get(STATE))
     ]
     return lake.spark.createDataFrame(names, "layer string, table_name string")
 
@@ -171,21 +214,18 @@ def list_namespaces(lake: Lake) -> DataFrame:
 
 
 def append_bronze(
-    lake: Lake, changes: DataFrame, spec: TableSpec, idempotent: bool = True
+    lake: Lake, changes: DataFrame, spec: TableSpec, idempotent: bool = False
 ) -> None:
-    """Add changes to the log, matching columns by name.
+    """Add changes to the log, matching columns by name. Tasks write what they read, without a shuffle.
 
-    With ``idempotent`` the arrival days present in ``changes`` are replaced, so loading a day
-    again does not double it; without, rows are appended as they come.
+    With ``idempotent`` the arrival days present in ``changes`` are replaced instead, for callers that
+    have all of a day at hand: loading it again then does not double it.
     """
     rows = conform(changes, spec).select(*spec.change_schema.fieldNames())
     if lake.catalog:
         writer = rows.writeTo(lake.bronze(spec))
         writer.overwritePartitions() if idempotent else writer.append()
         return
-    # The day is the only partition column; rebalancing on it keeps one writer per small day
-    # and splits a large one.
-    rows = rows.hint("rebalance", EVENT_DATE)
     if idempotent:
         _require_day_overwrite(lake, lake.bronze(spec))
     rows.write.insertInto(lake.bronze(spec), overwrite=idempotent)
@@ -235,31 +275,58 @@ def _state_name(lake: Lake, spec: TableSpec) -> str:
     return lake.table("silver", f"{spec.name}_state")
 
 
-def _state_table(lake: Lake, spec: TableSpec, version: int) -> str:
-    return f"{_state_name(lake, spec)}_v{version}"
+def _properties(lake: Lake, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in lake.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
 
 
-def _version(lake: Lake, spec: TableSpec) -> int | None:
-    """The published snapshot, as recorded on the view."""
+def _published(lake: Lake, spec: TableSpec) -> dict[str, str] | None:
+    """What the silver view records of its snapshot, None before the first."""
     if not lake.spark.catalog.tableExists(lake.silver(spec)):
         return None
-    rows = lake.spark.sql(f"SHOW TBLPROPERTIES {lake.silver(spec)} ('{VERSION}')").collect()
-    return int(rows[0]["value"])
+    return _properties(lake, lake.silver(spec))
+
+
+def _version(lake: Lake, spec: TableSpec) -> int | None:
+    published = _published(lake, spec)
+    return None if published is None else int(published[VERSION])
+
+
+def merged_days(lake: Lake, spec: TableSpec) -> dict[str, str]:
+    """The arrival days that were merged into silver, each with the mark its files had then."""
+    published = _published(lake, spec) or {}
+    return json.loads(published.get(DAYS, "{}"))
+
+
+def day_marks(lake: Lake, spec: TableSpec) -> dict[str, str]:
+    """For each arrival day in bronze, a mark that changes whenever its files do; reads no column data."""
+    files = lake.scan(lake.bronze(spec)).select(
+        EVENT_DATE, F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("at")
+    )
+    per_file = files.groupBy(EVENT_DATE, "path").agg(F.max("at").alias("at"))
+    marks = per_file.groupBy(EVENT_DATE).agg(F.bit_xor(F.xxhash64("path", "at")).alias("mark"))
+    # One row for each arrival day.
+    return {r[EVENT_DATE]: str(r["mark"]) for r in marks.collect()}
 
 
 def read_state(lake: Lake, spec: TableSpec) -> DataFrame:
     """Published state: live rows and tombstones, with the change that produced each."""
     if lake.catalog:
         return lake.spark.table(_state_name(lake, spec))
-    version = _version(lake, spec)
-    if version is None:
+    published = _published(lake, spec)
+    if published is None:
         return lake.spark.createDataFrame([], spec.state_schema)
-    return lake.spark.table(_state_table(lake, spec, version)).select(
-        *spec.state_schema.fieldNames()
-    )
-
-
-def publish_state(lake: Lake, spec: TableSpec, state: DataFrame, aligned: bool = False) -> int:
+    newest = published[SNAPSHOTS].split(",")[0]
+    return lake.spark.table(lake.table("silver", newest)).select(*spec.state_schema.fieldNames())
+
+
+def publish_state(
+    lake: Lake,
+    spec: TableSpec,
+    state: DataFrame,
+    aligned: bool = False,
+    base: int | None = None,
+    days: dict[str, str] | None = None,
+) -> int:
     """Write ``state`` as a new snapshot and point the silver view at it.
 
     The snapshot being read is never overwritten, and readers switch only once the new one is
@@ -267,14 +334,17 @@ def publish_state(lake: Lake, spec: TableSpec, state: DataFrame, aligned: bool =
     so the next merge and joins on the key need not shuffle them, and partitioned by month
     where the table has one. Older snapshots beyond ``keep_versions`` are dropped.
 
+    ``base`` is the version that ``state`` was made from, by default the published one. If another writer has
+    published since, ConcurrentWrite is raised and the new snapshot dropped. ``days`` are recorded as merged.
+
     ``aligned`` says that each task already holds rows of one bucket only, as after a merge into
     a bucketed snapshot; without it the rows are hashed to their buckets first.
     """
     spark = lake.spark
-    old = _version(lake, spec)
-    version = 0 if old is None else old + 1
-    table = _state_table(lake, spec, version)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    base = _version(lake, spec) if base is None else base
+    version = 0 if base is None else base + 1
+    short = f"{spec.name}_state_v{version}_{uuid.uuid4().hex[:12]}"
+    table = lake.table("silver", short)
     columns = spec.state_schema.fieldNames()
     if spec.month_of:
         state = state.withColumn(spec.month_column, F.trunc(spec.month_of, "month"))
@@ -288,39 +358,56 @@ def publish_state(lake: Lake, spec: TableSpec, state: DataFrame, aligned: bool =
     if spec.month_of:
         writer = writer.partitionBy(spec.month_column)
     writer.saveAsTable(table)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{STATE}' = 'true')")
+    published = _published(lake, spec)
+    if (None if published is None else int(published[VERSION])) != base:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        raise ConcurrentWrite(f"{lake.silver(spec)} was published by another writer")
+    published = published or {}
+    snapshots = [short, *filter(None, published.get(SNAPSHOTS, "").split(","))]
+    recorded = json.dumps(json.loads(published.get(DAYS, "{}")) | (days or {}), sort_keys=True)
     names = ", ".join(f"`{c}`" for c in spec.columns)
     month = f", `{spec.month_column}`" if spec.month_of else ""
     spark.sql(
-        f"CREATE OR REPLACE VIEW {lake.silver(spec)} TBLPROPERTIES ('{VERSION}' = '{version}') "
+        f"CREATE OR REPLACE VIEW {lake.silver(spec)} TBLPROPERTIES ('{VERSION}' = '{version}', "
+        f"'{SNAPSHOTS}' = '{','.join(snapshots[: lake.keep_versions])}', '{DAYS}' = '{recorded}') "
         f"AS SELECT {names}{month} FROM {table} WHERE {OP} <> 'd'"
     )
-    if version >= lake.keep_versions:
-        spark.sql(f"DROP TABLE IF EXISTS {_state_table(lake, spec, version - lake.keep_versions)}")
+    for old in snapshots[lake.keep_versions :]:
+        spark.sql(f"DROP TABLE IF EXISTS {lake.table('silver', old)}")
     return version
 
 
-def apply_changes(lake: Lake, changes: DataFrame, spec: TableSpec) -> None:
-    """Upsert and delete silver rows by the latest change of each key."""
+def apply_changes(
+    lake: Lake, changes: DataFrame, spec: TableSpec, days: dict[str, str] | None = None
+) -> None:
+    """Upsert and delete silver rows by the latest change of each key; ``days`` are recorded as merged."""
     if lake.catalog:
         merge_state_into(_state_name(lake, spec), changes, spec)
     else:
-        stored = _version(lake, spec) is not None
-        buckets = lake.state_buckets if stored else None
+        base = _version(lake, spec)
+        buckets = None if base is None else lake.state_buckets
         merged = merge_state(read_state(lake, spec), changes, spec, buckets=buckets)
-        publish_state(lake, spec, merged, aligned=stored)
+        publish_state(lake, spec, merged, aligned=base is not None, base=base, days=days)
 
 
 def scan_silver(
     lake: Lake, spec: TableSpec, first: str | dt.date | None = None, last: str | dt.date | None = None
 ) -> DataFrame:
-    """Silver rows; days ``first`` to ``last`` (both included) also prune month partitions."""
+    """Silver rows; from day ``first`` on, up to day ``last``, both included, also prunes month partitions."""
     df = current_rows(read_state(lake, spec), spec) if lake.catalog else lake.scan(lake.silver(spec))
-    if spec.month_of and first is not None and last is not None:
-        first, last = as_day(first), as_day(last)
+    if (first is not None or last is not None) and not spec.month_of:
+        raise ValueError(f"{spec.name} has no day column to filter by")
+    if first is not None:
+        first = as_day(first)
+        if not lake.catalog:
+            df = df.where(F.col(spec.month_column) >= F.lit(first.replace(day=1)))
+        df = df.where(F.col(spec.month_of) >= F.lit(first))
+    if last is not None:
+        last = as_day(last)
         if not lake.catalog:
-            df = df.where(F.col(spec.month_column).between(first.replace(day=1), last))
-        day = F.col(spec.month_of)
-        df = df.where((day >= F.lit(first)) & (day < F.lit(last + dt.timedelta(days=1))))
+            df = df.where(F.col(spec.month_column) <= F.lit(last))
+        df = df.where(F.col(spec.month_of) < F.lit(last + dt.timedelta(days=1)))
     return df.select(*spec.columns)
 
 

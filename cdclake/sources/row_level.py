@@ -14,9 +14,9 @@ from cdclake.specs import OP, TableSpec
 def merge_into(table: str, changes: DataFrame, spec: TableSpec, seq_col: str | None = None) -> None:
     """MERGE the latest change of each key into ``table``; Spark rewrites only what it touches.
 
-    A change without a code meets none of the conditions and is ignored.
+    Changes without a code are ignored: the latest that has one decides.
     """
-    latest = latest_per_key(changes, spec, seq_col).alias("s")
+    latest = latest_per_key(changes.where(F.col(OP).isNotNull()), spec, seq_col).alias("s")
     source_op = F.col(f"s.{OP}")
     values = {c: F.col(f"s.{c}") for c in spec.columns}
     updates = {c: v for c, v in values.items() if c != spec.pk}

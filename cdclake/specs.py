@@ -41,7 +41,8 @@ class TableSpec:
 
     ``month_of`` names the column whose calendar month partitions silver. ``version_column``
     is the row's own modification time and breaks ties between changes that share a source
-    time. ``compare`` maps the reconciled status column to its (source, target) output names.
+    time. ``seq_column`` names the log sequence, if the capture adds one: it then is part of change files,
+    bronze and silver's state, and orders changes of one source time. ``compare`` maps the reconciled status column to its (source, target) output names.
     """
 
     name: str
@@ -54,6 +55,7 @@ class TableSpec:
     foreign_keys: tuple[ForeignKey, ...] = ()
     defaults: Mapping[str, str] = field(default_factory=dict, hash=False)
     version_column: str | None = None
+    seq_column: str | None = None
     status_column: str | None = None
 
     @property
@@ -67,7 +69,12 @@ class TableSpec:
     @property
     def change_schema(self) -> T.StructType:
         """Schema of a flattened change, which is also the bronze schema."""
-        return T.StructType(list(self.schema.fields) + list(CHANGE_FIELDS))
+        *captured, day = CHANGE_FIELDS  # the partition column of bronze comes last
+        return T.StructType([*self.schema.fields, *captured, *self._sequence, day])
+
+    @property
+    def _sequence(self) -> list[T.StructField]:
+        return [T.StructField(self.seq_column, T.LongType())] if self.seq_column else []
 
     @property
     def file_schema(self) -> T.StructType:
@@ -83,7 +90,7 @@ class TableSpec:
 
     @property
     def state_schema(self) -> T.StructType:
-        return T.StructType(list(self.schema.fields) + list(STATE_FIELDS))
+        return T.StructType([*self.schema.fields, *STATE_FIELDS, *self._sequence])
 
     @property
     def envelope_schema(self) -> T.StructType:

@@ -33,9 +33,11 @@ def stream_silver(
     """Merge each micro-batch into silver.
 
     A batch that is replayed after a failure changes nothing, because the merge only lets newer
-    changes win. With Parquet snapshots every batch writes the table anew: use long or
-    ``availableNow`` triggers there, and a row-level catalog for frequent small batches.
+    changes win. With Parquet snapshots every batch writes the table anew, so only ``availableNow`` and
+    ``once`` triggers are taken there; frequent small batches need a row-level catalog.
     """
+    if not lake.catalog and trigger and not ({"availableNow", "once"} & set(trigger)):
+        raise ValueError("Parquet silver is rewritten by every batch; use availableNow or a row-level catalog")
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         apply_changes(lake, batch, spec)

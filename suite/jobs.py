@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdclake.operators.reconcile import count_reconciliation, union_all, verdict
-from cdclake.plans.jobs import run_reconciliation
-from cdclake.sources.lake import scan_silver
+from cdclake.plans.jobs import (
+    reconciliation_offenders,
+    rejected_table,
+    run_bronze,
+    run_reconciliation,
+    run_silver,
+)
+from cdclake.sources.change_files import write_change_files
+from cdclake.sources.lake import append_bronze, create_bronze, create_layers, scan_silver
 from suite import bindings as b
-from suite.lakes import loaded_lake, plain
+from suite.lakes import empty_lake, fresh_dir, loaded_lake, plain
 from suite.registry import query
 
 # -- marts as SQL over any tables with the right columns ------------------------------------------
@@ -193,6 +202,121 @@ def silver_events(spark: SparkSession, sf: str) -> DataFrame:
     return plain(scan_silver(loaded_lake(spark, sf), b.SPECS["booking_events"]))
 
 
+LOG = {"user_events": b.USER_LOG}
+LIVE_SQL = f"SELECT user_id, event_id, value FROM {b.latest_sql()} WHERE __op <> 'd'"
+
+
+@query("run_silver_steps", LIVE_SQL)
+def silver_in_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze grows in three steps; each merge finds by itself which days are new or were added to."""
+    lake = empty_lake(spark, "steps")
+    create_layers(lake, [b.USER_LOG])
+    log = b.change_log(spark, sf)
+    day = F.col("event_date")
+    late = F.col("event_id") % 10 == 0  # arrives last, on days merged before
+    for part in ((day < b.CUT) & ~late, (day >= b.CUT) & ~late, late):
+        append_bronze(lake, log.where(part), b.USER_LOG)
+        run_silver(lake, specs=LOG)
+    return scan_silver(lake, b.USER_LOG)
+
+
+def _flawed(spark: SparkSession, sf: str) -> DataFrame:
+    """The change log with keys and codes missing here and there."""
+    log = b.change_log(spark, sf)
+    key = F.when(F.col("event_id") % 7 != 0, F.col("user_id"))
+    code = F.when(F.col("event_id") % 5 != 0, F.col("__op"))
+    return log.withColumns({"user_id": key, "__op": code})
+
+
+@query(
+    "run_silver_bad_rows",
+    f"""WITH log AS (SELECT * FROM {b.change_log_sql()}), good AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number()
+        OVER (PARTITION BY user_id ORDER BY __source_ts_ms DESC, {b.RANK_SQL} DESC, event_id DESC) AS rn
+        FROM log WHERE event_id % 7 <> 0 AND event_id % 5 <> 0) WHERE rn = 1 AND __op <> 'd')
+      SELECT 'kept' AS what, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(event_id) AS BIGINT) AS ids FROM good
+      UNION ALL SELECT 'null_keys', count(*), NULL FROM log WHERE event_id % 7 = 0
+      UNION ALL SELECT 'null_ops', count(*), NULL FROM log WHERE event_id % 7 <> 0 AND event_id % 5 = 0""",
+)
+def silver_bad_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows without a key or a code are ignored, and the job counts them."""
+    lake = empty_lake(spark, "flawed")
+    create_layers(lake, [b.USER_LOG])
+    append_bronze(lake, _flawed(spark, sf), b.USER_LOG)
+    (result,) = run_silver(lake, specs=LOG)
+    kept = scan_silver(lake, b.USER_LOG).agg(F.count("*").alias("n_rows"), F.sum("event_id").alias("ids"))
+    counted = [(k, result.counts[k], None) for k in ("null_keys", "null_ops")]
+    return kept.select(F.lit("kept").alias("what"), "n_rows", "ids").unionByName(
+        spark.createDataFrame(counted, "what string, n_rows bigint, ids bigint")
+    )
+
+
+@query(
+    "quarantine",
+    f"""SELECT 'loaded' AS what, CAST(count(*) AS BIGINT) AS n_rows FROM {b.PAYMENTS} WHERE amount < 150000
+      UNION ALL SELECT 'rejected', count(*) FROM {b.PAYMENTS} WHERE amount >= 150000
+      UNION ALL SELECT 'counted', count(*) FROM {b.PAYMENTS} WHERE amount >= 150000""",
+)
+def quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Amounts too large for their type are set aside; the rest of the day is loaded."""
+    spec = b.SPECS["payments"]
+    root, lake = fresh_dir(spark, "overflow"), empty_lake(spark, "overflow")
+    day = b.feed(spark, sf, "payments").where(F.col("event_date") == b.DAY_1)
+    amount = F.col("amount").cast("double")
+    write_change_files(day.withColumn("amount", F.when(amount >= 150000, amount * 1e9).otherwise(amount)), root, spec)
+    create_bronze(lake, [spec])
+    (result,) = run_bronze(lake, root, b.DAY_1, specs={"payments": spec}, quarantine=True)
+    loaded = lake.scan(lake.bronze(spec)).agg(F.count("*").alias("n_rows"))
+    rejected = lake.scan(rejected_table(lake, spec)).agg(F.count("*").alias("n_rows"))
+    return union_all(
+        [
+            loaded.select(F.lit("loaded").alias("what"), "n_rows"),
+            rejected.select(F.lit("rejected").alias("what"), "n_rows"),
+            spark.createDataFrame([("counted", result.counts["rejected"])], "what string, n_rows bigint"),
+        ]
+    )
+
+
+@query("topic_directories", f"SELECT * FROM {b.change_log_sql()} WHERE event_date = '{b.EVENT_DAY}'")
+def topic_directories(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of a sink that names directories by topic."""
+    root, lake, layout = fresh_dir(spark, "topics"), empty_lake(spark, "topics"), "booking.public.{table}"
+    write_change_files(b.change_log(spark, sf), root, b.USER_LOG, layout=layout)
+    create_bronze(lake, [b.USER_LOG])
+    run_bronze(lake, root, b.EVENT_DAY, specs=LOG, layout=layout)
+    return lake.scan(lake.bronze(b.USER_LOG))
+
+
+@query(
+    "sequence_order",
+    f"""SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+      ORDER BY epoch_us(CAST(CAST(strptime(event_date, '%Y-%m-%d') AS DATE) AS TIMESTAMP)) DESC, event_id DESC) AS rn
+      FROM {b.change_log_sql()}) WHERE rn = 1 AND __op <> 'd'""",
+)
+def sequence_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Source times that are equal for a whole day: the log sequence decides, through bronze and silver."""
+    spec = replace(b.USER_LOG, seq_column="lsn")
+    lake = empty_lake(spark, "sequence")
+    create_layers(lake, [spec])
+    log = b.change_log(spark, sf, by_day=True).withColumn("lsn", F.col("event_id").cast("long"))
+    for rest in (1, 0):
+        append_bronze(lake, log.where(F.col("event_id") % 2 == rest), spec)
+        run_silver(lake, specs={"user_events": spec})
+    return scan_silver(lake, spec)
+
+
+@query(
+    "reconciliation_offenders",
+    " UNION ALL ".join(
+        f"""SELECT * FROM (SELECT '{name}' AS table_name, '{b.SPECS[name].status_column}_mismatch' AS check_name,
+          CAST({b.SPECS[name].pk} AS VARCHAR) AS key, 'source=' || src_status || ' silver=' || target_status AS detail
+          FROM ({mismatch_sql(name, b.SPECS[name].pk, b.SPECS[name].status_column)}) ORDER BY {b.SPECS[name].pk} LIMIT 5)"""
+        for name in ("pnr_records", "payments")
+    ),
+)
+def offenders(spark: SparkSession, sf: str) -> DataFrame:
+    return reconciliation_offenders(pairs(spark, sf), b.SPECS)
+
+
 @query("run_gold", GOLD["revenue_by_route"])
 def gold_job(spark: SparkSession, sf: str) -> DataFrame:
     lake = loaded_lake(spark, sf)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +11,20 @@ from pyspark.sql import types as T
 
 from cdclake.plans.jobs import run_bronze, run_gold, run_silver
 from cdclake.sources.change_files import write_change_files
-from cdclake.sources.lake import Lake, create_layers, fresh_dir, init_namespaces
+from cdclake.sources.lake import Lake, create_layers, init_namespaces
+from cdclake.sources.lake import fresh_dir as shared_folder
 from suite import bindings as b
 
 _BUILT: dict[tuple, object] = {}
 
 
+def fresh_dir(spark: SparkSession, label: str) -> str:
+    """A new folder where the cluster says; on one machine, where nothing is set, a temporary one."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
+    return shared_folder(spark, label)
+
+
 def once(spark: SparkSession, sf: str, what: str, build):
     """Build a fixture at most once per application, scale and kind."""
     key = (spark.sparkContext.applicationId, sf, what)
@@ -29,6 +38,7 @@ def empty_lake(spark: SparkSession, label: str) -> Lake:
         spark,
         root=fresh_dir(spark, f"lake-{label}"),
         prefix=f"cdc_{label}_{uuid.uuid4().hex[:8]}_",
+        state_buckets=8,
     )
     init_namespaces(lake)
     return lake

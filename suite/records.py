@@ -280,11 +280,11 @@ def _with_null_ops(log: DataFrame) -> DataFrame:
     "skip_null_op",
     f"""SELECT user_id, event_id, value FROM (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER
       (PARTITION BY user_id ORDER BY __source_ts_ms DESC) AS rn
-      FROM (SELECT * REPLACE (nullif(__op, 'r') AS __op) FROM {b.change_log_sql()})) WHERE rn = 1)
+      FROM (SELECT * FROM {b.change_log_sql()} WHERE __op <> 'r')) WHERE rn = 1)
       WHERE __op <> 'd'""",
 )
 def skip_null_op(spark: SparkSession, sf: str) -> DataFrame:
-    """A latest change without a code leaves the target alone, here: adds nothing."""
+    """Changes without a code are ignored: the latest that has one decides."""
     log = _with_null_ops(b.change_log(spark, sf))
     nothing = spark.createDataFrame([], b.USER_LOG.schema)
     return merge_changes(nothing, log, b.USER_LOG)

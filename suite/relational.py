@@ -20,9 +20,10 @@ from cdclake.operators.reconcile import (
     state_mismatch,
     union_all,
 )
-from cdclake.sources.lake import cluster_for_write, fresh_dir
+from cdclake.sources.lake import cluster_for_write
 from suite import bindings as b
 from suite import jobs
+from suite.lakes import fresh_dir
 from suite.registry import query
 
 # -- joins ----------------------------------------------------------------------------------------

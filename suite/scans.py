@@ -17,7 +17,7 @@ from cdclake.sources.lake import (
     create_bronze,
     create_layers,
     create_silver,
-    fresh_dir,
+    list_namespaces,
     list_tables,
     refresh,
     register_pair,
@@ -27,7 +27,7 @@ from cdclake.sources.lake import (
 from cdclake.specs import MARTS
 from suite import bindings as b
 from suite import jobs
-from suite.lakes import empty_lake, loaded_lake, plain, user_files
+from suite.lakes import empty_lake, fresh_dir, loaded_lake, plain, user_files
 from suite.registry import query
 
 
@@ -66,23 +66,27 @@ def _loaded_twice(spark: SparkSession, sf: str, label: str, idempotent: bool) ->
     changes = read_changes(spark, user_files(spark, sf), b.USER_LOG)
     for _ in range(2):
         append_bronze(lake, changes, b.USER_LOG, idempotent)
-    log = lake.scan(lake.bronze(b.USER_LOG))
-    return log.groupBy("event_date", "__op").agg(
-        F.count("*").alias("n_rows"), F.max("event_id").alias("last_event")
-    )
+    return lake.scan(lake.bronze(b.USER_LOG))
 
 
-_LOADED = """SELECT event_date, __op, {n} * count(*) AS n_rows, max(event_id) AS last_event
-  FROM {log} GROUP BY event_date, __op"""
+@query("append_bronze", f"SELECT * FROM {b.change_log_sql()}")
+def append_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches share every arrival day; both stay."""
+    lake = empty_lake(spark, "append")
+    create_bronze(lake, [b.USER_LOG])
+    changes = read_changes(spark, user_files(spark, sf), b.USER_LOG)
+    for rest in (0, 1):
+        append_bronze(lake, changes.where(F.col("event_id") % 2 == rest), b.USER_LOG)
+    return lake.scan(lake.bronze(b.USER_LOG))
 
 
-@query("append_bronze", _LOADED.format(n=2, log=b.change_log_sql()))
+@query("append_twice", f"SELECT * FROM {b.change_log_sql()} UNION ALL SELECT * FROM {b.change_log_sql()}")
 def append_twice(spark: SparkSession, sf: str) -> DataFrame:
     """Plain append doubles a day that is loaded again."""
-    return _loaded_twice(spark, sf, "append", idempotent=False)
+    return _loaded_twice(spark, sf, "twice", idempotent=False)
 
 
-@query("late_and_replayed", _LOADED.format(n=1, log=b.change_log_sql()))
+@query("late_and_replayed", f"SELECT * FROM {b.change_log_sql()}")
 def replace_day(spark: SparkSession, sf: str) -> DataFrame:
     """Loading a day again replaces it."""
     return _loaded_twice(spark, sf, "replay", idempotent=True)
@@ -221,8 +225,13 @@ def list_catalog(spark: SparkSession, sf: str) -> DataFrame:
       FROM ({_BRONZE_SQL} UNION ALL {_SILVER_SQL} UNION ALL {_GOLD_SQL}) GROUP BY layer""",
 )
 def namespaces(spark: SparkSession, sf: str) -> DataFrame:
+    """The lake's namespaces that the catalog has, with what is in them."""
+    lake = loaded_lake(spark, sf)
+    own = list_namespaces(lake).where(F.col("namespace").startswith(lake.prefix))
+    layers = own.select(F.substring_index("namespace", "_", -1).alias("layer"))
     return (
         list_catalog(spark, sf)
+        .join(layers, "layer")
         .groupBy("layer")
         .agg(F.count("*").alias("n_tables"), F.sum("n_rows").alias("n_rows"))
     )

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdclake.sources.change_files import read_changes, table_path
-from cdclake.sources.lake import create_silver, fresh_dir, scan_silver
+from cdclake.sources.lake import create_silver, scan_silver
 from cdclake.streaming.capture import stream_bronze, stream_changes, write_changes
 from cdclake.streaming.upsert import stream_change_files, stream_silver
 from suite import bindings as b
-from suite.lakes import empty_lake, envelope_files, once, plain, user_files
+from suite.lakes import empty_lake, envelope_files, fresh_dir, once, plain, user_files
 from suite.registry import query
 
 ONCE = {"availableNow": True}

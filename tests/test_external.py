@@ -106,10 +106,10 @@ def test_row_level_state_merge_lets_only_newer_changes_win(spark, merges):
 def test_catalog_tables_use_transforms(monkeypatch):
     statements = []
     fake = type("Session", (), {"sql": lambda self, text: statements.append(text)})()
-    lake = Lake(fake, catalog="cat", provider="fmt")
+    lake = Lake(fake, catalog="cat", provider="fmt", state_buckets=64)
     create_silver(lake, [entity("payments")])
     create_gold(lake)
     assert "cat.silver.payments_state" in statements[0] and "NOT NULL" in statements[0]
-    assert "USING fmt PARTITIONED BY (months(created_at))" in statements[0]
+    assert "USING fmt PARTITIONED BY (months(created_at), bucket(64, payment_id))" in statements[0]
     assert statements[1].startswith("CREATE VIEW IF NOT EXISTS cat.silver.payments_clean")
     assert all("PARTITIONED BY (" in s and "OPTIONS" not in s for s in statements[2:])

@@ -9,7 +9,7 @@ from cdclake.sources import lake as lk
 from cdclake.sources.change_files import table_path, write_change_files
 from cdclake.specs import entity
 from conftest import rows
-from util import at, changes
+from util import ITEM, at, changes
 
 PNR, PAY, SEG = entity("pnr_records"), entity("payments"), entity("flight_segments")
 SPECS = {s.name: s for s in (PNR, PAY, SEG)}
@@ -125,4 +125,85 @@ def test_shuffle_width_follows_the_data():
     def width(n):
         return int(settings(n, cores=16)["spark.sql.shuffle.partitions"])
 
-    assert [width(n) for n in (0, 192 * 1024**2 * 100, 10**15)] == [16, 100, 40_000]
+    assert [width(n) for n in (0, 192 * 1024**2 * 100, 10**15)] == [16, 100, 4_967_054]
+    assert settings(10**15, 16, max_partitions=40_000)["spark.sql.shuffle.partitions"] == "40000"
+
+
+def test_a_wrong_root_is_a_failure(loaded):
+    lake, root = loaded
+    with pytest.raises(FileNotFoundError, match="typo"):
+        run_bronze(lake, root + "/typo", "2024-01-01", specs=SPECS)
+
+
+def test_errors_are_kept_whole(spark, loaded):
+    lake, root = loaded
+    text = spark.createDataFrame([("not a number",)], "amount string")
+    text.write.mode("append").parquet(f"{table_path(root, PAY)}/event_date=2024-01-01/__op=c")
+    with pytest.raises(JobFailed) as failure:
+        run_bronze(lake, root, "2024-01-01", specs=SPECS)
+    bad = next(r for r in failure.value.results if r.status == "failed")
+    assert bad.error is failure.value.__cause__ and bad.detail == str(bad.error)
+
+
+def test_bad_rows_are_set_aside_and_counted(spark, loaded):
+    lake, root = loaded
+    huge = spark.read.parquet(table_path(root, PAY)).limit(1).drop("event_date", "__op").withColumn("amount", F.lit(1e15))
+    huge.write.mode("append").parquet(f"{table_path(root, PAY)}/event_date=2024-01-01/__op=c")
+    for _ in range(2):  # loading again doesn't double what was set aside
+        results = {r.item: r for r in run_bronze(lake, root, "2024-01-01", specs=SPECS, quarantine=True)}
+        assert results["payments"].counts == {"rejected": 1}
+        assert spark.table(jobs.rejected_table(lake, PAY)).count() == 1
+    assert spark.table(lake.bronze(PAY)).count() == 1
+
+
+def test_silver_reads_each_day_once(spark, loaded):
+    lake, root = loaded
+    run_bronze(lake, root, "2024-01-01", specs=SPECS)
+    first = {r.item: r.counts for r in run_silver(lake, specs=SPECS)}
+    assert {c["days"] for c in first.values()} == {1}
+    assert {r.counts["days"] for r in run_silver(lake, specs=SPECS)} == {0}
+    late = spark.table(lake.bronze(PNR)).limit(1).withColumn("event_date", F.lit("2024-01-02")).withColumn("__op", F.lit(None).cast("string"))
+    lk.append_bronze(lake, late, PNR)
+    second = {r.item: r.counts for r in run_silver(lake, specs=SPECS)}
+    assert second["pnr_records"] == {"null_keys": 0, "null_ops": 1, "days": 1}
+    assert second["payments"] == {"days": 0}
+    run_bronze(lake, root, "2024-01-01", specs=SPECS)  # loaded again, so merged again
+    assert {r.counts["days"] for r in run_silver(lake, specs=SPECS)} == {1}
+
+
+def test_directories_named_by_topic(spark, lake, loaded, tmp_path):
+    lake, root = loaded
+    layout = "bookings.public.{table}"
+    again = str(tmp_path / "topics")
+    for spec in SPECS.values():
+        write_change_files(spark.read.parquet(table_path(root, spec)).withColumn("event_date", F.col("event_date").cast("string")), again, spec, layout=layout)
+    assert {r.status for r in run_bronze(lake, again, "2024-01-01", specs=SPECS, layout=layout)} == {"ok"}
+    assert spark.table(lake.bronze(PNR)).count() == 2
+
+
+def test_offenders_and_no_leftovers(spark, loaded):
+    import os
+
+    lake, root = loaded
+    run_bronze(lake, root, "2024-01-01", specs=SPECS)
+    run_silver(lake, specs=SPECS)
+    source = {name: lk.scan_silver(lake, spec) for name, spec in SPECS.items()}
+    source["payments"] = source["payments"].withColumn("payment_status", F.lit("FAILED"))
+    pairs = jobs.load_pairs(lake, lambda spec: source[spec.name], SPECS)
+    found = jobs.reconciliation_offenders(pairs, SPECS).collect()
+    assert [(r.table_name, r.check_name) for r in found] == [("payments", "payment_status_mismatch")]
+    jobs.drop_snapshots(lake, pairs)
+    assert os.listdir(f"{lake.root}/_work") == []
+
+
+def test_sequence_decides_within_a_millisecond(spark, lake):
+    from dataclasses import replace
+
+    spec = replace(ITEM, seq_column="seq")
+    lk.create_layers(lake, [spec])
+    base = changes(spark, [(1, "a", 1, "c", 5), (1, "a", 1, "d", 5), (1, "again", 2, "c", 5)])
+    log = base.withColumn("seq", F.when(F.col("name") == "again", 3).when(F.col("__op") == "d", 2).otherwise(1).cast("long"))
+    for part in (log.where("seq = 3"), log.where("seq < 3")):
+        lk.append_bronze(lake, part, spec)
+        run_silver(lake, specs={"items": spec})
+    assert rows(lk.scan_silver(lake, spec)) == [(1, "again", 2)]

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,10 +41,10 @@ def test_plain_append_doubles_and_day_replacement_does_not(spark, lake):
     log = changes(spark, [(1, "a", 1, "c", 1), (2, "b", 1, "c", 1)])
     first, second = on(log, "2024-01-01"), on(log, "2024-01-02").select(*reversed(log.columns))
     for day in (first, second, second):
-        lk.append_bronze(lake, day, ITEM)
+        lk.append_bronze(lake, day, ITEM, idempotent=True)
     by_day = spark.table(lake.bronze(ITEM)).groupBy("event_date").count()
     assert rows(by_day) == [("2024-01-01", 2), ("2024-01-02", 2)]
-    lk.append_bronze(lake, second, ITEM, idempotent=False)
+    lk.append_bronze(lake, second, ITEM)
     assert spark.table(lake.bronze(ITEM)).count() == 6
 
 
@@ -52,7 +54,7 @@ def test_day_replacement_refuses_a_table_that_would_lose_other_days(spark, lake)
         "PARTITIONED BY (event_date)"
     )
     with pytest.raises(ValueError, match="partitionOverwriteMode"):
-        lk.append_bronze(lake, changes(spark, [(1, "a", 1, "c", 1)]), ITEM)
+        lk.append_bronze(lake, changes(spark, [(1, "a", 1, "c", 1)]), ITEM, idempotent=True)
 
 
 def test_change_files_round_trip_one_day(spark, tmp_path):
@@ -91,7 +93,7 @@ def test_older_files_without_a_column(spark, tmp_path):
 
 @pytest.mark.parametrize("by_day", [False, True])
 def test_refresh_replaces_everything(spark, lake, by_day):
-    lake = lk.Lake(spark, lake.root, lake.prefix, gold_by_day=by_day)
+    lake = lk.Lake(spark, lake.root, lake.prefix, state_buckets=4, gold_by_day=by_day)
     lk.create_gold(lake)
 
     def mart(*days):
@@ -152,8 +154,7 @@ def test_merge_does_not_shuffle_the_bucketed_state(spark, lake, width):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert rows(lk.scan_silver(lake, ITEM).where("name = 'b'"), "id") == [(1,)]
-    table_name = f"{lake.namespace('silver')}.items_state_v2"
-    assert len(spark.table(table_name).inputFiles()) <= lake.state_buckets
+    assert len(lk.read_state(lake, ITEM).inputFiles()) <= lake.state_buckets
 
 
 def test_month_partitions_prune(spark, lake):
@@ -192,3 +193,61 @@ def test_cluster_for_write_puts_a_partition_value_in_one_file(spark, tmp_path):
 
 def test_state_projection(spark):
     assert as_state(changes(spark, []), ITEM).columns == ["id", "name", "qty", "__op", "__source_ts_ms"]
+
+
+def test_a_second_batch_of_a_day_stays(spark, lake):
+    lk.create_bronze(lake, [ITEM])
+    for i in (1, 2):
+        lk.append_bronze(lake, changes(spark, [(i, "a", 1, "c", i)]), ITEM)
+    assert rows(spark.table(lake.bronze(ITEM)), "id") == [(1,), (2,)]
+
+
+def test_appending_needs_no_shuffle(spark, lake):
+    lk.create_bronze(lake, [ITEM])
+    log = changes(spark, [(i, "a", 1, "c", i) for i in range(20)]).repartition(5)
+    lk.append_bronze(lake, log, ITEM)
+    seen = spark.table(lake.bronze(ITEM)).inputFiles()
+    assert len(seen) == 5  # written where it was, not gathered by day
+
+
+def test_one_bound_filters_and_a_table_without_day_refuses(spark, lake):
+    spec = entity("booking_events")
+    lk.create_silver(lake, [spec, ITEM])
+    log = changes(spark, [(i, "A", "CREATED", at(f"2024-0{i}-15 12:00:00"), "c", 1) for i in (1, 2, 3)], spec)
+    lk.apply_changes(lake, log, spec)
+    assert rows(lk.scan_silver(lake, spec, first="2024-02-01"), "event_id") == [(2,), (3,)]
+    assert rows(lk.scan_silver(lake, spec, last="2024-02-15"), "event_id") == [(1,), (2,)]
+    with pytest.raises(ValueError, match="no day column"):
+        lk.scan_silver(lake, ITEM, first="2024-02-01")
+
+
+def test_a_table_named_like_a_state_is_listed(spark, lake):
+    spec = replace(ITEM, name="flight_state")
+    lk.create_bronze(lake, [spec])
+    lk.create_silver(lake, [spec])
+    listed = rows(lk.list_tables(lake, ["bronze", "silver"]), "layer", "table_name")
+    assert listed == [("bronze", "flight_state"), ("silver", "flight_state_clean")]
+
+
+def test_settings_that_lose_data_are_refused(spark, lake):
+    with pytest.raises(ValueError, match="keep_versions"):
+        replace(lake, keep_versions=0)
+    with pytest.raises(ValueError, match="state_buckets"):
+        replace(lake, state_buckets=None)
+
+
+def test_two_writers_do_not_undo_each_other(spark, lake):
+    lk.create_silver(lake, [ITEM])
+    base = lk._version(lake, ITEM)
+    mine = lk.read_state(lake, ITEM)
+    lk.apply_changes(lake, changes(spark, [(1, "theirs", 1, "c", 1)]), ITEM)
+    with pytest.raises(lk.ConcurrentWrite):
+        lk.publish_state(lake, ITEM, mine, base=base)
+    assert rows(lk.scan_silver(lake, ITEM)) == [(1, "theirs", 1)]
+
+
+def test_without_a_shared_folder_there_is_an_error(spark, monkeypatch):
+    context = type("Context", (), {"getCheckpointDir": lambda self: None})()
+    conf = type("Conf", (), {"get": lambda self, key, default: default})()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        lk.shared_dir(type("Session", (), {"conf": conf, "sparkContext": context})())

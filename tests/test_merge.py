@@ -30,10 +30,10 @@ def test_every_merge_outcome(spark):
     ]
 
 
-def test_latest_without_code_hides_older_changes(spark):
-    log = changes(spark, [(1, "older", 1, "u", 5), (1, "newest", 1, None, 10)])
-    assert rows(merge_changes(table(spark, []), log, ITEM)) == []
-    assert rows(merge_changes(table(spark, [(1, "was", 1)]), log, ITEM)) == [(1, "was", 1)]
+def test_changes_without_code_are_ignored(spark):
+    log = changes(spark, [(1, "older", 1, "u", 5), (1, "newest", 1, None, 10), (2, "none", 1, None, 3)])
+    assert rows(merge_changes(table(spark, []), log, ITEM)) == [(1, "older", 1)]
+    assert rows(merge_changes(table(spark, [(1, "was", 1)]), log, ITEM)) == [(1, "older", 1)]
 
 
 def test_merging_again_changes_nothing(spark):

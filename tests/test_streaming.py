@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from cdclake.sources import lake as lk
@@ -118,3 +120,10 @@ def test_kafka_options_and_parsing(spark):
         "subscribePattern": pattern,
     }
     assert rows(got, "topic", "after.id", "op") == [("cdc.shop.dbo.items", 1, "c")]
+
+
+def test_parquet_silver_refuses_frequent_triggers(spark, lake):
+    from cdclake.streaming.upsert import stream_silver
+
+    with pytest.raises(ValueError, match="availableNow"):
+        stream_silver(None, ITEM, lake, "unused", {"processingTime": "5 seconds"})
