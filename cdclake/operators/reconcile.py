@@ -45,6 +45,28 @@ def count_reconciliation(pairs: Pairs) -> DataFrame:
     )
 
 
+def table_profile(pairs: Pairs, specs: Mapping[str, TableSpec]) -> DataFrame:
+    """source_count, silver_count and duplicated_keys of silver per table, each side read once.
+
+    Silver is bucketed by key, so counting its keys moves nothing; its rows are the sum of those counts.
+    """
+    sides = []
+    for table, (source, silver) in pairs.items():
+        keys = silver.groupBy(specs[table].pk).agg(F.count("*").alias("n"))
+        zero = F.lit(0).cast("long")
+        sides.append(source.agg(F.count("*").alias("source_count"), zero.alias("silver_count"), zero.alias("duplicated_keys")))
+        sides.append(
+            keys.agg(
+                zero.alias("source_count"),
+                coalesce_zero(F.sum("n")).alias("silver_count"),
+                F.count_if(F.col("n") > 1).alias("duplicated_keys"),
+            )
+        )
+        sides[-2:] = [side.withColumn("table_name", F.lit(table)) for side in sides[-2:]]
+    numbers = ("source_count", "silver_count", "duplicated_keys")
+    return union_all(sides).groupBy("table_name").agg(*[F.sum(c).alias(c) for c in numbers])
+
+
 def duplicates(df: DataFrame, *columns: str) -> DataFrame:
     """Values of ``columns`` that occur more than once, with their ``occurrence``."""
     return df.groupBy(*columns).agg(F.count("*").alias("occurrence")).where("occurrence > 1")

@@ -12,17 +12,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from cdclake.functions import as_day
+from cdclake.functions import as_day, coalesce_zero
 from cdclake.operators import marts
 from cdclake.operators.changes import unconvertible
 from cdclake.operators.reconcile import (
-    count_reconciliation,
-    duplicate_summary,
-    event_total,
     count_diff_by,
     pk_duplicates,
     sample_violations,
     state_mismatch,
+    table_profile,
     union_all,
     verdict,
 )
@@ -345,22 +343,24 @@ def run_reconciliation(
         )
 
     if "silver" in steps:
-        add(
-            "silver",
+        difference = F.col("silver_count") - F.col("source_count")
+
+        def check(name: str, value, status, detail):
+            return F.struct(
+                F.lit(name).alias("check_name"), value.alias("value"), status.alias("status"), detail.alias("detail")
+            )
+
+        rows = check(
             "row_count_difference",
-            count_reconciliation(pairs),
-            "difference",
-            verdict(F.col("difference") == 0, "WARNING"),
+            difference,
+            verdict(difference == 0, "WARNING"),
             F.format_string("source=%d silver=%d", "source_count", "silver_count"),
         )
-        add(
-            "silver",
-            "duplicated_keys",
-            duplicate_summary({t: (silver, specs[t]) for t, (_, silver) in pairs.items()}),
-            "duplicated_keys",
-            verdict(F.col("duplicated_keys") == 0, "ERROR"),
-            F.lit(""),
+        keys = check(
+            "duplicated_keys", F.col("duplicated_keys"), verdict(F.col("duplicated_keys") == 0, "ERROR"), F.lit("")
         )
+        profile = table_profile(pairs, specs).select("table_name", F.inline(F.array(rows, keys)))
+        checks.append(profile.select(F.lit("silver").alias("step"), "table_name", "check_name", "value", "status", "detail"))
     if "state" in steps:
         for table, (source, silver) in pairs.items():
             if not specs[table].status_column:
@@ -378,19 +378,22 @@ def run_reconciliation(
     if "events_date" in steps:
         day = as_day(date).isoformat()
         source, silver = pairs["booking_events"]
+        by_type = count_diff_by(source, silver, "event_type", day)
+        sums = [coalesce_zero(F.sum(c)).alias(c) for c in ("source_count", "silver_count")]
+        gap = F.abs(F.col("silver_count") - F.col("source_count"))
         add(
             "events_date",
             "event_total_gap",
-            event_total(source, silver, day),
+            by_type.agg(*sums).withColumn("gap", gap),
             "gap",
-            F.col("status"),
+            verdict(F.col("gap") == 0, "WARNING"),
             F.format_string(f"{day} source=%d silver=%d", "source_count", "silver_count"),
             "booking_events",
         )
         add(
             "events_date",
             "event_type_difference",
-            count_diff_by(source, silver, "event_type", day),
+            by_type,
             "difference",
             verdict(F.col("difference") == 0, "WARNING"),
             F.format_string(
