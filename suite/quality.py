@@ -69,6 +69,7 @@ def domain(spark: SparkSession, sf: str) -> DataFrame:
     return check_domain(rows, "kind", ["view", "click"])
 
 
+# The value domains of the tables' specification, restated for the oracle.
 @query(
     "check_domains",
     f"""SELECT 'payment_method' AS column_name, count(*) FILTER (payment_method NOT IN
