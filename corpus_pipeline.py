@@ -30,7 +30,7 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts whose language isn't recognised. The model learns from the given languages of all rows."""
-    found = langid.predict(docs.select(F.struct("*").alias("row"), "text"), langid.train(docs))
+    found = langid.rated(docs, langid.train(docs))
     kept = found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 

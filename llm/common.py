@@ -64,17 +64,17 @@ def release() -> None:
         Scratch.open.pop().drop()
 
 
-def steps(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of the batches of about STEP_BYTES of text, so that memory doesn't follow batch sizes."""
+def steps(batches: Iterator[pa.RecordBatch], most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches of about so many bytes of text, so that memory doesn't follow batch sizes."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_numpy(
+        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_numpy(
             zero_copy_only=False
         )
         first, held = 0, 0
         for i, size in enumerate(sizes.tolist()):
-            if held and held + size > STEP_BYTES:
+            if held and held + size > most:
                 yield batch.slice(first, i - first)
                 first, held = i, 0
             held += size
@@ -87,6 +87,24 @@ def partitions_for(rows: int, per_task: int) -> int:
     return max(1, -(-rows // per_task))
 
 
+def most_frequent(counts: DataFrame, most: int, least: int = 1) -> pa.Table:
+    """The rows of the largest n, at most `most` of them and none below `least`, collected.
+
+    The limit for n comes from a histogram over 32nds of powers of two, a few thousand numbers at most, so that no
+    task has to sort what all others bring.
+    """
+    level = F.floor(F.log2(F.col("n")) * 32).cast("int").alias("level")
+    rows = counts.filter(F.col("n") >= least).groupBy(level).agg(F.count("*").alias("rows")).collect()
+    held, limit = 0, None
+    for row in sorted(rows, key=lambda r: -r["level"]):
+        held += row["rows"]
+        if held > most:
+            break
+        limit = row["level"]
+    chosen = F.lit(False) if limit is None else (F.col("n") >= least) & (level >= limit)
+    return counts.filter(chosen).toArrow()
+
+
 def crc_mod(column: str, modulus: int):
     """crc32 of the id as text, modulo; the rule that holds documents out."""
     return F.crc32(F.col(column).cast("string")) % modulus

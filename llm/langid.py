@@ -21,11 +21,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from llm import tokens
 from llm.common import steps
 from llm.text import buffers, code_points
 
 BITS, ORDERS, SCALE = 16, 3, 30.0
+#: A step holds some 60 bytes for each character.
+STEP = 1 << 20
 UNKNOWN = "und"
 _BLANK = 32
 _FOLDED: list[np.ndarray] = []
@@ -77,8 +81,9 @@ def document_frequencies(docs: DataFrame, bits: int) -> tuple[np.ndarray, int]:
     """In how many texts each feature occurs, over all of them, and how many texts have any."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         total = np.zeros((1 << bits) + 1, np.int64)
-        for batch in steps(batches):
+        for batch in steps(batches, STEP):
             grams, counted, bounds = char_grams(batch.column("text"), bits)
             for a, b in zip(bounds, bounds[1:], strict=False):
                 met = np.zeros((1 << bits) + 1, np.int64)
@@ -101,7 +106,8 @@ def sample_features(docs: DataFrame, bits: int, per_language: int) -> list[tuple
     wanted = docs.sparkSession.createDataFrame([(None if null else i,) for null, i in ids], "doc_id long")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches):
+        tokens.forget()
+        for batch in steps(batches, STEP):
             grams, counted, bounds = char_grams(batch.column("text"), bits)
             rows = []
             for lang, a, b in zip(batch.column("lang").to_pylist(), bounds, bounds[1:], strict=False):
@@ -118,7 +124,12 @@ def sample_features(docs: DataFrame, bits: int, per_language: int) -> list[tuple
     # The ids are as many as the sample.
     texts = docs.select("doc_id", "lang", "text").join(F.broadcast(wanted), "doc_id", "left_semi")
     table = texts.select("lang", "text").mapInArrow(make, "lang string, features array<int>, shares array<float>").toArrow()
-    rows = [(l, np.array(f, np.int64), np.array(s)) for l, f, s in zip(*(table.column(i).to_pylist() for i in range(3)), strict=True)]
+    rows = []
+    for batch in table.to_batches():  # as arrays, for the driver's memory
+        ends = batch.column("features").offsets.to_numpy()
+        features, shares = (batch.column(c).values.to_numpy() for c in ("features", "shares"))
+        for lang, a, b in zip(batch.column("lang").to_pylist(), ends, ends[1:], strict=False):
+            rows.append((lang, features[a:b], shares[a:b]))
     return sorted(rows, key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
 
 
@@ -181,16 +192,21 @@ def train(docs: DataFrame, per_language: int = 1000, bits: int = BITS) -> Model
     return fit(rows, np.log((1 + texts) / (1 + df)) + 1)
 
 
-def predict(docs: DataFrame, model: Model | None, bits: int = BITS) -> DataFrame:
-    """The columns of docs with lang_pred and score behind them; only text is looked at."""
-    names = docs.columns
+def rated(docs: DataFrame, model: Model | None, bits: int = BITS) -> DataFrame:
+    """row, a struct of all columns of docs, lang_pred and score; only text is looked at."""
     fixed = 1 << 20
+    text = docs.columns.index("text")
+
+    def shown(batch: pa.RecordBatch) -> pa.RecordBatch:
+        row = batch.column("row")
+        return pa.RecordBatch.from_arrays([row, row.field(text)], ["row", "text"])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         if model:
             weights = np.rint(model.weights * fixed).astype(np.int64)
-        for batch in steps(batches, "_text"):
-            grams, counted, bounds = char_grams(batch.column("_text"), bits)
+        for batch in steps(map(shown, batches), STEP):
+            grams, counted, bounds = char_grams(batch.column("text"), bits)
             n = np.diff(np.concatenate([[0], np.cumsum(counted.sum(axis=0))])[bounds])
             sums = np.zeros((len(model.languages) if model else 1, len(n)))
             for k in range(len(sums) if model else 0):
@@ -207,10 +223,15 @@ def predict(docs: DataFrame, model: Model | None, bits: int = BITS) -> DataFrame
             else:
                 language, score = [UNKNOWN] * len(n), np.zeros(len(n))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), pa.array(language, pa.string()), pa.array(score, pa.float64())], ["_row", "lang_pred", "score"]
+                [batch.column("row"), pa.array(language, pa.string()), pa.array(score, pa.float64())], ["row", "lang_pred", "score"]
             )
 
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col("text").alias("_text"))
-    row_type = rows.schema["_row"].dataType.simpleString()
-    found = rows.mapInArrow(make, f"_row {row_type}, lang_pred string, score double")
-    return found.select(*[F.col("_row").getField(c).alias(c) for c in names], "lang_pred", "score")
+    rows = docs.select(F.struct("*").alias("row"))
+    schema = T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(make, schema)
+
+
+def predict(docs: DataFrame, model: Model | None, bits: int = BITS) -> DataFrame:
+    """The columns of docs with lang_pred and score behind them."""
+    fields = [F.col("row").getField(c).alias(c) for c in docs.columns]
+    return rated(docs, model, bits).select(*fields, "lang_pred", "score")

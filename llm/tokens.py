@@ -13,7 +13,7 @@ import pyarrow as pa
 from llm.text import LOWER, SPACE, binary_array, buffers
 
 #: Pieces kept in a worker's memory, and the bytes of the longest one that is kept.
-MEMORY, LONGEST = 1_200_000, 48
+MEMORY, LONGEST = 800_000, 48
 _LETTER, _DIGIT, _BLANK, _OTHER = 0, 1, 2, 3
 _CLASS = np.full(256, _OTHER, np.uint8)
 _CLASS[65:91] = _CLASS[97:123] = _LETTER
@@ -30,6 +30,11 @@ def encoder(path: str, spaces: bool) -> Encoder:
     return _ENCODERS[path, spaces]
 
 
+def forget() -> None:
+    """Free the worker's memory of pieces, for tasks of operators that come after."""
+    _ENCODERS.clear()
+
+
 def _unsure(data: np.ndarray) -> np.ndarray:
     """Bytes of characters other than ASCII and the letters U+00C0 to U+00FF."""
     high = data >= 0x80
