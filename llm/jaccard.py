@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import Scratch, steps
+from llm.common import Scratch, most_frequent, steps
 from llm.components import components
 from llm.text import gram_hashes, short_hash, words
 
@@ -79,7 +79,7 @@ def signature(grams: np.ndarray) -> np.ndarray:
 # --- which grams are frequent ------------------------------------------------------------------------
 
 
-def hot_grams(docs: DataFrame, width: int, least: int, most_hot: int) -> tuple[np.ndarray, np.ndarray]:
+def hot_grams(docs: DataFrame, scratch: Scratch, width: int, least: int, most_hot: int) -> tuple[np.ndarray, np.ndarray]:
     """Grams that repeat within tasks and `least` times in all, sorted, with their counts."""
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,19 +102,11 @@ def hot_grams(docs: DataFrame, width: int, least: int, most_hot: int) -> tuple[n
         if held:
             yield counted()
 
-    rows = (
-        docs.select("text")
-        .mapInArrow(repeated, "gram long, n long")
-        .groupBy("gram")
-        .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= least)
-        .orderBy(F.desc("n"), "gram")
-        .limit(most_hot)
-        .collect()
-    )
-    grams = np.array([r["gram"] for r in rows], np.int64).view(np.uint64)
+    counts = docs.select("text").mapInArrow(repeated, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    rows = most_frequent(scratch.table(counts.filter(F.col("n") >= least)), most_hot)
+    grams = rows.column("gram").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(grams)
-    return grams[order], np.array([r["n"] for r in rows], np.int64)[order]
+    return grams[order], rows.column("n").to_numpy().astype(np.int64)[order]
 
 
 def prefix(grams: np.ndarray, hot: np.ndarray, counts: np.ndarray, threshold: Fraction) -> np.ndarray:
@@ -444,7 +436,7 @@ def jaccard_components(
     family_bytes: int = 32 << 20,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, class_id: the smallest doc_id linked, and with the same set."""
-    hot, counts = hot_grams(docs, width, least_hot, most_hot)
+    hot, counts = hot_grams(docs, scratch, width, least_hot, most_hot)
     found = scratch.table(features(docs, width, threshold, hot, counts))
 
     entries = found.filter(F.col("prefix").isNotNull()).select("class", F.explode("prefix").alias("gram"))

@@ -12,8 +12,8 @@ noise for a whole minibatch, so that every step is a few matrix products. A firs
 bounded sample of texts; then every task trains it on all of its share of the training texts, and the
 tasks' models are averaged by their numbers of tokens.
 
-The counts of all words stay a table. The `sent` most frequent go to every task, 2^18 by default; what is rarer
-meets the table in a join.
+The counts of all words stay a table. The most frequent, at most `sent`, 2^18 by default, go to every task; what
+is rarer meets the table in a join.
 
 Defined cases. A null text is empty and has the end alone. Without any training text, counts are zero and
 the base score of every token is log10(1 / (V + 1)) with V = 0. Repeated rows train and score repeatedly. An
@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import Scratch, crc_mod, steps
+from llm.common import Scratch, crc_mod, most_frequent, steps
 from llm.text import words
 
 CLASSES, DIMENSION, SENT = 1024, 24, 1 << 18
@@ -82,8 +82,9 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame, ends: int, classes: int, sent: int) -> Vocabulary:
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(sent).toArrow()
-    names, numbers = top.column("word").to_pylist(), top.column("n").to_pylist()
+    top = most_frequent(counts, sent)
+    pairs = sorted(zip(top.column("n").to_pylist(), top.column("word").to_pylist(), strict=True), key=lambda x: (-x[0], x[1]))
+    names, numbers = [w for _, w in pairs], [n for n, _ in pairs]
     own = {w: k + 3 for k, w in enumerate(names[: classes - 3])}
     rare = total - sum(numbers[: classes - 3])
     return Vocabulary(dict(zip(names, numbers, strict=True)), own, total + ends, distinct + (ends > 0), rare)
