@@ -1,11 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them.
 
-Words are runs without white space, A-Z lower-cased. One pass over all texts counts in how many documents
-each n-gram of the test items occurs. An item's seeds are its n-grams that are rare among its own: no more
-frequent than `rare_factor` times one more than its lower quartile. So an item that is in a third of all
-documents keeps its seeds. A second pass joins the seeds with the texts. Around every hit, the passage that
-could hold the item is aligned with it word by word (match 2, mismatch -1, gap -1); the score is divided by
-the score of an exact copy. Passages that share too few words to reach the threshold are not aligned.
+Words are runs without white space, A-Z lower-cased. Every n-gram of an item is a seed, however many documents
+it occurs in: an edited copy shares only some n-grams with its item, and which ones, or how often the copy is
+repeated, doesn't say that they prove nothing. One pass joins the seeds with the texts. Around every hit, the
+passage that could hold the item is aligned with it word by word (match 2, mismatch -1, gap -1); the score is
+divided by the score of an exact copy. Passages that share too few words to reach the threshold are not aligned.
+A passage without any n-gram of the item in common isn't found.
 
 The test items go to every task in blocks of at most `block_bytes` of text; larger test sets take several
 turns over the texts, so no broadcast grows with either side.
@@ -56,14 +56,6 @@ class Items:
         self.first = np.append(self.first, len(flat))
         self.widths = sorted(set(size))
 
-    def restrict(self, keep: np.ndarray) -> None:
-        """Keep those (gram, place) pairs; grams without a place go."""
-        of = np.repeat(np.arange(len(self.gram)), np.diff(self.first))[keep]
-        grams = self.gram[of]
-        self.item, self.at = self.item[keep], self.at[keep]
-        self.gram, first = np.unique(grams, return_index=True)
-        self.first = np.append(first, len(grams))
-
     def table(self) -> np.ndarray:
         table = np.zeros(1 << _TABLE_BITS, bool)
         table[(self.gram >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
@@ -122,30 +114,7 @@ def _passages(places: np.ndarray, at: np.ndarray, length: int, low: int, high: i
     return [tuple(x) for x in out]
 
 
-def leaks_in_block(docs: DataFrame, items: Items, width: int, threshold: float, rare_factor: float) -> DataFrame:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, total = items.table(), np.zeros(len(items.gram), np.int64)
-        for batch in steps(batches):
-            found = words(batch.column("text"))
-            row, _, gram = _hits(items, table, found.hashes(), found.first)
-            total += np.bincount(np.unique(row * len(items.gram) + gram) % len(items.gram), minlength=len(items.gram))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["gram", "n"])
-
-    docs = docs.select("doc_id", "text")
-    df = np.zeros(len(items.gram), np.int64)
-    # One number for each n-gram of the block, whatever the number of documents.
-    for gram, n in docs.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n")).collect():
-        df[gram] = n
-    of = np.repeat(np.arange(len(items.gram)), np.diff(items.first))
-    keep = np.zeros(len(of), bool)
-    for k in range(len(items.ids)):
-        own = np.flatnonzero(items.item == k)
-        if len(own):
-            own_df = df[of[own]]
-            keep[own] = own_df <= rare_factor * (1 + np.quantile(own_df, 0.25, method="lower"))
-    items.restrict(keep)
-
+def leaks_in_block(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = items.table()
         bags = [np.unique(w, return_counts=True) for w in items.words]
@@ -194,7 +163,7 @@ def leaks_in_block(docs: DataFrame, items: Items, width: int, threshold: float,
                 names = [c.split()[0] for c in LEAK.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds_, strict=True)], names)
 
-    return docs.mapInArrow(find, LEAK)
+    return docs.select("doc_id", "text").mapInArrow(find, LEAK)
 
 
 def leaks(
@@ -202,7 +171,6 @@ def leaks(
     benchmark: DataFrame,
     width: int = 3,
     threshold: float = 0.5,
-    rare_factor: float = 8.0,
     block_bytes: int = 8 << 20,
 ) -> DataFrame:
     """doc_id, item_id, score, n_seeds and the best passage's place, for each document with part of an item."""
@@ -216,5 +184,5 @@ def leaks(
         if own:
             items = Items([r["item_id"] for r in own], [r["text"] for r in own], width)
             if len(items.gram):
-                out = out.unionByName(leaks_in_block(docs, items, width, threshold, rare_factor))
+                out = out.unionByName(leaks_in_block(docs, items, threshold))
     return out

@@ -212,6 +212,21 @@ def test_leaks(spark):
     assert leaks(cases.frame(spark), bench.limit(0)).collect() == []
 
 
+def test_leaks_of_repeated_edited_copies(spark):
+    items = [(i, cases.prose(300 + i, 40)) for i in range(3)]
+    copies = []
+    for i, n in enumerate((9, 100, 400)):
+        words = items[i][1].split(" ")
+        words[3 + i :: 8] = ["zz%d" % k for k in range(len(words[3 + i :: 8]))]
+        copies += [(1000 * (i + 1) + k, cases.prose(10_000 + k, 30) + " " + " ".join(words), None, None, None) for k in range(n)]
+    # One exact copy besides: n-grams that only it has are rarer than those that the edited copies share.
+    copies += [(9000 + i, cases.prose(60 + i, 30) + " " + items[i][1], None, None, None) for i in range(3)]
+    others = [(20_000 + k, cases.prose(5000 + k, 60), None, None, None) for k in range(800)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in leaks(cases.frame(spark, copies + others), bench).collect()}
+    assert found == {(d[0], d[0] % 9000 if d[0] >= 9000 else d[0] // 1000 - 1) for d in copies}
+
+
 # --- quality ---
 
 
