@@ -4,8 +4,10 @@ Fixed patterns give the spans of the kinds assign, access and hex. In addition,
 character class are candidates. A window slides over each; its Shannon entropy follows from
 sum(c * log2 c) over its character counts, changed by the one character that leaves and the one that
 enters. From the first to the last window that reaches the class's threshold a span is added, unless the
-candidate is on the allow list or the span overlaps one that is already there. Spans are in code points,
-ends exclusive.
+candidate is on the allow list. What earlier spans cover of a candidate, and harmless words in it, are cut out
+before: the rest, joined, is what windows slide over, if it is as long as a window and not on the allow list
+itself. The span found there is reported without the covered parts, so it may come in pieces, and with the words
+that lie inside. Spans are in code points, ends exclusive, and those of entropy overlap no other.
 
 Defined cases. A null or empty text has no spans. Repeated rows give repeated results. An empty table
 gives no rows. Other columns are kept by `redact` and not read by `scan`.
@@ -25,16 +27,20 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
 
+#: Words that say nothing: they are cut out of a candidate, the rest is judged.
+WORDS = (
+    r"(?i)example|placeholder|changeme|xxxxxxxx|dummy|sample",
+    r"(?i)0123456789|abcdefghij",
+)
 #: Candidates that are never reported by entropy.
-ALLOWED = (
+SHAPES = (
     r"^[0-9]+$",  # numbers
     r"^[A-Za-z]+$",  # words
     r"^[-+/_=]*(.)\1*[-+/_=]*$",  # one character over and over
     r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",  # UUIDs
-    r"(?i)example|placeholder|changeme|xxxxxxxx|dummy|sample",
-    r"(?i)0123456789|abcdefghij",
     r"^[A-Za-z]+([-_/=+]+[A-Za-z]+)+[-_/=+]*$",  # words joined by signs
 )
+ALLOWED = (*SHAPES, *WORDS)
 
 
 @dataclass(frozen=True)
@@ -51,6 +57,19 @@ CLASSES = (
 )
 
 _NO_SPANS = "CAST(array() AS array<struct<start:int,kind:int,end:int,text:string>>)"
+_NO_PLACES = "CAST(array() AS array<struct<start:int,end:int>>)"
+_TRIMMED = "regexp_replace(c.rest, '^[-+/_=]+|[-+/_=]+$', '')"
+
+
+def _places(text: str, pattern: str) -> str:
+    """SQL: start and end of all matches. The pattern holds nothing that must be quoted."""
+    return f"""
+        aggregate(
+          zip_with(split({text}, '{pattern}', -1), regexp_extract_all({text}, '{pattern}', 0), (g, m) -> struct(length(g) AS gap, length(m) AS n)),
+          struct(0 AS at, {_NO_PLACES} AS found),
+          (acc, x) -> CASE WHEN x.n IS NULL THEN acc ELSE struct(acc.at + x.gap + x.n AS at,
+            concat(acc.found, array(struct(acc.at + x.gap AS start, acc.at + x.gap + x.n AS end))) AS found) END,
+          acc -> acc.found)"""
 
 
 def _spans(text: str, pattern: str, kind: int) -> Column:
@@ -72,14 +91,14 @@ def _spans(text: str, pattern: str, kind: int) -> Column:
     )
 
 
-def _entropy_span(klass: EntropyClass, kind: int) -> str:
-    """SQL: the span of the candidate c, its start and end null if no window reaches the threshold."""
+def _entropy_span(klass: EntropyClass) -> str:
+    """SQL: what of c.rest reaches the threshold, as (low, high); null if no window does."""
     w = klass.window
     g = lambda n: f"(CASE WHEN {n} > 1 THEN {n} * log2({n}) ELSE 0D END)"
-    held = f"substring(c.text, greatest(i - {w} + 1, 1), least(i - 1, {w - 1}))"
+    held = f"substring(c.rest, greatest(i - {w} + 1, 1), least(i - 1, {w - 1}))"
     count = lambda ch: f"(length({held}) - length(replace({held}, {ch}, '')))"
-    enters = count("substring(c.text, i, 1)")
-    leaves = count(f"substring(c.text, i - {w}, 1)")
+    enters = count("substring(c.rest, i, 1)")
+    leaves = count(f"substring(c.rest, i - {w}, 1)")
     total = (
         f"(acc.s + {g(f'({enters} + 1)')} - {g(enters)}"
         f" - CASE WHEN i > {w} THEN {g(f'({leaves} + 1)')} - {g(leaves)} ELSE 0D END)"
@@ -90,9 +109,34 @@ def _entropy_span(klass: EntropyClass, kind: int) -> str:
         THEN struct(x.s AS s, coalesce(x.low, i - {w}) AS low, i AS high) ELSE x END"""
     # An array of one value names the step's result, so that it is computed once.
     return f"""
-        aggregate(sequence(1, length(c.text)), CAST(struct(0D, NULL, NULL) AS struct<s:double,low:int,high:int>),
+        aggregate(sequence(1, length(c.rest)), CAST(struct(0D, NULL, NULL) AS struct<s:double,low:int,high:int>),
           (acc, i) -> transform(array({step}), x -> {mark})[0],
-          acc -> struct(c.start + acc.low AS start, {kind} AS kind, c.start + acc.high AS end, c.text AS text))"""
+          acc -> struct(acc.low AS low, acc.high AS high))"""
+
+
+def _cut(words: str) -> str:
+    """SQL: the candidate c with what is cut out of it (places in c.text) and the places that remain, null for all."""
+    return f"""
+        transform(array(struct(
+            transform(filter(_spans, b -> b.start < c.end AND c.start < b.end),
+              b -> struct(greatest(b.start - c.start, 0) AS start, least(b.end, c.end) - c.start AS end)) AS covered,
+            {words} AS words)),
+          x -> struct(c.start AS start, c.text AS text, array_sort(x.covered) AS covered,
+            CASE WHEN size(x.covered) + size(x.words) > 0 THEN filter(sequence(0, length(c.text) - 1),
+              i -> NOT exists(x.covered, r -> r.start <= i AND i < r.end) AND NOT exists(x.words, r -> r.start <= i AND i < r.end))
+            END AS places))[0]"""
+
+
+def _pieces(kind: int) -> str:
+    """SQL: the spans of the candidate c, whose places from c.hot.low to c.hot.high are found, without covered parts."""
+    piece = lambda a, b: f"array(struct(c.start + {a} AS start, {kind} AS kind, c.start + {b} AS end, c.text AS text))"
+    return f"""
+        transform(array(struct(
+            coalesce(c.places[c.hot.low], c.hot.low) AS low, coalesce(c.places[c.hot.high - 1] + 1, c.hot.high) AS high)),
+          x -> aggregate(filter(c.covered, r -> r.end > x.low AND r.start < x.high), struct(x.low AS at, {_NO_SPANS} AS found),
+            (acc, r) -> struct(greatest(acc.at, r.end) AS at,
+              CASE WHEN r.start > acc.at THEN concat(acc.found, {piece('acc.at', 'r.start')}) ELSE acc.found END AS found),
+            acc -> CASE WHEN acc.at < x.high THEN concat(acc.found, {piece('acc.at', 'x.high')}) ELSE acc.found END))[0]"""
 
 
 def _log2(n: int) -> str:
@@ -108,20 +152,25 @@ def add_spans(docs: DataFrame, classes: tuple[EntropyClass, ...] = CLASSES) -> D
     out = out.withColumn(
         "_base", F.sort_array(F.concat("_assign", _spans("_text", ACCESS, 1), _spans("_text", HEX, 2)))
     )
-    apart = "NOT exists({0}, b -> b.start < e.end AND e.start < b.end)"
-    allowed = " OR ".join("c.text RLIKE '" + p.replace("\\", "\\\\") + "'" for p in ALLOWED)
+    allowed = lambda x: "(" + " OR ".join(f"{x} RLIKE '" + p.replace("\\", "\\\\") + "'" for p in SHAPES) + ")"
+    listed = "|".join(f"(?:{p})" for p in WORDS)
+    words = f"CASE WHEN c.text RLIKE '{listed}' THEN {_places('c.text', listed)} ELSE {_NO_PLACES} END"
     out = out.withColumn("_spans", F.col("_base"))
     for klass in classes:
         kind = KINDS.index(klass.kind)
         out = out.withColumn("_candidates", _spans("_text", klass.pattern, kind))
-        out = out.withColumn(
-            "_candidates", F.expr(f"filter(_candidates, c -> NOT ({allowed}))")
-        ).withColumn("_found", F.expr(f"transform(_candidates, c -> {_entropy_span(klass, kind)})"))
-        out = out.withColumn(
-            "_spans",
-            F.expr(f"concat(_spans, filter(_found, e -> e.start IS NOT NULL AND {apart.format('_spans')}))"),
-        )
-    return out.withColumn("_spans", F.sort_array("_spans")).drop("_text", "_assign", "_candidates", "_found")
+        rest = "CASE WHEN c.places IS NULL THEN c.text ELSE array_join(transform(c.places, i -> substring(c.text, i + 1, 1)), '') END"
+        for step in (
+            f"filter(_candidates, c -> NOT {allowed('c.text')})",
+            f"transform(_candidates, c -> {_cut(words)})",
+            f"transform(_candidates, c -> struct(c.start, c.text, c.covered, c.places, {rest} AS rest))",
+            f"filter(_candidates, c -> length(c.rest) >= {klass.window} AND (c.places IS NULL OR NOT {allowed(_TRIMMED)}))",
+            f"transform(_candidates, c -> struct(c.start, c.text, c.covered, c.places, {_entropy_span(klass)} AS hot))",
+            f"flatten(transform(filter(_candidates, c -> c.hot.low IS NOT NULL), c -> {_pieces(kind)}))",
+        ):
+            out = out.withColumn("_candidates", F.expr(step))
+        out = out.withColumn("_spans", F.concat("_spans", "_candidates"))
+    return out.withColumn("_spans", F.sort_array("_spans")).drop("_text", "_assign", "_candidates")
 
 
 def _written(spans: str) -> Column:

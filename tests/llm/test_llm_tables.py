@@ -152,6 +152,28 @@ def test_redaction(spark):
     assert {k: sorted(map(repr, v)) for k, v in got.items()} == {k: sorted(map(repr, v)) for k, v in by_id.items()}
 
 
+def test_secrets_beside_spans_and_words(spark):
+    rest = "Zq7Rk2Lm9Xw4Tn8Vb3Hs6Yd1Jf5Gp0Kc"
+    texts = {
+        1: f"a 4f9c1e7ab2d80356-{rest} b",
+        2: f"see /sample/dir/{rest} now",
+        3: "key " + rest[:16] + "0123456789" + rest[16:] + " end",
+        4: f"{rest[:12]}4f9c1e7ab2d80356{rest[12:24]} split by hex",
+        5: "example_config_value_for_the_test_suite ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+        6: "deadbeefdeadbeef0-of-the-commit-that-was-made",
+    }
+    df = cases.frame(spark, [(k, t, None, None, None) for k, t in texts.items()])
+    out = {r.doc_id: r.text for r in secrets.redact(df).select("doc_id", "text").collect()}
+    for k in (1, 2, 3, 4):
+        assert not any(rest[i : i + 6] in out[k] for i in range(len(rest) - 5)), out[k]
+    assert out[1].startswith("a [SECRET]") and out[1].endswith(" b") and out[3].endswith(" end")
+    assert out[5] == texts[5]
+    assert out[6] == "[SECRET]-of-the-commit-that-was-made"
+    for r in secrets.scan(df).collect():
+        spans = sorted(tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",") if x)
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
 # --- licences ---
 
 
