@@ -3,9 +3,16 @@
 Byte n-grams of every text are hashed into 2^bits buckets. One pass counts the buckets over all documents, the
 raw multinomial, and over the trusted ones, the target multinomial. A text's score is the sum of
 log(target / raw) over its n-grams, divided by their number plus `shrink`, so that a handful of n-grams
-proves little. A text is kept if the score is at least `least`: the decision is the same for the same text,
+proves little. A text is kept if the score is at least a limit: the decision is the same for the same text,
 nothing is sampled.
 
+The limit comes from labels. A third of the trusted ids, by hash, stays out of the target, so that their scores are
+those of texts the target has not seen. Untrusted rows come with a reason (low quality, toxic, ...). Among the texts
+that pass the base measures, the limit is the multiple of 1 / `LEVELS` with the largest sum of the share of held-out
+trusted texts kept and the share of untrusted ones rejected, the latter averaged over reasons, so that a rare
+reason counts as much as a common one; of equal ones the lowest. Without an untrusted table, or if either side has no
+text left, the limit is `least`, and without an untrusted table all trusted ids make the target.
+
 Base measures, over words (runs without white space) and lines (split at \\n): see `measures`. A text fails
 them with fewer than 10 words or with more than a fifth of its words in repeated 5-word windows.
 
@@ -23,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import steps
+from llm.common import crc_mod, steps
 from llm.text import binary_array, buffers, code_points, gram_hashes, mix, words
 
 BITS, GRAM, SHRINK, LEAST = 18, 4, 32, -0.9
+LEVELS = 1000
 WINDOW = 5
 #: Trusted ids that are sent to every task; more than that are joined by a shuffle.
 MOST_SENT = 1_000_000
@@ -96,9 +104,49 @@ def with_trusted(docs: DataFrame, trusted: DataFrame, most_sent: int = MOST_SENT
     return joined.select("text", F.col("trusted_id").isNotNull().alias("trusted"))
 
 
-def judge(docs: DataFrame, trusted: DataFrame, bits: int = BITS, shrink: int = SHRINK, least: float = LEAST) -> DataFrame:
-    """The measures, base_failed, score and kept for every document. trusted: the doc_ids of the target."""
-    ratios = log_ratios(*bucket_counts(with_trusted(docs, trusted), bits)).astype(np.float32)
+def best_limit(found: DataFrame, held: DataFrame, untrusted: DataFrame, least: float) -> float:
+    """The limit for scores (doc_id, base_failed, score) that tells held-out trusted ids from untrusted ones best."""
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    wrong = untrusted.select(doc_id, F.col("reason").cast("string")).filter("doc_id IS NOT NULL AND reason IS NOT NULL").distinct()
+    right = held.select(doc_id).distinct().join(wrong.select("doc_id"), "doc_id", "left_anti")
+    labels = wrong.unionByName(right.withColumn("reason", F.lit(None).cast("string")))
+    level = F.floor(F.col("score") * LEVELS).cast("int").alias("level")
+    # The scores reach from -6 to 6, so these are a few thousand numbers a reason, whatever the number of rows.
+    counted = found.filter("NOT base_failed").join(labels, "doc_id").groupBy("reason", level).count().collect()
+    if not any(r["reason"] is None for r in counted) or not any(r["reason"] is not None for r in counted):
+        return least
+    low, high = min(r["level"] for r in counted), max(r["level"] for r in counted) + 1
+    below = {r["reason"]: np.zeros(high - low + 1) for r in counted}
+    for reason, at, n in counted:
+        below[reason][at - low + 1] = n
+    share = {k: np.cumsum(v) / v.sum() for k, v in below.items()}
+    gain = np.mean([v for k, v in share.items() if k is not None], axis=0) - share[None]
+    return (low + int(np.argmax(np.round(gain, 12)))) / LEVELS
+
+
+def judge(
+    docs: DataFrame,
+    trusted: DataFrame,
+    bits: int = BITS,
+    shrink: int = SHRINK,
+    least: float = LEAST,
+    untrusted: DataFrame | None = None,
+) -> DataFrame:
+    """The measures, base_failed, score and kept for every document. trusted: the doc_ids of the target.
+
+    untrusted (doc_id, reason): the labelled rows that the limit must tell from the trusted ones.
+    """
+    if untrusted is None:
+        ratios = log_ratios(*bucket_counts(with_trusted(docs, trusted), bits)).astype(np.float32)
+        return rated(docs, ratios, bits, shrink, least)
+    held = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
+    ratios = log_ratios(*bucket_counts(with_trusted(docs, trusted.filter(~held)), bits)).astype(np.float32)
+    limit = best_limit(rated(docs, ratios, bits, shrink, least), trusted.filter(held), untrusted, least)
+    return rated(docs, ratios, bits, shrink, limit)
+
+
+def rated(docs: DataFrame, ratios: np.ndarray, bits: int, shrink: int, least: float) -> DataFrame:
+    """The measures, base_failed, score and kept for every document, by the log ratios of the buckets."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):

@@ -49,8 +49,10 @@ def op3_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_trusted_ratio_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trusted = documents(spark, sf_dir, "labels").filter("quality = 1 AND coalesce(toxic, 0) = 0")
-    return judge(documents(spark, sf_dir), trusted)
+    labels = documents(spark, sf_dir, "labels")
+    trusted = labels.filter("quality = 1 AND coalesce(toxic, 0) = 0")
+    reason = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low quality")
+    return judge(documents(spark, sf_dir), trusted, untrusted=labels.select("doc_id", reason.alias("reason")))
 
 
 @query

@@ -277,6 +277,20 @@ def test_measures_and_verdict(spark):
     assert quality.judge(cases.frame(spark, docs), trusted.limit(0)).count() == len(docs)
 
 
+def test_toxic_texts_are_rejected(spark, tmp_path):
+    from llm.queries import op4_trusted_ratio_quality
+
+    bad = [cases.prose(3000 + i, 200).replace(" the ", " qzarfk ").replace(" of ", " vlumpk ").replace(" to ", " qzarfk ") for i in range(60)]
+    docs = [(i, cases.prose(2000 + i, 200), None, None, None) for i in range(240)] + [(1000 + i, t, None, None, None) for i, t in enumerate(bad)]
+    docs += [(2000 + i, " | ".join(cases.prose(4000 + i, 60).split(" ")) + "$$$", None, None, None) for i in range(60)]
+    labels = [(i, 1, 0) for i in range(120)] + [(1000 + i, 1, 1) for i in range(30)] + [(2000 + i, 0, 0) for i in range(30)]
+    cases.frame(spark, docs).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([*labels, (None, 1, 0), (None, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    kept = {r.doc_id: r.kept for r in op4_trusted_ratio_quality(spark, str(tmp_path)).collect()}
+    assert sum(kept[i] for i in range(240)) >= 230
+    assert not any(kept[k + i] for k in (1000, 2000) for i in range(60))
+
+
 def test_a_score_does_not_depend_on_neighbours(spark):
     docs = cases.rows()
     trusted = spark.createDataFrame([(0,)], "doc_id long")
