@@ -13,7 +13,7 @@ from llm.common import Scratch, crc_mod, documents
 from llm.decontamination import leaks
 from llm.huffman import read_blocks, write_token_files
 from llm.jaccard import jaccard_components
-from llm import langid, lm
+from llm import langid, lm, merkle
 from llm.licenses import scan as scan_licenses
 from llm.licenses import scan_sql as license_sql
 from llm.packing import pack, token_pieces
@@ -103,6 +103,23 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    tampered = F.when(changed, F.replace(docs["text"], F.lit("\n"), F.lit(""))).otherwise(docs["text"])
+    keep = {"doc_id": F.col("doc_id"), "tampered": merkle.leaf(docs, columns, {"text": tampered})}
+    leaf = merkle.leaf(docs, columns)
+    proofs = merkle.manifest(docs, Scratch(spark, "merkle"), "source", "doc_id", leaf, keep).proofs()
+    return (
+        proofs.withColumn("proof_sha256", F.sha2(merkle.siblings(F.col("proof")), 256))
+        .withColumn("folded_root", merkle.folded(F.col("tampered"), F.col("proof")))
+        .withColumn("verified", F.col("folded_root") == F.col("root"))
+        .select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+    )
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
