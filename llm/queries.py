@@ -17,6 +17,7 @@ from llm import langid, lm, merkle
 from llm.licenses import scan as scan_licenses
 from llm.licenses import scan_sql as license_sql
 from llm.packing import pack, token_pieces
+from llm.pii import scan as scan_personal
 from llm.quality import judge
 from llm.secrets import scan as scan_secrets
 from llm.sharding import assign_shards
@@ -103,6 +104,11 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+@query
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_personal(documents(spark, sf_dir))
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
