@@ -19,6 +19,7 @@ from llm.licenses import scan_sql as license_sql
 from llm.packing import pack, token_pieces
 from llm.pii import scan as scan_personal
 from llm.quality import judge
+from llm.repeats import periodic_runs
 from llm.secrets import scan as scan_secrets
 from llm.sharding import assign_shards
 
@@ -104,6 +105,33 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    # Every tenth document, by its checksum, is made periodic from some word on.
+    rewritten = r"""CASE WHEN crc32(string(doc_id)) % 10 = 0 THEN
+        transform(array(struct(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0) AS w, crc32(string(doc_id)) div 10 AS g)),
+          x -> CASE WHEN size(x.w) = 0 THEN text ELSE
+            transform(array(struct(int(x.g % size(x.w)) AS a, int(x.g % 8) AS k)), y ->
+              transform(array(1 + (size(x.w) - y.a) div (3 + y.k)), p ->
+                array_join(transform(x.w, (word, i) -> CASE WHEN i >= y.a THEN x.w[int(y.a + (i - y.a) % p)] ELSE word END), ' '))[0])[0]
+            END)[0]
+        ELSE text END"""
+    found = periodic_runs(docs.withColumn("text", F.expr(rewritten)))
+    longest = "array_max(transform(runs, r -> struct(r.length AS length, -r.start AS before, -r.period AS shorter)))"
+    lines = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    return found.withColumn("best", F.expr(longest)).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.expr("-best.before").alias("start"),
+        F.col("best.length").alias("length"),
+        F.expr("-best.shorter").alias("period"),
+        F.expr("1000 * best.length div -best.shorter").alias("exponent_milli"),
+        F.sha2(F.expr(lines), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query
 def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_personal(documents(spark, sf_dir))

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 def test_all_operators_and_the_pipeline_are_registered():
     names = set(entry.queries())
     assert "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
