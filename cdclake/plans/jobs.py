@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cdclake.functions import as_day, coalesce_zero
 from cdclake.operators import marts
 from cdclake.operators.changes import unconvertible
+from cdclake.operators.evolution import NEW_COLUMNS, IncompatibleSchema, schema_diff
 from cdclake.operators.reconcile import (
     count_diff_by,
     pk_duplicates,
@@ -24,20 +25,22 @@ from cdclake.operators.reconcile import (
     union_all,
     verdict,
 )
-from cdclake.sources.change_files import read_changes
+from cdclake.sources.change_files import found_schema, read_changes
 from cdclake.sources.lake import (
     Lake,
     append_bronze,
     apply_changes,
     create_gold,
-    day_marks,
-    merged_days,
+    logged_spec,
+    merged_files,
     path_exists,
     refresh,
     register_pair,
     remove_dir,
     scan_silver,
+    widen_log,
 )
+from cdclake.sources.ledger import log_files, read_files, unmerged
 from cdclake.specs import ENTITIES, EVENT_DATE, OP, TableSpec
 
 Specs = Mapping[str, TableSpec]
@@ -50,6 +53,7 @@ class JobResult:
     detail: str = ""
     counts: Mapping[str, int] = field(default_factory=dict)  # rows set aside or ignored, by reason
     error: BaseException | None = field(default=None, compare=False, repr=False)
+    left_out: tuple[str, ...] = ()  # columns of the files that the table does not have
 
 
 class JobFailed(RuntimeError):
@@ -62,7 +66,7 @@ class JobFailed(RuntimeError):
 def _run_each(
     job: str,
     items: Iterable[str],
-    work: Callable[[str], Mapping[str, int] | None],
+    work: Callable[[str], Mapping[str, int] | JobResult | None],
     parallel: int,
     strict: bool,
     may_be_missing: bool = False,
@@ -76,7 +80,8 @@ def _run_each(
 
     def attempt(item: str) -> JobResult:
         try:
-            return JobResult(item, "ok", counts=work(item) or {})
+            done = work(item)
+            return done if isinstance(done, JobResult) else JobResult(item, "ok", counts=done or {})
         except AnalysisException as e:
             missing = may_be_missing and e.getCondition() == "PATH_NOT_FOUND"
             return JobResult(item, "missing" if missing else "failed", str(e), error=e)
@@ -113,33 +118,46 @@ def run_bronze(
     strict: bool = True,
     layout: str = "{table}",
     quarantine: bool = False,
+    new_columns: str = "report",
 ) -> list[JobResult]:
     """Load one UTC arrival day of change files into bronze, table by table.
 
-    All of the day is read, so with ``idempotent`` it replaces what an earlier load of the day left. A table
-    without files for the day is ``missing``, which is no failure; a root that does not exist is one.
+    All of the day is read, so with ``idempotent`` it replaces what an earlier load of the day left, also
+    if it holds no row (any more), or only rows that are set aside. A table without files for the day is ``missing``, which is no failure; a root that does not exist is one.
     ``layout`` is the template of the tables' directories. With ``quarantine`` rows with a value that does
     not fit its type go to the table ``<log>_rejected`` and are counted as ``rejected``, the others are
     loaded; without, such a row fails its table.
+
+    Files may lack columns, or have narrower types. Columns that the log lacks are left out and named in
+    ``JobResult.left_out``; with ``new_columns="widen"`` the log gets them, and silver with its next merge; with
+    ``"refuse"`` they fail the table, as other types do in any case.
     """
     day = as_day(date)
+    if new_columns not in NEW_COLUMNS:
+        raise ValueError(f"new_columns is one of {NEW_COLUMNS}")
     if not path_exists(lake.spark, root):
         raise FileNotFoundError(f"no such root of change files: {root}")
 
-    def load(name: str) -> Mapping[str, int]:
-        spec = specs[name]
-        raw = read_changes(lake.spark, root, spec, day, layout=layout, typed=False)
+    def load(name: str) -> JobResult:
+        spec = logged_spec(lake, specs[name])
+        diff = schema_diff(found_schema(lake.spark, root, spec, day, layout), spec)
+        added = [f.name for f in diff.added]
+        if diff.conflicts or (added and new_columns == "refuse"):
+            raise IncompatibleSchema("; ".join([*diff.conflicts, *(f"{c} is new" for c in added)]))
+        if added and new_columns == "widen":
+            spec, added = widen_log(lake, spec, diff.added), []
+        raw = read_changes(lake.spark, root, spec, day, layout=layout, typed=False, retyped=diff.retyped)
         if not quarantine:
-            append_bronze(lake, raw, spec, idempotent)
-            return {}
+            append_bronze(lake, raw, spec, idempotent, day)
+            return JobResult(name, "ok", left_out=tuple(added))
         bad = unconvertible(raw, spec)
         seen = Observation(f"rejected-{name}-{uuid.uuid4().hex}")
         watched = raw.observe(seen, F.count_if(bad).alias("rejected"))
-        append_bronze(lake, watched.where(~bad), spec, idempotent)
+        append_bronze(lake, watched.where(~bad), spec, idempotent, day)
         rejected = seen.get.get("rejected") or 0
         if rejected or idempotent:
             _set_aside(lake, raw.where(bad), spec, day, idempotent)
-        return {"rejected": rejected}
+        return JobResult(name, "ok", counts={"rejected": rejected}, left_out=tuple(added))
 
     return _run_each("bronze", _chosen(tables, specs), load, parallel, strict, may_be_missing=True)
 
@@ -177,35 +195,44 @@ def run_silver(
     """Merge bronze into silver.
 
     ``since`` reads only arrival days from that one on. That is safe even if it overlaps what was
-    merged before, as older or repeated changes do not win. Without it, days are read that were not merged
-    yet or whose files have changed since, as the silver table records; in a V2 catalog all of bronze.
+    merged before, as older or repeated changes do not win. Without it, only files are read that were not merged
+    yet, as a listing of the log compared with what silver records tells; in a V2 catalog all of bronze.
+    ``counts["days"]`` are the arrival days that these belong to.
     Changes without a key or without a code are ignored and counted, as ``null_keys`` and ``null_ops``.
     """
 
     def merge(name: str) -> Mapping[str, int]:
-        spec = specs[name]
-        changes = lake.scan(lake.bronze(spec))
-        days = None
-        if not lake.catalog:
-            marks, merged = day_marks(lake, spec), merged_days(lake, spec)
-            if since is None:
-                days = {d: m for d, m in marks.items() if merged.get(d) != m}
-                if not days and merged:
+        spec = logged_spec(lake, specs[name])
+        log = lake.bronze(spec)
+        first = None if since is None else as_day(since).isoformat()
+        files = days = None
+        if lake.catalog:
+            changes = lake.scan(log)
+        else:
+            files, merged = log_files(lake.spark, log), merged_files(lake, spec)
+            if first is None:
+                changes, days = read_files(lake.spark, log, unmerged(files, merged))
+                if not days and merged is not None:
                     return {"days": 0}
-                changes = changes.where(F.col(EVENT_DATE).isin(sorted(days)))
             else:
-                days = {d: m for d, m in marks.items() if d >= as_day(since).isoformat()}
-        if since is not None:
-            changes = changes.where(F.col(EVENT_DATE) >= as_day(since).isoformat())
+                changes = lake.scan(log)
+                recent = files.where(F.col(EVENT_DATE) >= first)
+                days = recent.select(EVENT_DATE).distinct().count()
+                if merged is None:
+                    files = recent
+                else:
+                    files = recent.unionByName(files.join(merged.where(F.col(EVENT_DATE) < first), files.columns, "left_semi"))
+        if first is not None:
+            changes = changes.where(F.col(EVENT_DATE) >= first)
         seen = Observation(f"ignored-{name}-{uuid.uuid4().hex}")
         changes = changes.observe(
             seen,
             F.count_if(F.col(spec.pk).isNull()).alias("null_keys"),
             F.count_if(F.col(spec.pk).isNotNull() & F.col(OP).isNull()).alias("null_ops"),
         )
-        apply_changes(lake, changes, spec, days)
+        apply_changes(lake, changes, spec, files)
         counts = {k: v or 0 for k, v in seen.get.items()}
-        return counts if days is None else counts | {"days": len(days)}
+        return counts if days is None else counts | {"days": days}
 
     return _run_each("silver", _chosen(tables, specs), merge, parallel, strict)
 

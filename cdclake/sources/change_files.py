@@ -11,6 +11,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cdclake.functions import as_day
 from cdclake.operators.changes import conform
@@ -31,6 +32,7 @@ def read_changes(
     merge_schema: bool = False,
     layout: str = "{table}",
     typed: bool = True,
+    retyped: Iterable[T.StructField] = (),
 ) -> DataFrame:
     """Changes of one table that arrived on the given day(s), typed as bronze.
 
@@ -38,24 +40,42 @@ def read_changes(
     no footers are read to infer it, ``event_date`` stays text, columns missing from older files
     read as NULL and decimals that travelled as doubles are cast back. ``merge_schema`` instead
     takes the union of the files' own schemas, which also keeps columns the spec lacks. A day
-    without a directory raises an AnalysisException. Without ``typed`` rows stay as the files have them.
+    without a directory raises an AnalysisException. Without ``typed`` rows stay as the files have them;
+    ``retyped`` are the columns that files have under another type than the spec says.
     """
     base = table_path(root, spec, layout)
     reader = spark.read.option("basePath", base)
     if merge_schema:
         reader = reader.option("mergeSchema", True)
     else:
-        reader = reader.schema(spec.file_schema)
-    if days is None:
-        raw = reader.parquet(base)
-    else:
-        days = [days] if isinstance(days, (str, dt.date)) else list(days)
-        raw = reader.parquet(*[f"{base}/{EVENT_DATE}={as_day(d).isoformat()}" for d in days])
+        own = {f.name: f for f in retyped}
+        reader = reader.schema(T.StructType([own.get(f.name, f) for f in spec.file_schema]))
+    raw = reader.parquet(*_day_paths(base, days))
     if merge_schema:
         raw = raw.withColumn(EVENT_DATE, F.col(EVENT_DATE).cast("string"))
     return conform(raw, spec) if typed else raw
 
 
+def _day_paths(base: str, days: str | dt.date | Iterable[str | dt.date] | None) -> list[str]:
+    if days is None:
+        return [base]
+    days = [days] if isinstance(days, (str, dt.date)) else list(days)
+    return [f"{base}/{EVENT_DATE}={as_day(d).isoformat()}" for d in days]
+
+
+def found_schema(
+    spark: SparkSession,
+    root: str,
+    spec: TableSpec,
+    days: str | dt.date | Iterable[str | dt.date] | None = None,
+    layout: str = "{table}",
+) -> T.StructType:
+    """The union of the files' own schemas. Footers are read by Spark's tasks, rows are not."""
+    base = table_path(root, spec, layout)
+    reader = spark.read.option("basePath", base).option("mergeSchema", True)
+    return reader.parquet(*_day_paths(base, days)).schema
+
+
 def as_file_rows(changes: DataFrame, spec: TableSpec) -> DataFrame:
     """Known columns in file types, any others behind them."""
     known = spec.file_schema

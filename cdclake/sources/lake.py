@@ -8,12 +8,13 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdclake.functions import as_day
 from cdclake.operators.changes import conform
+from cdclake.operators.evolution import NEW_COLUMNS, IncompatibleSchema
 from cdclake.operators.merge import current_rows, merge_state
 from cdclake.sources.row_level import merge_state_into
 from cdclake.specs import ENTITIES, EVENT_DATE, MARTS, OP, TableSpec
@@ -22,7 +23,8 @@ LAYERS = ("bronze", "silver", "gold")
 # Properties of silver views and state tables.
 VERSION = "cdclake.version"
 SNAPSHOTS = "cdclake.snapshots"
-DAYS = "cdclake.days"
+LEDGERS = "cdclake.ledgers"
+BATCHES = "cdclake.batches"
 STATE = "cdclake.state"
 OVERWRITE_MODE = "partitionOverwriteMode"
 
@@ -213,22 +215,70 @@ def list_namespaces(lake: Lake) -> DataFrame:
 # -- bronze and gold ----------------------------------------------------------------------------
 
 
+def logged_spec(lake: Lake, spec: TableSpec) -> TableSpec:
+    """The spec with the columns that the log was widened by."""
+    known = {n.lower() for n in spec.change_schema.fieldNames()}
+    return spec.widened(f for f in lake.scan(lake.bronze(spec)).schema if f.name.lower() not in known)
+
+
+def widen_log(lake: Lake, spec: TableSpec, fields: Iterable[T.StructField]) -> TableSpec:
+    """Add nullable columns to the log; older rows hold NULL there. Silver has them from its next merge on."""
+    wide = spec.widened(fields)
+    ddl = _ddl(T.StructType(wide.schema.fields[len(spec.schema.fields) :]))
+    lake.spark.sql(f"ALTER TABLE {lake.bronze(spec)} ADD COLUMNS ({ddl})")
+    if lake.catalog:
+        lake.spark.sql(f"ALTER TABLE {_state_name(lake, spec)} ADD COLUMNS ({ddl})")
+        lake.spark.sql(f"DROP VIEW IF EXISTS {lake.silver(spec)}")
+        create_silver(lake, [wide])
+    return wide
+
+
 def append_bronze(
-    lake: Lake, changes: DataFrame, spec: TableSpec, idempotent: bool = False
-) -> None:
+    lake: Lake,
+    changes: DataFrame,
+    spec: TableSpec,
+    idempotent: bool = False,
+    day: str | dt.date | None = None,
+    new_columns: str = "report",
+) -> tuple[str, ...]:
     """Add changes to the log, matching columns by name. Tasks write what they read, without a shuffle.
 
     With ``idempotent`` the arrival days present in ``changes`` are replaced instead, for callers that
-    have all of a day at hand: loading it again then does not double it.
+    have all of a day at hand: loading it again then does not double it. ``day`` names the one day that
+    ``changes`` are all of: it is replaced even if there are none, which leaves it empty.
+    ``new_columns`` says what happens to columns that the log lacks: ``report`` leaves them out, ``widen`` adds them
+    to the log, ``refuse`` raises. The names of those left out are returned.
     """
-    rows = conform(changes, spec).select(*spec.change_schema.fieldNames())
+    if new_columns not in NEW_COLUMNS:
+        raise ValueError(f"new_columns is one of {NEW_COLUMNS}")
+    spec = logged_spec(lake, spec)
+    known = {n.lower() for n in spec.change_schema.fieldNames()}
+    unknown = [f for f in changes.schema if f.name.lower() not in known and not f.name.startswith("__")]
+    if unknown and new_columns == "refuse":
+        raise IncompatibleSchema(f"{lake.bronze(spec)} has no columns {[f.name for f in unknown]}")
+    if unknown and new_columns == "widen":
+        spec, unknown = widen_log(lake, spec, unknown), []
+    rows = conform(changes, spec)
+    replaced = as_day(day).isoformat() if day is not None and idempotent else None
     if lake.catalog:
-        writer = rows.writeTo(lake.bronze(spec))
-        writer.overwritePartitions() if idempotent else writer.append()
-        return
+        writer = rows.select(*spec.change_schema.fieldNames()).writeTo(lake.bronze(spec))
+        if replaced:
+            writer.overwrite(F.col(EVENT_DATE) == replaced)
+        else:
+            writer.overwritePartitions() if idempotent else writer.append()
+        return tuple(f.name for f in unknown)
     if idempotent:
         _require_day_overwrite(lake, lake.bronze(spec))
+    # insertInto goes by position, and columns added later stand behind those of the capture.
+    rows = rows.select(*lake.scan(lake.bronze(spec)).columns)
+    if replaced:
+        # Only partitions that get rows are overwritten; a day that gets none is dropped after the write.
+        seen = Observation(f"loaded-{uuid.uuid4().hex}")
+        rows = rows.observe(seen, F.count_if(F.col(EVENT_DATE) == replaced).alias("loaded"))
     rows.write.insertInto(lake.bronze(spec), overwrite=idempotent)
+    if replaced and not seen.get.get("loaded"):
+        lake.spark.sql(f"ALTER TABLE {lake.bronze(spec)} DROP IF EXISTS PARTITION ({EVENT_DATE} = '{replaced}')")
+    return tuple(f.name for f in unknown)
 
 
 def _require_day_overwrite(lake: Lake, name: str) -> None:
@@ -291,21 +341,25 @@ def _version(lake: Lake, spec: TableSpec) -> int | None:
     return None if published is None else int(published[VERSION])
 
 
-def merged_days(lake: Lake, spec: TableSpec) -> dict[str, str]:
-    """The arrival days that were merged into silver, each with the mark its files had then."""
-    published = _published(lake, spec) or {}
-    return json.loads(published.get(DAYS, "{}"))
+def merged_files(lake: Lake, spec: TableSpec) -> DataFrame | None:
+    """The files of the log that silver was made from, None before the first were recorded."""
+    ledgers = _names((_published(lake, spec) or {}).get(LEDGERS, ""))
+    return lake.spark.table(lake.table("silver", ledgers[0])) if ledgers else None
 
 
-def day_marks(lake: Lake, spec: TableSpec) -> dict[str, str]:
-    """For each arrival day in bronze, a mark that changes whenever its files do; reads no column data."""
-    files = lake.scan(lake.bronze(spec)).select(
-        EVENT_DATE, F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("at")
-    )
-    per_file = files.groupBy(EVENT_DATE, "path").agg(F.max("at").alias("at"))
-    marks = per_file.groupBy(EVENT_DATE).agg(F.bit_xor(F.xxhash64("path", "at")).alias("mark"))
-    # One row for each arrival day.
-    return {r[EVENT_DATE]: str(r["mark"]) for r in marks.collect()}
+def merged_batch(lake: Lake, spec: TableSpec, query_id: str) -> int | None:
+    """The last batch of a streaming query that went into silver, None before the first."""
+    return json.loads((_published(lake, spec) or {}).get(BATCHES, "{}")).get(query_id)
+
+
+def _names(listed: str) -> list[str]:
+    return [name for name in listed.split(",") if name]
+
+
+def _with_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The schema's columns; those that the table got later are NULL."""
+    present = set(df.columns)
+    return df.select(*[F.col(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def read_state(lake: Lake, spec: TableSpec) -> DataFrame:
@@ -315,8 +369,8 @@ def read_state(lake: Lake, spec: TableSpec) -> DataFrame:
     published = _published(lake, spec)
     if published is None:
         return lake.spark.createDataFrame([], spec.state_schema)
-    newest = published[SNAPSHOTS].split(",")[0]
-    return lake.spark.table(lake.table("silver", newest)).select(*spec.state_schema.fieldNames())
+    newest = _names(published[SNAPSHOTS])[0]
+    return _with_columns(lake.spark.table(lake.table("silver", newest)), spec.state_schema)
 
 
 def publish_state(
@@ -325,7 +379,8 @@ def publish_state(
     state: DataFrame,
     aligned: bool = False,
     base: int | None = None,
-    days: dict[str, str] | None = None,
+    files: DataFrame | None = None,
+    batch: tuple[str, int] | None = None,
 ) -> int:
     """Write ``state`` as a new snapshot and point the silver view at it.
 
@@ -335,7 +390,10 @@ def publish_state(
     where the table has one. Older snapshots beyond ``keep_versions`` are dropped.
 
     ``base`` is the version that ``state`` was made from, by default the published one. If another writer has
-    published since, ConcurrentWrite is raised and the new snapshot dropped. ``days`` are recorded as merged.
+    published since, ConcurrentWrite is raised and the new snapshot dropped. ``files`` (all the log's files that the
+    state was made from) and ``batch`` (a streaming query's id and its batch) are recorded by the same switch of the
+    view, so that they never differ from what it shows. Two writers that check at the same moment are not told
+    apart: keep one writer a table.
 
     ``aligned`` says that each task already holds rows of one bucket only, as after a merge into
     a bucketed snapshot; without it the rows are hashed to their buckets first.
@@ -358,37 +416,64 @@ def publish_state(
     if spec.month_of:
         writer = writer.partitionBy(spec.month_column)
     writer.saveAsTable(table)
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{STATE}' = 'true')")
+    made = [short]
+    if files is not None:
+        made.append(f"{spec.name}_files_v{version}_{uuid.uuid4().hex[:12]}")
+        files.write.format(lake.provider).saveAsTable(lake.table("silver", made[1]))
+    for name in made:
+        spark.sql(f"ALTER TABLE {lake.table('silver', name)} SET TBLPROPERTIES ('{STATE}' = 'true')")
     published = _published(lake, spec)
     if (None if published is None else int(published[VERSION])) != base:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        for name in made:
+            spark.sql(f"DROP TABLE IF EXISTS {lake.table('silver', name)}")
         raise ConcurrentWrite(f"{lake.silver(spec)} was published by another writer")
     published = published or {}
-    snapshots = [short, *filter(None, published.get(SNAPSHOTS, "").split(","))]
-    recorded = json.dumps(json.loads(published.get(DAYS, "{}")) | (days or {}), sort_keys=True)
+    snapshots = [short, *_names(published.get(SNAPSHOTS, ""))]
+    ledgers = [*made[1:], *_names(published.get(LEDGERS, ""))]
+    batches = json.loads(published.get(BATCHES, "{}")) | (dict([batch]) if batch else {})
+    properties = {
+        VERSION: str(version),
+        SNAPSHOTS: ",".join(snapshots[: lake.keep_versions]),
+        LEDGERS: ",".join(ledgers[: lake.keep_versions]),
+        BATCHES: json.dumps(batches, sort_keys=True),
+    }
     names = ", ".join(f"`{c}`" for c in spec.columns)
     month = f", `{spec.month_column}`" if spec.month_of else ""
+    listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
     spark.sql(
-        f"CREATE OR REPLACE VIEW {lake.silver(spec)} TBLPROPERTIES ('{VERSION}' = '{version}', "
-        f"'{SNAPSHOTS}' = '{','.join(snapshots[: lake.keep_versions])}', '{DAYS}' = '{recorded}') "
+        f"CREATE OR REPLACE VIEW {lake.silver(spec)} TBLPROPERTIES ({listed}) "
         f"AS SELECT {names}{month} FROM {table} WHERE {OP} <> 'd'"
     )
-    for old in snapshots[lake.keep_versions :]:
+    for old in (*snapshots[lake.keep_versions :], *ledgers[lake.keep_versions :]):
         spark.sql(f"DROP TABLE IF EXISTS {lake.table('silver', old)}")
     return version
 
 
 def apply_changes(
-    lake: Lake, changes: DataFrame, spec: TableSpec, days: dict[str, str] | None = None
-) -> None:
-    """Upsert and delete silver rows by the latest change of each key; ``days`` are recorded as merged."""
+    lake: Lake,
+    changes: DataFrame,
+    spec: TableSpec,
+    files: DataFrame | None = None,
+    batch: tuple[str, int] | None = None,
+) -> bool:
+    """Upsert and delete silver rows by the latest change of each key.
+
+    ``files`` are recorded as what silver now is made from, ``batch`` as the last one of its query. A batch that is
+    recorded already, or an earlier one of its query, is not applied again: False is returned and nothing written. In a V2
+    catalog nothing is recorded, and a repeated batch is merged again, which changes no row.
+    """
     if lake.catalog:
         merge_state_into(_state_name(lake, spec), changes, spec)
-    else:
-        base = _version(lake, spec)
-        buckets = None if base is None else lake.state_buckets
-        merged = merge_state(read_state(lake, spec), changes, spec, buckets=buckets)
-        publish_state(lake, spec, merged, aligned=base is not None, base=base, days=days)
+        return True
+    if batch:
+        last = merged_batch(lake, spec, batch[0])
+        if last is not None and batch[1] <= last:
+            return False
+    base = _version(lake, spec)
+    buckets = None if base is None else lake.state_buckets
+    merged = merge_state(read_state(lake, spec), changes, spec, buckets=buckets)
+    publish_state(lake, spec, merged, aligned=base is not None, base=base, files=files, batch=batch)
+    return True
 
 
 def scan_silver(
@@ -408,7 +493,7 @@ def scan_silver(
         if not lake.catalog:
             df = df.where(F.col(spec.month_column) <= F.lit(last))
         df = df.where(F.col(spec.month_of) < F.lit(last + dt.timedelta(days=1)))
-    return df.select(*spec.columns)
+    return _with_columns(df, spec.schema)
 
 
 # -- names for ad-hoc SQL -------------------------------------------------------------------------

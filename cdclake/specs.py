@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
@@ -42,7 +42,9 @@ class TableSpec:
     ``month_of`` names the column whose calendar month partitions silver. ``version_column``
     is the row's own modification time and breaks ties between changes that share a source
     time. ``seq_column`` names the log sequence, if the capture adds one: it then is part of change files,
-    bronze and silver's state, and orders changes of one source time. ``compare`` maps the reconciled status column to its (source, target) output names.
+    time. ``seq_column`` names the log sequence, if the capture adds one: it then is part of change files,
+    bronze and silver's state, and orders changes of one source time. ``added`` names the columns that came later,
+    with the types the files have. ``compare`` maps the reconciled status column to its (source, target) output names.
     """
 
     name: str
@@ -57,6 +59,7 @@ class TableSpec:
     version_column: str | None = None
     seq_column: str | None = None
     status_column: str | None = None
+    added: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -82,12 +85,19 @@ class TableSpec:
         return T.StructType(
             [
                 T.StructField(f.name, T.DoubleType())
-                if isinstance(f.dataType, T.DecimalType)
+                if isinstance(f.dataType, T.DecimalType) and f.name not in self.added
                 else T.StructField(f.name, f.dataType)
                 for f in self.change_schema
             ]
         )
 
+    def widened(self, fields: Iterable[T.StructField]) -> TableSpec:
+        """The same table with more columns behind the others, all nullable."""
+        more = [T.StructField(f.name, f.dataType) for f in fields]
+        return replace(
+            self, schema=T.StructType([*self.schema.fields, *more]), added=(*self.added, *(f.name for f in more))
+        )
+
     @property
     def state_schema(self) -> T.StructType:
         return T.StructType([*self.schema.fields, *STATE_FIELDS, *self._sequence])

@@ -39,7 +39,7 @@ def _recode(column: str, codes: dict[str, str]):
     return chain
 
 
-def _recode_sql(column: str, codes: dict[str, str]) -> str:
+def recode_sql(column: str, codes: dict[str, str]) -> str:
     return f"CASE {column} " + " ".join(f"WHEN '{c}' THEN '{v}'" for c, v in codes.items()) + " END"
 
 
@@ -62,7 +62,7 @@ def _as_pnr(orders: DataFrame, status: str) -> DataFrame:
 
 
 PNR = f"""(SELECT CAST(o_orderkey AS VARCHAR) AS pnr_id, o_orderpriority AS booking_channel,
-  {_recode_sql('o_orderstatus', BOOKING)} AS booking_status,
+  {recode_sql('o_orderstatus', BOOKING)} AS booking_status,
   o_orderdate AS created_at, o_orderdate AS updated_at FROM orders)"""
 
 
@@ -87,7 +87,7 @@ def _as_payment(orders: DataFrame, status: str) -> DataFrame:
 PAYMENTS = f"""(SELECT CAST(o_orderkey AS VARCHAR) AS payment_id,
   CAST(o_orderkey AS VARCHAR) AS pnr_id, o_orderpriority AS payment_method,
   CAST(o_totalprice AS DECIMAL(12,2)) AS amount, 'VND' AS currency,
-  {_recode_sql('o_orderstatus', PAYMENT)} AS payment_status,
+  {recode_sql('o_orderstatus', PAYMENT)} AS payment_status,
   o_orderdate AS created_at, o_orderdate AS updated_at FROM orders)"""
 
 
@@ -366,7 +366,7 @@ def feed(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 SILVER = {
     "pnr_records": f"""(SELECT CAST(o_orderkey AS VARCHAR) AS pnr_id,
-      o_orderpriority AS booking_channel, {_recode_sql('implied', BOOKING)} AS booking_status,
+      o_orderpriority AS booking_channel, {recode_sql('implied', BOOKING)} AS booking_status,
       o_orderdate AS created_at, o_orderdate AS updated_at FROM {IMPLIED}
       WHERE implied IS NOT NULL)""",
     "passengers": """(SELECT c_custkey AS passenger_id, CAST(c_custkey AS VARCHAR) AS pnr_id,
@@ -384,7 +384,7 @@ SILVER = {
     "payments": f"""(SELECT CAST(o_orderkey AS VARCHAR) AS payment_id,
       CAST(o_orderkey AS VARCHAR) AS pnr_id, o_orderpriority AS payment_method,
       CAST(o_totalprice AS DECIMAL(12,2)) AS amount, 'VND' AS currency,
-      {_recode_sql("coalesce(implied, o_orderstatus)", PAYMENT)} AS payment_status,
+      {recode_sql("coalesce(implied, o_orderstatus)", PAYMENT)} AS payment_status,
       o_orderdate AS created_at, o_orderdate AS updated_at FROM {IMPLIED})""",
     "booking_events": """(SELECT event_id, CAST(user_id AS VARCHAR) AS pnr_id, event_type,
       ts AS created_at FROM events WHERE event_type <> 'error')""",

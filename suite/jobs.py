@@ -16,9 +16,10 @@ from cdclake.plans.jobs import (
     run_silver,
 )
 from cdclake.sources.change_files import write_change_files
-from cdclake.sources.lake import append_bronze, create_bronze, create_layers, scan_silver
+from cdclake.sources.lake import append_bronze, create_bronze, create_layers, logged_spec, merged_files, scan_silver
+from cdclake.sources.ledger import log_files, read_files, unmerged
 from suite import bindings as b
-from suite.lakes import empty_lake, fresh_dir, loaded_lake, plain
+from suite.lakes import empty_lake, fresh_dir, loaded_lake, once, plain
 from suite.registry import query
 
 # -- marts as SQL over any tables with the right columns ------------------------------------------
@@ -276,6 +277,91 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "run_bronze_reload",
+    f"""SELECT payment_id, payment_status, '{b.DAY_1}' AS event_date, 'log' AS kept_in FROM {b.PAYMENTS}
+      UNION ALL SELECT CAST(o_orderkey AS VARCHAR), {b.recode_sql("implied", b.PAYMENT)}, '{b.DAY_2}', 'rejected'
+      FROM {b.IMPLIED} WHERE implied IS NOT NULL""",
+)
+def bronze_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """Day 2 is loaded, then loaded again from files in which no row fits: it ends empty, day 1 stays."""
+    spec = b.SPECS["payments"]
+    root, bad = fresh_dir(spark, "reload"), fresh_dir(spark, "reload")
+    lake = empty_lake(spark, "reload")
+    create_bronze(lake, [spec])
+    feed = b.feed(spark, sf, "payments")
+    write_change_files(feed, root, spec)
+    day_2 = feed.where(F.col("event_date") == b.DAY_2)
+    write_change_files(day_2.withColumn("amount", F.col("amount").cast("double") + 1e12), bad, spec)
+    for where, day in ((root, b.DAY_1), (root, b.DAY_2), (bad, b.DAY_2)):
+        run_bronze(lake, where, day, specs={spec.name: spec}, quarantine=True)
+    field = lambda name: F.get_json_object("row", f"$.{name}").alias(name)
+    log = lake.scan(lake.bronze(spec)).select("payment_id", "payment_status", "event_date")
+    aside = lake.scan(rejected_table(lake, spec)).select(field("payment_id"), field("payment_status"), "event_date")
+    return log.withColumn("kept_in", F.lit("log")).unionByName(aside.withColumn("kept_in", F.lit("rejected")))
+
+
+WIDE_SQL = "CASE WHEN event_type = 'signup' THEN concat_ws('-', event_type, event_id) END"
+
+
+def widened_lake(spark: SparkSession, sf: str):
+    """Day 1 without the column `channel`, day 2 with it, each through bronze and silver."""
+
+    def build():
+        spec = b.SPECS["booking_events"]
+        root, lake = fresh_dir(spark, "widened"), empty_lake(spark, "widened")
+        create_layers(lake, [spec])
+        feed = b.feed(spark, sf, "booking_events").where(F.col("event_date") == b.DAY_1)
+        write_change_files(feed, root, spec)
+        later = feed.where("event_type = 'signup'").withColumns(
+            {"channel": F.concat_ws("-", "event_type", "event_id"), "event_date": F.lit(b.DAY_2), "__op": F.lit("u"), "__source_ts_ms": F.lit(b.MS_2).cast("long")}
+        )
+        write_change_files(later, root, spec)
+        for day in (b.DAY_1, b.DAY_2):
+            run_bronze(lake, root, day, specs={spec.name: spec}, new_columns="widen")
+            run_silver(lake, specs={spec.name: spec})
+        return lake, logged_spec(lake, spec)
+
+    return once(spark, sf, "widened", build)
+
+
+@query("schema_widening", f"SELECT *, {WIDE_SQL} AS channel FROM {b.EVENTS}")
+def schema_widening(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver after a column came with day 2."""
+    return plain(scan_silver(*widened_lake(spark, sf)))
+
+
+@query(
+    "schema_widening_log",
+    f"""SELECT event_id, 'r' AS __op, '{b.DAY_1}' AS event_date, NULL AS channel FROM {b.EVENTS}
+      UNION ALL SELECT event_id, 'u', '{b.DAY_2}', {WIDE_SQL} FROM {b.EVENTS} WHERE event_type = 'signup'""",
+)
+def schema_widening_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Both days of the log read back under the wider schema."""
+    lake, spec = widened_lake(spark, sf)
+    return lake.scan(lake.bronze(spec)).select("event_id", "__op", "event_date", "channel")
+
+
+@query(
+    "run_silver_files",
+    f"""SELECT event_date, count(*) AS n_rows, CAST(count(*) FILTER (event_id % 10 = 0) AS BIGINT) AS n_fresh
+      FROM {b.change_log_sql()} GROUP BY event_date""",
+)
+def silver_files(spark: SparkSession, sf: str) -> DataFrame:
+    """What the next merge would read after rows were added to days merged before: the new files' rows alone."""
+    lake = empty_lake(spark, "files")
+    create_layers(lake, [b.USER_LOG])
+    log, late = b.change_log(spark, sf), F.col("event_id") % 10 == 0
+    append_bronze(lake, log.where(~late), b.USER_LOG)
+    run_silver(lake, specs=LOG)
+    append_bronze(lake, log.where(late), b.USER_LOG)
+    name = lake.bronze(b.USER_LOG)
+    fresh, _ = read_files(spark, name, unmerged(log_files(spark, name), merged_files(lake, b.USER_LOG)))
+    whole = lake.scan(name).groupBy("event_date").agg(F.count("*").alias("n_rows"))
+    new = fresh.groupBy("event_date").agg(F.count("*").alias("n_fresh"))
+    return whole.join(new, "event_date", "left").fillna(0, ["n_fresh"])
+
+
 @query("topic_directories", f"SELECT * FROM {b.change_log_sql()} WHERE event_date = '{b.EVENT_DAY}'")
 def topic_directories(spark: SparkSession, sf: str) -> DataFrame:
     """Files of a sink that names directories by topic."""

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdclake.sources.change_files import read_changes, table_path
-from cdclake.sources.lake import create_silver, scan_silver
+from cdclake.sources.lake import apply_changes, create_silver, merged_batch, read_state, scan_silver
 from cdclake.streaming.capture import stream_bronze, stream_changes, write_changes
-from cdclake.streaming.upsert import stream_change_files, stream_silver
+from cdclake.streaming.upsert import query_id, stream_change_files, stream_silver
 from suite import bindings as b
 from suite.lakes import empty_lake, envelope_files, fresh_dir, once, plain, user_files
 from suite.registry import query
@@ -79,3 +79,27 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
     log = stream_change_files(spark, user_files(spark, sf), b.USER_LOG, maxFilesPerTrigger="40")
     stream_silver(log, b.USER_LOG, lake, fresh_dir(spark, "ckpt"), ONCE).awaitTermination()
     return plain(scan_silver(lake, b.USER_LOG))
+
+
+@query(
+    "stream_replay",
+    f"""SELECT user_id, event_id, value, false AS applied, false AS files_changed FROM {b.latest_sql()}
+      WHERE __op <> 'd'""",
+)
+def replay(spark: SparkSession, sf: str) -> DataFrame:
+    """The last batch handed in again under its id, with every value changed: known, so nothing is merged or written."""
+    lake, checkpoint = empty_lake(spark, "replay"), fresh_dir(spark, "ckpt")
+    create_silver(lake, [b.USER_LOG])
+    root = user_files(spark, sf)
+    log = stream_change_files(spark, root, b.USER_LOG, maxFilesPerTrigger="60")
+    stream_silver(log, b.USER_LOG, lake, checkpoint, ONCE).awaitTermination()
+    query = query_id(spark, checkpoint)
+    files = read_state(lake, b.USER_LOG).inputFiles()
+    again = read_changes(spark, root, b.USER_LOG).withColumns(
+        {"value": F.lit(-1.0), "__source_ts_ms": F.col("__source_ts_ms") + 1}
+    )
+    applied = apply_changes(lake, again, b.USER_LOG, batch=(query, merged_batch(lake, b.USER_LOG, query)))
+    changed = files != read_state(lake, b.USER_LOG).inputFiles()
+    return scan_silver(lake, b.USER_LOG).withColumns(
+        {"applied": F.lit(applied), "files_changed": F.lit(changed)}
+    )

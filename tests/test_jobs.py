@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from cdclake.plans import jobs
 from cdclake.plans.jobs import JobFailed, run_bronze, run_gold, run_silver, snapshot, write_report
 from cdclake.sources import lake as lk
+from cdclake.sources import ledger
 from cdclake.sources.change_files import table_path, write_change_files
 from cdclake.specs import entity
 from conftest import rows
@@ -207,3 +209,128 @@ def test_sequence_decides_within_a_millisecond(spark, lake):
         lk.append_bronze(lake, part, spec)
         run_silver(lake, specs={"items": spec})
     assert rows(lk.scan_silver(lake, spec)) == [(1, "again", 2)]
+
+
+def test_a_reload_without_good_rows_empties_the_day(spark, loaded):
+    lake, root = loaded
+    run_bronze(lake, root, "2024-01-01", specs=SPECS)
+    lk.append_bronze(lake, spark.table(lake.bronze(PAY)).withColumn("event_date", F.lit("2024-01-02")), PAY)
+    good = spark.read.parquet(table_path(root, PAY)).drop("event_date", "__op")
+
+    def reload(rows, **options):
+        again = f"{root}-{len(os.listdir(os.path.dirname(root)))}"
+        for spec in SPECS.values():
+            target = f"{table_path(again, spec)}/event_date=2024-01-01/__op=c"
+            (rows if spec is PAY else spark.read.parquet(table_path(root, spec)).drop("event_date", "__op")).write.parquet(target)
+        results = {r.item: r for r in run_bronze(lake, again, "2024-01-01", specs=SPECS, **options)}
+        return results["payments"], rows_by_day()
+
+    def rows_by_day():
+        return rows(spark.table(lake.bronze(PAY)).groupBy("event_date").count())
+
+    import os
+
+    assert rows_by_day() == [("2024-01-01", 1), ("2024-01-02", 1)]
+    assert reload(good.limit(0))[1] == [("2024-01-02", 1)]
+    run_bronze(lake, root, "2024-01-01", specs=SPECS)
+    result, left = reload(good.withColumn("amount", F.lit(1e15)), quarantine=True)
+    assert result.counts == {"rejected": 1} and left == [("2024-01-02", 1)]
+    assert spark.table(jobs.rejected_table(lake, PAY)).count() == 1
+    result, left = reload(good, quarantine=True)
+    assert result.counts == {"rejected": 0} and left == [("2024-01-01", 1), ("2024-01-02", 1)]
+    assert spark.table(jobs.rejected_table(lake, PAY)).count() == 0
+
+
+def test_only_added_files_are_read(spark, lake):
+    lk.create_layers(lake, [ITEM])
+    lk.append_bronze(lake, changes(spark, [(i, "a", 1, "c", 1) for i in range(20)]).repartition(4), ITEM)
+    run_silver(lake, specs={"items": ITEM})
+    lk.append_bronze(lake, changes(spark, [(3, "b", 1, "u", 2)]).coalesce(1), ITEM)
+    name = lake.bronze(ITEM)
+    listed = ledger.log_files(spark, name)
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" in plan and "Parquet" not in plan and "content" not in plan.split("ReadSchema")[1]
+    fresh = ledger.unmerged(listed, lk.merged_files(lake, ITEM))
+    changed, days = ledger.read_files(spark, name, fresh)
+    assert days == 1 and len(changed.inputFiles()) == 1 and rows(changed, "id", "name", "event_date") == [(3, "b", "2024-01-01")]
+    by_day, _ = ledger.read_files(spark, name, fresh, by_name=0)
+    assert by_day.count() == 21  # too many files to name: their whole days, which merges to the same
+    assert run_silver(lake, specs={"items": ITEM})[0].counts["days"] == 1
+    assert run_silver(lake, specs={"items": ITEM})[0].counts == {"days": 0}
+    assert rows(lk.scan_silver(lake, ITEM).where("id = 3")) == [(3, "b", 1)]
+
+
+def test_merged_files_follow_since_and_versions(spark, lake):
+    lk.create_layers(lake, [ITEM])
+    log = changes(spark, [(1, "a", 1, "c", 1)])
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        lk.append_bronze(lake, log.withColumn("event_date", F.lit(day)), ITEM)
+    assert run_silver(lake, since="2024-01-02", specs={"items": ITEM})[0].counts["days"] == 2
+    assert rows(lk.merged_files(lake, ITEM), "event_date") == [("2024-01-02",), ("2024-01-03",)]
+    assert run_silver(lake, specs={"items": ITEM})[0].counts["days"] == 1
+    for _ in range(4):
+        lk.apply_changes(lake, log, ITEM)
+    assert lk.merged_files(lake, ITEM).count() == 3  # kept while other writers publish
+    lk.append_bronze(lake, log.withColumn("event_date", F.lit("2024-01-02")), ITEM, idempotent=True)
+    assert run_silver(lake, since="2024-01-03", specs={"items": ITEM})[0].counts["days"] == 1
+    assert run_silver(lake, specs={"items": ITEM})[0].counts["days"] == 1
+    kept = [r.tableName for r in spark.sql(f"SHOW TABLES IN {lake.namespace('silver')}").collect()]
+    assert sum("_files_v" in t for t in kept) == lake.keep_versions
+    assert ("silver", "items_clean") in rows(lk.list_tables(lake)) and not any("_files_v" in r[1] for r in rows(lk.list_tables(lake)))
+
+
+def test_new_columns(spark, lake, tmp_path):
+    root = str(tmp_path / "raw")
+    lk.create_layers(lake, [ITEM])
+    specs = {"items": ITEM}
+    log = changes(spark, [(1, "a", 1, "c", 1), (2, "b", 2, "c", 1)])
+    write_change_files(log, root, ITEM)
+    later = changes(spark, [(2, "bb", 2, "u", 2), (3, "c", 3, "c", 2)]).withColumns(
+        {"event_date": F.lit("2024-01-02"), "colour": F.lit("red"), "price": F.lit(1.5).cast("decimal(9,2)"), "__extra": F.lit(1)}
+    )
+    write_change_files(later, root, ITEM)
+    run_bronze(lake, root, "2024-01-01", specs=specs)
+    run_silver(lake, specs=specs)
+    (result,) = run_bronze(lake, root, "2024-01-02", specs=specs)
+    assert result.left_out == ("colour", "price") and "colour" not in spark.table(lake.bronze(ITEM)).columns
+    with pytest.raises(JobFailed, match="colour is new"):
+        run_bronze(lake, root, "2024-01-02", specs=specs, new_columns="refuse")
+    with pytest.raises(ValueError, match="new_columns"):
+        run_bronze(lake, root, "2024-01-02", specs=specs, new_columns="whatever")
+    (result,) = run_bronze(lake, root, "2024-01-02", specs=specs, new_columns="widen")
+    assert result.left_out == ()
+    wide = lk.logged_spec(lake, ITEM)
+    assert wide.columns == ["id", "name", "qty", "colour", "price"]
+    assert lk.scan_silver(lake, wide).where("colour IS NULL").count() == 2  # before the next merge
+    run_silver(lake, specs=specs)
+    got = rows(lk.scan_silver(lake, wide).withColumn("price", F.col("price").cast("string")))
+    assert got == [(1, "a", 1, None, None), (2, "bb", 2, "red", "1.50"), (3, "c", 3, "red", "1.50")]
+    assert rows(lk.scan_silver(lake, ITEM), "id") == [(1,), (2,), (3,)]
+    # Files of before, and appends without the column, still fit.
+    run_bronze(lake, root, "2024-01-01", specs=specs)
+    lk.append_bronze(lake, changes(spark, [(4, "d", 4, "c", 3)]), ITEM)
+    run_silver(lake, specs=specs)
+    assert rows(lk.scan_silver(lake, wide), "id", "colour") == [(1, None), (2, "red"), (3, "red"), (4, None)]
+    heavy = changes(spark, []).withColumn("weight", F.lit(1))
+    assert lk.append_bronze(lake, heavy, ITEM) == ("weight",)
+    assert lk.append_bronze(lake, heavy, ITEM, new_columns="widen") == ()
+    assert lk.logged_spec(lake, ITEM).columns[-1] == "weight"
+
+
+def test_incompatible_files_are_refused(spark, lake, tmp_path):
+    root = str(tmp_path / "raw")
+    lk.create_layers(lake, [ITEM])
+    log = changes(spark, [(1, "a", 1, "c", 1)]).drop("event_date", "__op")
+    for day, rows_ in (
+        ("2024-01-01", log.withColumn("qty", F.lit("many"))),
+        ("2024-01-02", log.drop("id")),
+        ("2024-01-03", log.withColumn("id", F.col("id").cast("int"))),
+    ):
+        rows_.write.parquet(f"{table_path(root, ITEM)}/event_date={day}/__op=c")
+    with pytest.raises(JobFailed, match="qty is string, not int"):
+        run_bronze(lake, root, "2024-01-01", specs={"items": ITEM})
+    with pytest.raises(JobFailed, match="key id is missing"):
+        run_bronze(lake, root, "2024-01-02", specs={"items": ITEM})
+    assert spark.table(lake.bronze(ITEM)).count() == 0
+    run_bronze(lake, root, "2024-01-03", specs={"items": ITEM})  # narrower than the log's type
+    assert rows(spark.table(lake.bronze(ITEM)), "id") == [(1,)]

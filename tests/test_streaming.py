@@ -127,3 +127,34 @@ def test_parquet_silver_refuses_frequent_triggers(spark, lake):
 
     with pytest.raises(ValueError, match="availableNow"):
         stream_silver(None, ITEM, lake, "unused", {"processingTime": "5 seconds"})
+
+
+def test_a_replayed_batch_is_skipped(spark, lake, tmp_path):
+    from cdclake.streaming.upsert import query_id
+
+    root, checkpoint = str(tmp_path / "raw"), str(tmp_path / "ckpt")
+    lk.create_silver(lake, [ITEM])
+
+    def merge(checkpoint=checkpoint):
+        stream_silver(stream_change_files(spark, root, ITEM), ITEM, lake, checkpoint, ONCE).awaitTermination()
+        return query_id(spark, checkpoint)
+
+    write_change_files(changes(spark, [(1, "a", 1, "c", 1)]), root, ITEM)
+    query = merge()
+    assert lk.merged_batch(lake, ITEM, query) == 0 and lk.merged_batch(lake, ITEM, "other") is None
+    version, files = lk._version(lake, ITEM), lk.read_state(lake, ITEM).inputFiles()
+    newer = changes(spark, [(1, "b", 2, "u", 9)])
+    assert lk.apply_changes(lake, newer, ITEM, batch=(query, 0)) is False
+    assert (lk._version(lake, ITEM), lk.read_state(lake, ITEM).inputFiles()) == (version, files)
+    # The commit log is lost with the last entry: the query hands in its batch again.
+    (tmp_path / "ckpt" / "commits" / "0").unlink()
+    for crc in (tmp_path / "ckpt" / "commits").glob(".0*"):
+        crc.unlink()
+    assert merge() == query and lk._version(lake, ITEM) == version
+    write_change_files(newer.withColumn("event_date", F.lit("2024-01-02")), root, ITEM)
+    assert merge() == query and lk.merged_batch(lake, ITEM, query) == 1
+    assert rows(lk.scan_silver(lake, ITEM)) == [(1, "b", 2)]
+    # A new checkpoint is a new query, whose batches count anew.
+    other = merge(str(tmp_path / "ckpt2"))
+    assert other != query and lk.merged_batch(lake, ITEM, other) == 0
+    assert lk.merged_batch(lake, ITEM, query) == 1
