@@ -298,6 +298,49 @@ def flat_view(changes: DataFrame) -> DataFrame:
     )
 
 
+def change_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event as a flattened change of booking_events, at its own time."""
+    return booking_events(spark, sf).select(
+        "event_id",
+        "pnr_id",
+        "event_type",
+        F.col("created_at").cast("timestamp").alias("created_at"),
+        op_code().alias("__op"),
+        epoch_ms(F.col("created_at")).alias("__source_ts_ms"),
+    )
+
+
+def as_messages(changes: DataFrame, spec: TableSpec, *keep: str) -> DataFrame:
+    """Flattened changes as the broker's messages: JSON envelopes with topic, place and arrival time."""
+
+    def wire(f):
+        if isinstance(f.dataType, T.TimestampType):
+            return epoch_ms(F.col(f.name))
+        if isinstance(f.dataType, T.DateType):
+            return F.unix_date(f.name)
+        return F.col(f.name).cast("double") if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+
+    row = F.struct(*[wire(f).alias(f.name) for f in spec.schema])
+    deleted = F.col("__op") == "d"
+    ts = F.col("__source_ts_ms")
+    envelope = F.struct(
+        F.when(deleted, row).alias("before"),
+        F.when(~deleted, row).alias("after"),
+        F.struct(ts.alias("ts_ms"), F.lit(spec.name).alias("table")).alias("source"),
+        F.col("__op").alias("op"),
+        ts.alias("ts_ms"),
+    )
+    place = F.pmod(F.xxhash64(F.col(spec.pk)), F.lit(1 << 40))
+    return changes.select(
+        F.lit(f"cdc.shop.dbo.{spec.name}").alias("topic"),
+        (place % 3).cast("int").alias("partition"),
+        place.alias("offset"),
+        F.timestamp_millis(ts).alias("timestamp"),
+        F.to_json(envelope).alias("value"),
+        *keep,
+    )
+
+
 # -- the end-to-end feed ----------------------------------------------------------------------------
 # Day 1 is a snapshot of every table. On day 2 bookings and payments take the status their lines
 # imply, bookings without lines are deleted, returned segments are deleted, customers in debt lose
@@ -389,6 +432,19 @@ SILVER = {
     "booking_events": """(SELECT event_id, CAST(user_id AS VARCHAR) AS pnr_id, event_type,
       ts AS created_at FROM events WHERE event_type <> 'error')""",
 }
+
+
+def row_text(spec: TableSpec, millis: str = "epoch_us({}) // 1000") -> str:
+    """SQL for all columns of a row as one text, times as epoch milliseconds by the dialect's expression."""
+
+    def text(f):
+        if isinstance(f.dataType, T.TimestampType):
+            return f"CAST({millis.format(f.name)} AS STRING)"
+        return f"CAST({f.name} AS STRING)"
+
+    return "concat_ws('|', " + ", ".join(f"coalesce({text(f)}, '-')" for f in spec.schema) + ")"
+
+
 # How many changes each table's feed holds, by day.
 FEED_COUNTS = {
     "pnr_records": ("orders", "orders"),

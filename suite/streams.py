@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from cdclake.sources.change_files import read_changes, table_path
 from cdclake.sources.lake import apply_changes, create_silver, merged_batch, read_state, scan_silver
 from cdclake.streaming.capture import stream_bronze, stream_changes, write_changes
+from cdclake.streaming.messages import capture_all, captured_changes, dead_letters, stream_messages
 from cdclake.streaming.upsert import query_id, stream_change_files, stream_silver
+from cdclake.operators.reconcile import union_all
 from suite import bindings as b
 from suite.lakes import empty_lake, envelope_files, fresh_dir, once, plain, user_files
 from suite.registry import query
@@ -103,3 +105,65 @@ def replay(spark: SparkSession, sf: str) -> DataFrame:
     return scan_silver(lake, b.USER_LOG).withColumns(
         {"applied": F.lit(applied), "files_changed": F.lit(changed)}
     )
+
+
+@query(
+    "stream_dead_letters",
+    f"""SELECT event_id, CASE event_id % 50 WHEN 7 THEN 'json' WHEN 8 THEN 'type' WHEN 9 THEN 'code' WHEN 10 THEN 'image' END
+        AS reason, CASE WHEN event_id % 50 NOT IN (7, 8, 9, 10) THEN {b.OP_SQL} END AS __op,
+        CASE event_id % 50 WHEN 7 THEN '{{"after": {{"event_id": ' || event_id WHEN 10 THEN '{{"op":"u","event_id":' || event_id || '}}' END AS raw,
+        strftime(ts, '%Y-%m-%d') AS event_date FROM events""",
+)
+def malformed(spark: SparkSession, sf: str) -> DataFrame:
+    """Some messages are cut off, hold a word for a number, lack their code or their row; the stream goes on."""
+    rest = F.col("event_id") % 50
+    feed = b.change_events(spark, sf)
+    cut = F.format_string('{"after": {"event_id": %d', "event_id")
+    bare = F.format_string('{"op":"u","event_id":%d}', "event_id")
+    word = F.regexp_replace("value", '"event_id":([0-9]+)', '"event_id":"no $1"')
+    no_code = F.regexp_replace("value", '"op":"."', '"code":"x"')
+    sent = b.as_messages(feed, b.EVENT_SPEC, "event_id")
+    value = F.when(rest == 7, cut).when(rest == 8, word).when(rest == 9, no_code).when(rest == 10, bare).otherwise(F.col("value"))
+    path, root = fresh_dir(spark, "messages"), fresh_dir(spark, "captured-all")
+    sent.withColumn("value", value).withColumn("offset", F.col("event_id").cast("long")).drop("event_id").write.parquet(path)
+    messages = stream_messages(spark, "parquet", {"path": path, "maxFilesPerTrigger": "2"})
+    capture_all(messages, [b.EVENT_SPEC], root, fresh_dir(spark, "ckpt"), ONCE).awaitTermination()
+    kept = captured_changes(spark, root, b.EVENT_SPEC)
+    none = F.lit(None).cast("string")
+    aside = dead_letters(spark, root).select(
+        F.col("offset").cast("int").alias("event_id"),
+        "reason",
+        none.alias("__op"),
+        F.when(F.col("reason").isin("json", "image"), F.col("raw")).alias("raw"),
+        "event_date",
+    )
+    return kept.select("event_id", none.alias("reason"), "__op", none.alias("raw"), "event_date").unionByName(aside)
+
+
+@query(
+    "stream_all_tables",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, 'r' AS __op, '{b.DAY_1}' AS event_date, {b.row_text(b.SPECS[name])} AS row
+          FROM {source}"""
+        for name, (_, source) in b.SOURCES.items()
+    ),
+)
+def all_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Six topics, one query, one checkpoint; every table read back with its types."""
+    path, root = fresh_dir(spark, "messages"), fresh_dir(spark, "captured-all")
+    for name, spec in b.SPECS.items():
+        day = b.feed(spark, sf, name).where(F.col("event_date") == b.DAY_1)
+        b.as_messages(day, spec).write.mode("append").parquet(path)
+    messages = stream_messages(spark, "parquet", {"path": path})
+    capture_all(messages, b.SPECS.values(), root, fresh_dir(spark, "ckpt"), ONCE).awaitTermination()
+    return union_all(
+        [
+            captured_changes(spark, root, spec).select(
+                F.col("__table").alias("table_name"),
+                "__op",
+                "event_date",
+                F.expr(b.row_text(spec, "unix_millis({})")).alias("row"),
+            )
+            for spec in b.SPECS.values()
+        ]
+    )

@@ -9,7 +9,7 @@ from cdclake.sources.change_files import read_changes, write_change_files
 from cdclake.streaming.capture import stream_bronze, stream_changes, topic_pattern
 from cdclake.streaming.upsert import stream_change_files, stream_silver
 from conftest import rows
-from util import ITEM, changes
+from util import ITEM, VERSIONED, changes
 
 ONCE = {"availableNow": True}
 
@@ -158,3 +158,80 @@ def test_a_replayed_batch_is_skipped(spark, lake, tmp_path):
     other = merge(str(tmp_path / "ckpt2"))
     assert other != query and lk.merged_batch(lake, ITEM, other) == 0
     assert lk.merged_batch(lake, ITEM, query) == 1
+
+
+def put(folder, name, messages):
+    """A file of (topic, partition, offset, timestamp, value) messages as JSON lines."""
+    keys = ("topic", "partition", "offset", "timestamp", "value")
+    (folder / name).write_text("\n".join(json.dumps(dict(zip(keys, m, strict=True))) for m in messages))
+
+
+def test_dead_letters_go_aside_and_the_stream_goes_on(spark, tmp_path):
+    from cdclake.streaming.messages import capture_all, captured_changes, dead_letters, stream_messages
+
+    source, root = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    at_, topic = "2024-01-01T12:00:00Z", "cdc.shop.dbo.items"
+
+    def image(op="c", before=None, after=None, **more):
+        return json.dumps({"op": op, "before": before, "after": after, "source": {"ts_ms": 5, "table": "items"}, "ts_ms": 5} | more)
+
+    row = {"id": 1, "name": "a", "qty": 1}
+
+    def run_once():
+        messages = stream_messages(spark, "json", {"path": str(source), "maxFilesPerTrigger": "1"})
+        capture_all(messages, [ITEM, VERSIONED], root, str(tmp_path / "ckpt"), ONCE).awaitTermination()
+
+    put(source, "1.json", [
+        (topic, 0, 1, at_, image(after=row)),
+        (topic, 0, 2, at_, "{not json"),
+        (topic, 0, 3, at_, '"a text"'),
+        (topic, 0, 4, at_, image(after=row | {"id": "one"})),
+        (topic, 0, 5, at_, image(op=None, after=row)),
+        (topic, 0, 6, at_, image(op="d", after=row)),
+        (topic, 0, 7, at_, image(op="u", before=row)),
+        (topic, 0, 8, at_, None),
+        ("cdc.shop.dbo.others", 0, 9, at_, image(after=row)),
+        ("cdc.shop.dbo.versioned", 2, 10, at_, image(after={"id": 7, "name": "v", "updated_at": 1704067200000})),
+        (topic, 0, 11, at_, image(op="d", before=row, later_field=[1, 2])),
+        (topic, 0, 12, at_, image(after={"id": 5})),
+        (topic, 0, 13, at_, ""),
+    ])
+    run_once()
+    assert rows(captured_changes(spark, root, ITEM), "id", "name", "__op", "__deleted", "event_date") == [
+        (1, "a", "c", "false", "2024-01-01"),
+        (1, "a", "d", "true", "2024-01-01"),
+        (5, None, "c", "false", "2024-01-01"),
+    ]
+    assert rows(captured_changes(spark, root, VERSIONED), "id", F.unix_millis("updated_at")) == [(7, 1704067200000)]
+    aside = dead_letters(spark, root)
+    assert rows(aside, "offset", "reason") == [
+        (13, "json"), (2, "json"), (3, "json"), (4, "type"), (5, "code"), (6, "image"), (7, "image"), (9, "table"),
+    ]
+    assert rows(aside.where("offset = 2"), "topic", "partition", "raw", "event_date") == [(topic, 0, "{not json", "2024-01-01")]
+    run_once()  # nothing new
+    put(source, "2.json", [(topic, 1, 14, "2024-01-02T00:00:00Z", image(after=row | {"id": 2})), (topic, 1, 15, at_, "x")])
+    run_once()
+    assert rows(captured_changes(spark, root, ITEM, ["2024-01-02"]), "id") == [(2,)]
+    assert captured_changes(spark, root, ITEM).count() == 4 and dead_letters(spark, root).count() == 9
+    stray = tmp_path / "out" / "__sink=dead_letters" / "event_date=2024-01-01"
+    (stray / "part-of-a-failed-batch.parquet").write_bytes(next(stray.glob("*.parquet")).read_bytes())
+    assert dead_letters(spark, root).count() == 9  # only what was committed counts
+
+
+
+def test_captured_changes_reach_silver(spark, lake, tmp_path):
+    from cdclake.plans.jobs import run_silver
+    from cdclake.streaming.messages import capture_all, captured_changes, stream_messages
+
+    source, root = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    messages = [
+        ("cdc.shop.dbo.items", 0, i, "2024-01-01T12:00:00Z", envelope(i % 3, f"n{i}", "u", i)) for i in range(9)
+    ]
+    put(source, "1.json", [*messages, ("cdc.shop.dbo.items", 0, 99, "2024-01-01T12:00:00Z", "broken")])
+    capture_all(stream_messages(spark, "json", {"path": str(source)}), [ITEM], root, str(tmp_path / "ckpt"), ONCE).awaitTermination()
+    lk.create_layers(lake, [ITEM])
+    lk.append_bronze(lake, captured_changes(spark, root, ITEM, ["2024-01-01"]), ITEM, idempotent=True, day="2024-01-01")
+    run_silver(lake, specs={"items": ITEM})
+    assert rows(lk.scan_silver(lake, ITEM)) == [(0, "n6", 1), (1, "n7", 1), (2, "n8", 1)]
