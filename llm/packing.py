@@ -34,25 +34,30 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, sp
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, spaces)
-        end = np.array([end_id], "<u4")
         for batch in steps(batches):
             ids, bounds = enc.encode(batch.column("text"))
-            ids = ids.astype("<u4", copy=False)
-            rows = []
-            for k, doc_id in enumerate(batch.column("doc_id").to_pylist()):
-                own = np.concatenate([ids[bounds[k] : bounds[k + 1]], end])
-                first = (len(own) - 1) % capacity + 1
-                edges = [0, *range(first, len(own) + 1, capacity)]
-                rows += [
-                    (doc_id, i, a, b - a, zlib.crc32(own[a:b].tobytes()))
-                    for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False))
-                ]
-            columns = list(zip(*rows, strict=True))
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+            # Every row's ids with the end id behind them, one row after the other.
+            size = np.diff(bounds) + 1
+            stop = np.cumsum(size)
+            own = np.full(int(stop[-1]), end_id, "<u4")
+            own[np.arange(len(ids)) + np.repeat(np.arange(len(size)), size - 1)] = ids
+            pieces = -(-size // capacity)
+            row = np.repeat(np.arange(len(size)), pieces)
+            number = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            first = (size - 1) % capacity + 1
+            upto = first[row] + number * capacity
+            start = np.maximum(upto - capacity, 0)
+            before = (stop - size)[row]
+            data = memoryview(own).cast("B")
+            edges = zip((4 * (before + start)).tolist(), (4 * (before + upto)).tolist(), strict=True)
+            columns = [
+                batch.column("doc_id").cast(pa.int64()).take(pa.array(row)),
+                pa.array(number.astype(np.int32)),
+                pa.array(start),
+                pa.array(upto - start),
+                pa.array([zlib.crc32(data[a:b]) for a, b in edges], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select("doc_id", "text").mapInArrow(cut, PIECE)
 

@@ -105,8 +105,8 @@ class Encoder:
             lead = lead[data[lead - 1] == 0x20]
             cut[lead] = False
             cut[lead - 1] = True
-            alone = np.setdiff1d(starts, lead)  # a run after other white space: its last byte is cut off
-            alone = alone[(alone > 0) & ~inside[alone]]
+            inside[lead] = True
+            alone = starts[(starts > 0) & ~inside[starts]]  # a run after other white space: its last byte is cut off
             cut[alone - 1] = True
         cut[off] = True
         return np.flatnonzero(cut), whole
