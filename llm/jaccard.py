@@ -396,8 +396,8 @@ def _wanted(ids: DataFrame) -> np.ndarray:
         F.shiftright("place", 5).alias("word"), F.expr("shiftleft(1L, place & 31)").alias("bit")
     )
     bitmap = np.zeros(1 << (_FILTER_BITS - 5), np.int64)
-    for word, bit in bits.groupBy("word").agg(F.bit_or("bit")).collect():
-        bitmap[word] = bit
+    found = bits.groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
+    bitmap[found.column("word").to_numpy()] = found.column("bit").to_numpy()
     return bitmap
 
 

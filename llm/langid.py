@@ -93,8 +93,8 @@ def document_frequencies(docs: DataFrame, bits: int) -> tuple[np.ndarray, int]:
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["feature", "n"])
 
     out = np.zeros((1 << bits) + 1, np.int64)
-    for feature, n in docs.select("text").mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n")).collect():
-        out[feature] = n
+    found = docs.select("text").mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
+    out[found.column("feature").to_numpy()] = found.column("n").to_numpy()
     return out[:-1], int(out[-1])
 
 
@@ -185,11 +185,14 @@ def fit(
 def train(docs: DataFrame, per_language: int = 1000, bits: int = BITS) -> Model | None:
     """A model from the text and lang of the given rows."""
     docs = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long"), "lang", "text")
+    df, texts = document_frequencies(docs, bits)
     rows = sample_features(docs, bits, per_language)
     if not rows:
         return None
-    df, texts = document_frequencies(docs, bits)
-    return fit(rows, np.log((1 + texts) / (1 + df)) + 1)
+    model = fit(rows, np.log((1 + texts) / (1 + df)) + 1)
+    del rows  # the driver's memory is for the stages after
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def rated(docs: DataFrame, model: Model | None, bits: int = BITS) -> DataFrame:
