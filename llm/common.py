@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -64,8 +66,16 @@ def release() -> None:
         Scratch.open.pop().drop()
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Workers outlive their tasks, and what they keep others lack."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def steps(batches: Iterator[pa.RecordBatch], most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches of about so many bytes of text, so that memory doesn't follow batch sizes."""
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -79,7 +89,8 @@ def steps(batches: Iterator[pa.RecordBatch], most: int = STEP_BYTES) -> Iterator
                 first, held = i, 0
             held += size
         yield batch.slice(first)
-
+        del batch
+    give_back()
 
 
 

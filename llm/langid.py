@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm import tokens
-from llm.common import steps
+from llm.common import give_back, steps
 from llm.text import buffers, code_points
 
 BITS, ORDERS, SCALE = 16, 3, 30.0
@@ -191,7 +191,7 @@ def train(docs: DataFrame, per_language: int = 1000, bits: int = BITS) -> Model
         return None
     model = fit(rows, np.log((1 + texts) / (1 + df)) + 1)
     del rows  # the driver's memory is for the stages after
-    pa.default_memory_pool().release_unused()
+    give_back()
     return model
 
 

@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from llm.common import Scratch, partitions_for, steps
 from llm.tokens import encoder
 
+#: Bytes of text encoded at once: a token's worth of text needs some thirty times its size on the way.
+STEP = 2 << 20
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _ITEM = "sequence_id long, size int, pieces array<struct<doc_id:long,piece:int,start:long,length:long,ids_crc32:long>>"
 
@@ -34,7 +36,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, sp
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, spaces)
-        for batch in steps(batches):
+        for batch in steps(batches, STEP):
             ids, bounds = enc.encode(batch.column("text"))
             # Every row's ids with the end id behind them, one row after the other.
             size = np.diff(bounds) + 1
