@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdclake.functions.columns import DELETE
 from cdclake.operators.changes import latest_per_key, precedence, project
-from cdclake.specs import OP, TableSpec
+from cdclake.specs import OP, SOURCE_TS, TableSpec
 
 
 def merge_changes(
@@ -42,6 +42,7 @@ def merge_state(
     spec: TableSpec,
     seq_col: str | None = None,
     buckets: int | None = None,
+    oldest: int | None = None,
 ) -> DataFrame:
     """Fold changes into a state that remembers, per key, the change that produced it.
 
@@ -53,8 +54,14 @@ def merge_state(
     Both sides hold one row per key at the join, so it cannot fan out or skew. If the state is
     stored in ``buckets`` by key, it is read in place and only the latest changes are moved to
     its buckets, however many partitions a shuffle otherwise has.
+
+    ``oldest`` is a source time in milliseconds before which no change may come any more. Then a delete from
+    before it has nothing left to guard against and is forgotten, and changes from before it are left out, as
+    they could bring back what was forgotten. The state grows with live rows and recent deletes only.
     """
     columns = state.columns
+    if oldest is not None:
+        changes = changes.where(~too_old(oldest))
     latest = latest_per_key(as_state(changes, spec, seq_col), spec, seq_col)
     if buckets:
         latest = latest.repartition(buckets, spec.pk)
@@ -64,12 +71,18 @@ def merge_state(
     age_new = F.struct(*precedence(spec, columns, "__new.", seq_col))
     keep_old = F.col("__new").isNull() | (F.col("__old").isNotNull() & (age_old > age_new))
     winner = F.when(keep_old, F.col("__old")).otherwise(F.col("__new"))
-    return (
+    merged = (
         old.join(new, spec.pk, "full_outer")
         .select(spec.pk, winner.alias("__row"))
         .select(spec.pk, *[F.col(f"__row.{c}").alias(c) for c in columns if c != spec.pk])
         .select(*columns)
     )
+    return merged if oldest is None else merged.where((F.col(OP) != DELETE) | ~too_old(oldest))
+
+
+def too_old(oldest: int) -> Column:
+    """Whether a change is from before the oldest source time that is accepted; without a time it is."""
+    return F.coalesce(F.col(SOURCE_TS) < oldest, F.lit(True))
 
 
 def current_rows(state: DataFrame, spec: TableSpec) -> DataFrame:

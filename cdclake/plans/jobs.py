@@ -16,6 +16,7 @@ from cdclake.functions import as_day, coalesce_zero
 from cdclake.operators import marts
 from cdclake.operators.changes import unconvertible
 from cdclake.operators.evolution import NEW_COLUMNS, IncompatibleSchema, schema_diff
+from cdclake.operators.merge import too_old
 from cdclake.operators.reconcile import (
     count_diff_by,
     pk_duplicates,
@@ -33,6 +34,7 @@ from cdclake.sources.lake import (
     create_gold,
     logged_spec,
     merged_files,
+    oldest_accepted,
     path_exists,
     refresh,
     register_pair,
@@ -191,6 +193,7 @@ def run_silver(
     specs: Specs = ENTITIES,
     parallel: int = 6,
     strict: bool = True,
+    oldest: str | dt.date | None = None,
 ) -> list[JobResult]:
     """Merge bronze into silver.
 
@@ -199,7 +202,11 @@ def run_silver(
     yet, as a listing of the log compared with what silver records tells; in a V2 catalog all of bronze.
     ``counts["days"]`` are the arrival days that these belong to.
     Changes without a key or without a code are ignored and counted, as ``null_keys`` and ``null_ops``.
+
+    ``oldest`` is a day: from now on changes with a source time before it (UTC) are refused and counted as ``too_old``,
+    and deletes from before it no longer take room in silver. It holds for later runs too, and never goes back.
     """
+    bound = None if oldest is None else int(dt.datetime.combine(as_day(oldest), dt.time(), dt.timezone.utc).timestamp() * 1000)
 
     def merge(name: str) -> Mapping[str, int]:
         spec = logged_spec(lake, specs[name])
@@ -224,13 +231,16 @@ def run_silver(
                     files = recent.unionByName(files.join(merged.where(F.col(EVENT_DATE) < first), files.columns, "left_semi"))
         if first is not None:
             changes = changes.where(F.col(EVENT_DATE) >= first)
-        seen = Observation(f"ignored-{name}-{uuid.uuid4().hex}")
-        changes = changes.observe(
-            seen,
+        from_ = oldest_accepted(lake, spec, bound)
+        whole = F.col(spec.pk).isNotNull() & F.col(OP).isNotNull()
+        watched = [
             F.count_if(F.col(spec.pk).isNull()).alias("null_keys"),
             F.count_if(F.col(spec.pk).isNotNull() & F.col(OP).isNull()).alias("null_ops"),
-        )
-        apply_changes(lake, changes, spec, files)
+        ]
+        if from_ is not None:
+            watched.append(F.count_if(whole & too_old(from_)).alias("too_old"))
+        seen = Observation(f"ignored-{name}-{uuid.uuid4().hex}")
+        apply_changes(lake, changes.observe(seen, *watched), spec, files, oldest=bound)
         counts = {k: v or 0 for k, v in seen.get.items()}
         return counts if days is None else counts | {"days": days}
 

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from cdclake.functions import as_day
 from cdclake.operators.changes import conform
 from cdclake.operators.evolution import NEW_COLUMNS, IncompatibleSchema
+from cdclake.operators.handover import Mark
 from cdclake.operators.merge import current_rows, merge_state
 from cdclake.sources.row_level import merge_state_into
 from cdclake.specs import ENTITIES, EVENT_DATE, MARTS, OP, TableSpec
@@ -25,6 +26,9 @@ VERSION = "cdclake.version"
 SNAPSHOTS = "cdclake.snapshots"
 LEDGERS = "cdclake.ledgers"
 BATCHES = "cdclake.batches"
+OLDEST = "cdclake.oldest"
+# Property of log tables.
+HAND_OVER = "cdclake.hand_over"
 STATE = "cdclake.state"
 OVERWRITE_MODE = "partitionOverwriteMode"
 
@@ -233,6 +237,21 @@ def widen_log(lake: Lake, spec: TableSpec, fields: Iterable[T.StructField]) -> T
     return wide
 
 
+def hand_over_mark(lake: Lake, spec: TableSpec) -> Mark | None:
+    """Where the snapshot of a table was begun, None if none was."""
+    kept = _properties(lake, lake.bronze(spec)).get(HAND_OVER)
+    return Mark.from_json(kept) if kept else None
+
+
+def begin_hand_over(lake: Lake, spec: TableSpec, mark: Mark, anew: bool = False) -> None:
+    """Note the mark of a snapshot with the log, before the first row is read. A restart passes the same mark;
+    ``anew`` replaces it, for a snapshot that is read from the start again."""
+    kept = hand_over_mark(lake, spec)
+    if kept is not None and kept != mark and not anew:
+        raise ValueError(f"a snapshot of {spec.name} was begun at {kept}; finish it or begin anew")
+    lake.spark.sql(f"ALTER TABLE {lake.bronze(spec)} SET TBLPROPERTIES ('{HAND_OVER}' = '{mark.to_json()}')")
+
+
 def append_bronze(
     lake: Lake,
     changes: DataFrame,
@@ -352,6 +371,13 @@ def merged_batch(lake: Lake, spec: TableSpec, query_id: str) -> int | None:
     return json.loads((_published(lake, spec) or {}).get(BATCHES, "{}")).get(query_id)
 
 
+def oldest_accepted(lake: Lake, spec: TableSpec, oldest: int | None = None) -> int | None:
+    """The source time in milliseconds from which on changes are accepted: what was recorded, or ``oldest`` if later."""
+    kept = None if lake.catalog else (_published(lake, spec) or {}).get(OLDEST)
+    given = [x for x in (kept and int(kept), oldest) if x is not None]
+    return max(given, default=None)
+
+
 def _names(listed: str) -> list[str]:
     return [name for name in listed.split(",") if name]
 
@@ -381,6 +407,7 @@ def publish_state(
     base: int | None = None,
     files: DataFrame | None = None,
     batch: tuple[str, int] | None = None,
+    oldest: int | None = None,
 ) -> int:
     """Write ``state`` as a new snapshot and point the silver view at it.
 
@@ -437,6 +464,8 @@ def publish_state(
         LEDGERS: ",".join(ledgers[: lake.keep_versions]),
         BATCHES: json.dumps(batches, sort_keys=True),
     }
+    if oldest is not None or OLDEST in published:
+        properties[OLDEST] = str(oldest if oldest is not None else published[OLDEST])
     names = ", ".join(f"`{c}`" for c in spec.columns)
     month = f", `{spec.month_column}`" if spec.month_of else ""
     listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
@@ -455,14 +484,20 @@ def apply_changes(
     spec: TableSpec,
     files: DataFrame | None = None,
     batch: tuple[str, int] | None = None,
+    oldest: int | None = None,
 ) -> bool:
     """Upsert and delete silver rows by the latest change of each key.
 
     ``files`` are recorded as what silver now is made from, ``batch`` as the last one of its query. A batch that is
     recorded already, or an earlier one of its query, is not applied again: False is returned and nothing written. In a V2
     catalog nothing is recorded, and a repeated batch is merged again, which changes no row.
+
+    ``oldest`` is a source time in milliseconds: from now on older changes are left out, and deletes from before it
+    are forgotten, see :func:`merge_state`. It is recorded and never goes back.
     """
     if lake.catalog:
+        if oldest is not None:
+            raise ValueError("deletes are forgotten in Parquet lakes only")
         merge_state_into(_state_name(lake, spec), changes, spec)
         return True
     if batch:
@@ -471,8 +506,9 @@ def apply_changes(
             return False
     base = _version(lake, spec)
     buckets = None if base is None else lake.state_buckets
-    merged = merge_state(read_state(lake, spec), changes, spec, buckets=buckets)
-    publish_state(lake, spec, merged, aligned=base is not None, base=base, files=files, batch=batch)
+    oldest = oldest_accepted(lake, spec, oldest)
+    merged = merge_state(read_state(lake, spec), changes, spec, buckets=buckets, oldest=oldest)
+    publish_state(lake, spec, merged, aligned=base is not None, base=base, files=files, batch=batch, oldest=oldest)
     return True
 
 

@@ -16,7 +16,7 @@ from cdclake.plans.jobs import (
     run_silver,
 )
 from cdclake.sources.change_files import write_change_files
-from cdclake.sources.lake import append_bronze, create_bronze, create_layers, logged_spec, merged_files, scan_silver
+from cdclake.sources.lake import append_bronze, create_bronze, create_layers, logged_spec, merged_files, read_state, scan_silver
 from cdclake.sources.ledger import log_files, read_files, unmerged
 from suite import bindings as b
 from suite.lakes import empty_lake, fresh_dir, loaded_lake, once, plain
@@ -362,6 +362,36 @@ def silver_files(spark: SparkSession, sf: str) -> DataFrame:
     return whole.join(new, "event_date", "left").fillna(0, ["n_fresh"])
 
 
+MARK_SQL = f"epoch_us(TIMESTAMP '{b.CUT}') // 1000"
+
+
+@query(
+    "tombstone_expiry",
+    f"""WITH log AS (SELECT *, __source_ts_ms < {MARK_SQL} AS old FROM {b.change_log_sql()}),
+        taken AS (SELECT * FROM log WHERE NOT old OR event_id % 10 <> 0),
+        latest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+          ORDER BY __source_ts_ms DESC, {b.RANK_SQL} DESC, event_id DESC) AS rn FROM taken) WHERE rn = 1)
+      SELECT 'live' AS what, user_id, event_id, value FROM latest WHERE __op <> 'd'
+      UNION ALL SELECT 'deleted', user_id, event_id, value FROM latest WHERE __op = 'd' AND NOT old
+      UNION ALL SELECT 'too_old', NULL, count(*), NULL FROM log WHERE old AND event_id % 10 = 0""",
+)
+def tombstone_expiry(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes up to a day, then the rest with that day as the oldest accepted: older ones are refused and counted,
+    older deletes are gone from the state, and every row that readers see is as if nothing had been forgotten."""
+    lake = empty_lake(spark, "expiry")
+    create_layers(lake, [b.USER_LOG])
+    log = b.change_log(spark, sf)
+    old, late = F.col("event_date") < b.CUT, F.col("event_id") % 10 == 0
+    append_bronze(lake, log.where(old & ~late), b.USER_LOG)
+    run_silver(lake, specs=LOG)
+    append_bronze(lake, log.where(~old | late), b.USER_LOG)
+    (result,) = run_silver(lake, specs=LOG, oldest=b.CUT)
+    state = read_state(lake, b.USER_LOG)
+    what = F.when(F.col("__op") == "d", "deleted").otherwise("live").alias("what")
+    refused = spark.createDataFrame([("too_old", None, result.counts["too_old"], None)], "what string, user_id bigint, event_id bigint, value double")
+    return state.select(what, *[F.col(c).cast(t).alias(c) for c, t in refused.dtypes[1:]]).unionByName(refused)
+
+
 @query("topic_directories", f"SELECT * FROM {b.change_log_sql()} WHERE event_date = '{b.EVENT_DAY}'")
 def topic_directories(spark: SparkSession, sf: str) -> DataFrame:
     """Files of a sink that names directories by topic."""

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.sources.change_files import read_changes, table_path
-from cdclake.sources.lake import apply_changes, create_silver, merged_batch, read_state, scan_silver
+from cdclake.operators.changes import latest_per_key
+from cdclake.operators.merge import current_rows
+from cdclake.sources.change_files import read_changes, table_path, write_change_files
+from cdclake.operators.handover import Mark, snapshot_changes, tail
+from cdclake.sources.lake import apply_changes, begin_hand_over, create_layers, create_silver, hand_over_mark, merged_batch, read_state, scan_silver
 from cdclake.streaming.capture import stream_bronze, stream_changes, write_changes
 from cdclake.streaming.messages import capture_all, captured_changes, dead_letters, stream_messages
 from cdclake.streaming.upsert import query_id, stream_change_files, stream_silver
@@ -167,3 +172,40 @@ def all_tables(spark: SparkSession, sf: str) -> DataFrame:
             for spec in b.SPECS.values()
         ]
     )
+
+
+POSITIONED = replace(b.USER_LOG, seq_column="lsn")
+
+
+def _positioned(spark: SparkSession, sf: str) -> DataFrame:
+    """The user change log by position; the source time moves every hundred positions."""
+    position = F.col("event_id").cast("long")
+    stamped = b.change_log(spark, sf).withColumns({"lsn": position, "__source_ts_ms": F.floor(position / 100)})
+    return stamped.select(*POSITIONED.change_schema.fieldNames())
+
+
+@query(
+    "snapshot_hand_over",
+    f"""SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
+      FROM {b.change_log_sql()}) WHERE rn = 1 AND __op <> 'd'""",
+)
+def hand_over(spark: SparkSession, sf: str) -> DataFrame:
+    """A table is read while its log goes on. The stream starts before the mark and is merged before the
+    snapshot; half of the snapshot's rows were read at the mark, half much later. Result: one fold of the log."""
+    lake, root = empty_lake(spark, "handover"), fresh_dir(spark, "positions")
+    create_layers(lake, [POSITIONED])
+    log = _positioned(spark, sf)
+    last = log.agg(F.max("lsn").alias("n")).first().n
+    mark = Mark(position=last // 2, ts_ms=last // 2 // 100)
+    begin_hand_over(lake, POSITIONED, mark)
+    write_change_files(log.where(F.col("lsn") > last // 4), root, POSITIONED)
+
+    def table_at(position: int) -> DataFrame:
+        return current_rows(latest_per_key(log.where(F.col("lsn") <= position), POSITIONED), POSITIONED)
+
+    read_early, read_late = table_at(mark.position).where("user_id % 2 = 0"), table_at(last * 3 // 4).where("user_id % 2 = 1")
+    snapshot = snapshot_changes(read_early.unionByName(read_late), POSITIONED, mark, b.DAY_1)
+    changes = tail(stream_change_files(spark, root, POSITIONED), POSITIONED, hand_over_mark(lake, POSITIONED))
+    stream_silver(changes, POSITIONED, lake, fresh_dir(spark, "ckpt"), ONCE).awaitTermination()
+    apply_changes(lake, snapshot, POSITIONED)
+    return scan_silver(lake, POSITIONED)

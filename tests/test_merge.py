@@ -2,6 +2,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from cdclake.operators.merge import as_state, current_rows, merge_changes, merge_state
 from conftest import rows
 from util import ITEM, changes, table
@@ -121,3 +123,21 @@ def test_batches_in_any_order_equal_one_fold(spark, data, cut, swap):
 def test_empty_sides(spark, n):
     log = changes(spark, [(1, "a", 1, "c", 1)][:n])
     assert len(rows(merge_changes(table(spark, []), log, ITEM))) == n
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.integers(0, 3), st.sampled_from("crud"), st.integers(0, 9)), max_size=14),
+    st.lists(st.integers(0, 10), min_size=3, max_size=3),
+)
+def test_forgetting_old_deletes_changes_nothing_for_input_above_the_mark(spark, log, marks):
+    """Batches merged with a rising mark; what lies below the mark of its batch is left out on both sides."""
+    marks = sorted(marks)
+    data = [(k, f"{i}", i, op, ts) for i, (k, op, ts) in enumerate(log)]
+    state = whole = as_state(changes(spark, []), ITEM)
+    for i, mark in enumerate(marks):
+        part = changes(spark, data[i::3])
+        state = merge_state(state, part, ITEM, oldest=mark)
+        whole = merge_state(whole, part.where(F.col("__source_ts_ms") >= mark), ITEM)
+        assert state.where((F.col("__op") == "d") & (F.col("__source_ts_ms") < mark)).isEmpty()
+    assert rows(current_rows(state, ITEM)) == rows(current_rows(whole, ITEM))
