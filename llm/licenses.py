@@ -81,7 +81,6 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     least = lambda n: n * ratio - 1e-6  # noqa: E731  a size on the bound counts
     most = lambda n: n / ratio + 1e-6
     low, high = least(min(map(len, own.values()))), most(max(map(len, own.values())))
-    most_words = 4 * int(high)  # a segment with so many words repeats most of its bigrams
     kept = F.array(
         *[
             F.struct(F.lit(name).alias("license"), F.lit(len(b)).alias("n"), F.lit(b).alias("bigrams"))
@@ -98,7 +97,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     once = lambda x: F.explode(F.array(x))
     segments = docs.select("doc_id", F.explode(F.concat(numbered, F.coalesce(whole, nothing))).alias("s"))
     segments = segments.select("doc_id", "s.segment", once(words(F.col("s.line"))).alias("words"))
-    segments = segments.filter(F.size("words").between(2, most_words))
+    segments = segments.filter(F.size("words") >= 2)
     pairs = F.expr("zip_with(slice(words, 1, size(words) - 1), slice(words, 2, size(words) - 1), (a, b) -> concat(a, ' ', b))")
     segments = segments.select("doc_id", "segment", once(F.array_distinct(pairs)).alias("bigrams"))
     segments = segments.withColumn("n_bigrams", F.size("bigrams")).filter(F.col("n_bigrams").between(low, high))
@@ -133,7 +132,7 @@ def scan_sql(templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD
     scored AS (
       SELECT doc_id, segment, license, len(p.bigrams) AS n_bigrams, n AS n_template,
         len(list_intersect(p.bigrams, t.bigrams)) * 2.0::DOUBLE / (len(p.bigrams) + n) AS dice
-      FROM paired p, templates t WHERE len(p.bigrams) BETWEEN 1 AND 2000)
+      FROM paired p, templates t)
     SELECT doc_id, CAST(segment AS INTEGER) AS segment, license, dice, CAST(n_bigrams AS INTEGER) AS n_bigrams, CAST(n_template AS INTEGER) AS n_template
     FROM scored WHERE dice >= {threshold}
     QUALIFY row_number() OVER (PARTITION BY doc_id, segment ORDER BY dice DESC, license DESC) = 1

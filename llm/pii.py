@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from llm.arrays import highest, lowest_behind, matches, quoted
+
 #: Code points before and after a candidate that count as close by, what a word there adds or takes, and the
 #: score from which an added span is reported.
 BEFORE, AFTER = 40, 20
@@ -147,46 +149,18 @@ ADDED = (
 KINDS = tuple(k.name for k in (*BASE, *ADDED))
 
 
-def _sql(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _running(values: str, pick: str, step: str, within: str) -> str:
-    """SQL: an array whose items are joined with all before (or behind) them, in rounds of doubling distance."""
-    return f"""aggregate(sequence(0, int(ceil(log2(greatest(size({values}), 1))))), {values},
-        (acc, k) -> transform(acc, (v, i) -> CASE WHEN {within} THEN {pick.format(f'acc[{step}]')} ELSE v END))"""
-
-
-def _sums(values: str) -> str:
-    return _running(values, "v + {}", "i - shiftleft(1, k)", "i >= shiftleft(1, k)")
-
-
-def _highest(values: str) -> str:
-    return _running(values, "greatest(v, {})", "i - shiftleft(1, k)", "i >= shiftleft(1, k)")
-
-
-def _lowest_behind(values: str) -> str:
-    return _running(values, "least(v, {})", "i + shiftleft(1, k)", "i + shiftleft(1, k) < size(acc)")
-
-
 def _candidates(text: str, kind: Kind) -> Column:
     """All matches with places and what stands beside them. Gaps come from splitting at the same matches."""
-    pattern = _sql(kind.pattern)
-    seen = f"contains({text}, {_sql(kind.guard)}) AND {text} RLIKE {pattern}" if kind.guard else f"{text} RLIKE {pattern}"
-    steps = "transform(x.m, (m, i) -> length(x.g[i]) + length(m))"
-    return F.expr(
-        f"""CASE WHEN {seen} THEN
-          transform(array(struct(split({text}, {pattern}, -1) AS g, regexp_extract_all({text}, {pattern}, 0) AS m)), x ->
-            transform(array({_sums(steps)}), ends -> transform(x.m, (m, i) -> struct(
-              ends[i] - length(m) AS start, ends[i] AS end, m AS text,
-              right(x.g[i], {BEFORE}) AS before, left(x.g[i + 1], {AFTER}) AS after)))[0])[0]
-        ELSE CAST(array() AS {_FOUND}) END"""
-    )
+    pattern = quoted(kind.pattern)
+    seen = f"contains({text}, {quoted(kind.guard)}) AND {text} RLIKE {pattern}" if kind.guard else f"{text} RLIKE {pattern}"
+    item = f"""struct(ends[i] - length(m) AS start, ends[i] AS end, m AS text,
+        right(x.g[i], {BEFORE}) AS before, left(x.g[i + 1], {AFTER}) AS after)"""
+    return F.expr(f"CASE WHEN {seen} THEN {matches(text, pattern, item)} ELSE CAST(array() AS {_FOUND}) END")
 
 
 def _score(kind: Kind) -> str:
-    near = f"c.before RLIKE {_sql(kind.context)} OR c.after RLIKE {_sql(kind.context)}" if kind.context else "false"
-    doubt = f"c.before RLIKE {_sql(DOUBTFUL)}"
+    near = f"c.before RLIKE {quoted(kind.context)} OR c.after RLIKE {quoted(kind.context)}" if kind.context else "false"
+    doubt = f"c.before RLIKE {quoted(DOUBTFUL)}"
     return f"round({kind.prior}D + CASE WHEN {near} THEN {NEAR}D ELSE 0D END - CASE WHEN {doubt} THEN {DOUBT}D ELSE 0D END, 6)"
 
 
@@ -202,11 +176,11 @@ def _spans(candidates: str, kind: Kind, number: int) -> Column:
 
 def _joined(spans: str, new: str, number: int) -> Column:
     """spans and those new ones that overlap none of them, sorted."""
-    highest = _highest(f"transform(a, s -> CASE WHEN s.kind = {number} THEN -1 ELSE s.end END)")
-    lowest = _lowest_behind(f"transform(a, s -> CASE WHEN s.kind = {number} THEN 2147483647 ELSE s.start END)")
+    up_to = highest(f"transform(a, s -> CASE WHEN s.kind = {number} THEN -1 ELSE s.end END)")
+    behind = lowest_behind(f"transform(a, s -> CASE WHEN s.kind = {number} THEN 2147483647 ELSE s.start END)")
     return F.expr(
         f"""CASE WHEN size({new}) = 0 THEN {spans} ELSE
-          transform(array(sort_array(concat({spans}, {new}))), a -> transform(array(struct({highest} AS hi, {lowest} AS lo)),
+          transform(array(sort_array(concat({spans}, {new}))), a -> transform(array(struct({up_to} AS hi, {behind} AS lo)),
             x -> filter(a, (s, i) -> s.kind <> {number} OR (x.hi[i] <= s.start AND x.lo[i] >= s.end)))[0])[0] END"""
     )
 
@@ -251,10 +225,10 @@ def redact(docs: DataFrame, mask: str = "[PII]") -> DataFrame:
     start = "CASE WHEN i = size(_spans) THEN size(x.chars) ELSE _spans[i].start END"
     whole = F.expr(
         f"""CASE WHEN size(_spans) = 0 THEN text ELSE
-          transform(array(struct(split(text, '') AS chars, {_highest("transform(_spans, s -> s.end)")} AS reach)), x ->
+          transform(array(struct(split(text, '') AS chars, {highest("transform(_spans, s -> s.end)")} AS reach)), x ->
             array_join(transform(sequence(0, size(_spans)), i -> concat(
               array_join(slice(x.chars, {before} + 1, greatest({start} - {before}, 0)), ''),
-              CASE WHEN i < size(_spans) AND {start} >= {before} THEN {_sql(mask)} ELSE '' END)), ''))[0] END"""
+              CASE WHEN i < size(_spans) AND {start} >= {before} THEN {quoted(mask)} ELSE '' END)), ''))[0] END"""
     )
     return found.select(
         *[whole.alias(c) if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns]
