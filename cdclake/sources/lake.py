@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -466,16 +466,39 @@ def publish_state(
     }
     if oldest is not None or OLDEST in published:
         properties[OLDEST] = str(oldest if oldest is not None else published[OLDEST])
-    names = ", ".join(f"`{c}`" for c in spec.columns)
+    _switch(lake, spec, table, properties)
+    for old in (*snapshots[lake.keep_versions :], *ledgers[lake.keep_versions :]):
+        spark.sql(f"DROP TABLE IF EXISTS {lake.table('silver', old)}")
+    return version
+
+
+def _switch(lake: Lake, spec: TableSpec, table: str, properties: Mapping[str, str]) -> None:
+    """Point the silver view at a snapshot, with what is known about it."""
+    present = set(lake.spark.table(table).columns)
+    names = ", ".join(f"`{c}`" for c in spec.columns if c in present)
     month = f", `{spec.month_column}`" if spec.month_of else ""
     listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
-    spark.sql(
+    lake.spark.sql(
         f"CREATE OR REPLACE VIEW {lake.silver(spec)} TBLPROPERTIES ({listed}) "
         f"AS SELECT {names}{month} FROM {table} WHERE {OP} <> 'd'"
     )
-    for old in (*snapshots[lake.keep_versions :], *ledgers[lake.keep_versions :]):
+
+
+def record_files(lake: Lake, spec: TableSpec, files: DataFrame) -> None:
+    """Replace the list of merged files of the published snapshot, whose rows stay as they are."""
+    spark, published = lake.spark, _published(lake, spec)
+    name = f"{spec.name}_files_v{published[VERSION]}_{uuid.uuid4().hex[:12]}"
+    files.write.format(lake.provider).saveAsTable(lake.table("silver", name))
+    spark.sql(f"ALTER TABLE {lake.table('silver', name)} SET TBLPROPERTIES ('{STATE}' = 'true')")
+    if _published(lake, spec) != published:
+        spark.sql(f"DROP TABLE IF EXISTS {lake.table('silver', name)}")
+        raise ConcurrentWrite(f"{lake.silver(spec)} was published by another writer")
+    ledgers = [name, *_names(published.get(LEDGERS, ""))]
+    known = {k: v for k, v in published.items() if k in (VERSION, SNAPSHOTS, BATCHES, OLDEST)}
+    kept = known | {LEDGERS: ",".join(ledgers[: lake.keep_versions])}
+    _switch(lake, spec, lake.table("silver", _names(published[SNAPSHOTS])[0]), kept)
+    for old in ledgers[lake.keep_versions :]:
         spark.sql(f"DROP TABLE IF EXISTS {lake.table('silver', old)}")
-    return version
 
 
 def apply_changes(

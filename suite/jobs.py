@@ -17,6 +17,7 @@ from cdclake.plans.jobs import (
 )
 from cdclake.sources.change_files import write_change_files
 from cdclake.sources.lake import append_bronze, create_bronze, create_layers, logged_spec, merged_files, read_state, scan_silver
+from cdclake.sources.compaction import compact
 from cdclake.sources.ledger import log_files, read_files, unmerged
 from suite import bindings as b
 from suite.lakes import empty_lake, fresh_dir, loaded_lake, once, plain
@@ -362,6 +363,25 @@ def silver_files(spark: SparkSession, sf: str) -> DataFrame:
     return whole.join(new, "event_date", "left").fillna(0, ["n_fresh"])
 
 
+@query(
+    "compact_days",
+    f"""SELECT event_date, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS ids, true AS few_files,
+      CAST(0 AS BIGINT) AS days_to_merge FROM {b.change_log_sql()} GROUP BY event_date""",
+)
+def compact_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Many small files a day become one; rows stay, and silver has nothing to merge again."""
+    lake = empty_lake(spark, "compact")
+    create_layers(lake, [b.USER_LOG])
+    append_bronze(lake, b.change_log(spark, sf).repartition(12, "event_id"), b.USER_LOG)
+    run_silver(lake, specs=LOG)
+    compact(lake, b.USER_LOG, before="9999-12-31")
+    (result,) = run_silver(lake, specs=LOG)
+    name = lake.bronze(b.USER_LOG)
+    files = log_files(spark, name).groupBy("event_date").agg((F.count("*") <= 4).alias("few_files"))
+    rows = lake.scan(name).groupBy("event_date").agg(F.count("*").alias("n_rows"), F.sum("event_id").alias("ids"))
+    return rows.join(files, "event_date").withColumn("days_to_merge", F.lit(result.counts["days"]).cast("long"))
+
+
 MARK_SQL = f"epoch_us(TIMESTAMP '{b.CUT}') // 1000"
 
 

@@ -20,6 +20,7 @@ from cdclake.operators.reconcile import (
     state_mismatch,
     union_all,
 )
+from cdclake.operators.sketches import distinct_in_range, distinct_sketches, merge_sketches, relative_error
 from cdclake.sources.lake import cluster_for_write
 from suite import bindings as b
 from suite import jobs
@@ -321,3 +322,25 @@ def tagged_union(spark: SparkSession, sf: str) -> DataFrame:
         b.table(spark, sf, t).select(F.lit(t).alias("table_name"), F.col(k).alias("row_key"))
         for t, k in _TAGGED
     )
+
+
+SKETCH_RANGE = ("1994-01-01", "1995-12-31")
+
+
+@query(
+    "distinct_sketches",
+    f"""SELECT origin_airport, count(DISTINCT pnr_id) AS exact_count, true AS within_bound FROM {b.SEGMENTS}
+      WHERE flight_date BETWEEN DATE '{SKETCH_RANGE[0]}' AND DATE '{SKETCH_RANGE[1]}' GROUP BY origin_airport""",
+)
+def sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Bookings by origin over two years, from sketches a day that came in two parts, beside the exact count."""
+    segments = b.flight_segments(spark, sf).select("flight_date", "origin_airport", "pnr_id", "segment_id")
+    by = ("flight_date", "origin_airport")
+    early, late = segments.where("segment_id % 3 <> 0"), segments.where("segment_id % 3 = 0")
+    stored = merge_sketches(distinct_sketches(early, "pnr_id", *by), distinct_sketches(late, "pnr_id", *by), *by)
+    estimated = distinct_in_range(stored, "flight_date", *SKETCH_RANGE, "origin_airport")
+    within = segments.where(F.col("flight_date").between(*[F.to_date(F.lit(d)) for d in SKETCH_RANGE]))
+    exact = within.groupBy("origin_airport").agg(F.count_distinct("pnr_id").alias("exact_count"))
+    off = F.abs(F.col("distinct_estimate") - F.col("exact_count"))
+    bound = F.greatest(F.lit(1.0), F.col("exact_count") * relative_error())
+    return exact.join(estimated, "origin_airport").select("origin_airport", "exact_count", (off <= bound).alias("within_bound"))
