@@ -28,6 +28,8 @@ from llm.common import steps
 from llm.text import code_points, gram_hashes, words
 
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: Bytes of text compared at once: a common n-gram makes many hits, so a step takes many times its size.
+STEP = 1 << 20
 LEAK = "doc_id long, item_id long, score double, n_seeds int, start_char long, end_char long"
 _TABLE_BITS = 22
 
@@ -119,7 +121,7 @@ def leaks_in_block(docs: DataFrame, items: Items, threshold: float) -> DataFrame
         table = items.table()
         bags = [np.unique(w, return_counts=True) for w in items.words]
         known: dict[tuple[int, bytes], tuple[int, int, int]] = {}
-        for batch in steps(batches):
+        for batch in steps(batches, STEP):
             found = words(batch.column("text"))
             hashes = found.hashes()
             row, place, gram = _hits(items, table, hashes, found.first)
