@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -25,10 +26,12 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the cluster names it in spark.checkpoint.dir.
 
-    Only where that is unset, as in tests on one machine, a temporary folder takes its place.
+    Only where that is unset and everything runs in one process, as in tests, a temporary folder takes its place.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="run-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

@@ -119,3 +119,17 @@ def test_stored_levels_are_few(spark):
 def test_empty(spark, tmp_path):
     got = queries.op13_merkle_manifest(spark, written([], tmp_path, spark, "none"))
     assert got.collect() == [] and got.columns[0] == "doc_id"
+
+
+@pytest.mark.parametrize("master", ["local", "local[8]", "local[*]", "local-cluster[3,2,1024]", "spark://host:7077", "yarn"])
+def test_a_cluster_needs_a_shared_folder(master):
+    from llm.common import shared_dir
+
+    kept = {}
+    conf = type("Conf", (), {"get": lambda self, key, default: kept.get(key, default), "set": lambda self, key, value: kept.update({key: value})})()
+    session = type("Session", (), {"conf": conf, "sparkContext": type("Context", (), {"master": master})()})()
+    if master.startswith(("local[", "local")) and "cluster" not in master:
+        assert shared_dir(session) == kept["spark.checkpoint.dir"]
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session)
