@@ -57,6 +57,19 @@ def revenue_by_route(
     route, so counting rows replaces a distinct count. The per-booking segment count is rolled
     up from the same shuffled rows.
     """
+    return revenue_sums(flight_segments, payments, paid).select(
+        "flight_date",
+        "origin_airport",
+        "dest_airport",
+        to_money_total(F.col("revenue")).alias("total_revenue"),
+        "total_bookings",
+    )
+
+
+def revenue_sums(
+    flight_segments: DataFrame, payments: DataFrame, paid: str = "SUCCESS"
+) -> DataFrame:
+    """:func:`revenue_by_route` before its totals are rounded, so that they add up."""
     route = ["flight_date", "origin_airport", "dest_airport"]
     # NULL booking ids match no payment; as a partial-aggregate key they would only be carried along.
     legs = (
@@ -78,10 +91,7 @@ def revenue_by_route(
     return (
         legs.join(per_booking, "pnr_id")
         .groupBy(*route)
-        .agg(
-            to_money_total(F.sum(part)).alias("total_revenue"),
-            F.count("*").alias("total_bookings"),
-        )
+        .agg(F.sum(part).alias("revenue"), F.count("*").alias("total_bookings"))
     )
 
 

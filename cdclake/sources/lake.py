@@ -399,6 +399,17 @@ def read_state(lake: Lake, spec: TableSpec) -> DataFrame:
     return _with_columns(lake.spark.table(lake.table("silver", newest)), spec.state_schema)
 
 
+def published_snapshot(lake: Lake, spec: TableSpec) -> str | None:
+    """The name of the snapshot that readers of silver see, None before the first."""
+    published = _published(lake, spec)
+    return None if published is None else _names(published[SNAPSHOTS])[0]
+
+
+def scan_snapshot(lake: Lake, spec: TableSpec, name: str) -> DataFrame:
+    """The rows that silver showed, or shows, with this snapshot."""
+    return current_rows(_with_columns(lake.spark.table(lake.table("silver", name)), spec.state_schema), spec)
+
+
 def publish_state(
     lake: Lake,
     spec: TableSpec,
