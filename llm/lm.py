@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import Scratch, crc_mod, most_frequent, steps
+from llm.common import Scratch, crc_mod, most_frequent, one_thread, steps
 from llm.text import words
 
 CLASSES, DIMENSION, SENT = 1024, 24, 1 << 18
@@ -147,17 +147,23 @@ class LogBilinear:
             q = self.predicted(b, s)
             drawn = np.minimum(np.searchsorted(cumulated, rng.random(k) * cumulated[-1]), len(noise) - 1)
             real = np.einsum("ij,ij->i", q, self.vectors[t]) + self.bias[t] - log_noise[t]
-            false = q @ self.vectors[drawn].T + self.bias[drawn] - log_noise[drawn]
+            false = q @ self.vectors[drawn].T
+            false += self.bias[drawn] - log_noise[drawn]
             g_real = (1 / (1 + np.exp(np.clip(real, -30, 30)))).astype(np.float32)  # 1 - P(real)
-            g_false = (-1 / (1 + np.exp(np.clip(-false, -30, 30)))).astype(np.float32)
+            # -1 / (1 + exp(-false)), in place: the products of a minibatch with its noise are most of a step.
+            np.clip(false, -30, 30, out=false)
+            np.negative(false, out=false)
+            np.exp(false, out=false)
+            false += 1
+            g_false = np.divide(-1, false, out=false)
             g_q = g_real[:, None] * self.vectors[t] + g_false @ self.vectors[drawn]
-            g_vectors, g_context = np.zeros_like(self.vectors), np.zeros_like(self.context)
-            self._add(g_vectors, t, g_real[:, None] * q)
+            g_vectors = self._summed(t, g_real[:, None] * q)
+            g_context = np.zeros_like(self.context)
             np.add.at(g_vectors, drawn, g_false.T @ q)
             g_bias = np.bincount(t, g_real, len(self.bias)).astype(np.float32)
             np.add.at(g_bias, drawn, g_false.sum(axis=0))
             for p, c in enumerate((b, s)):
-                self._add(g_context, c, g_q * self.position[p])
+                g_context += self._summed(c, g_q * self.position[p])
                 g_position = np.einsum("ij,ij->j", g_q, self.context[c])
                 self.position[p] += self._scaled(2 + p, g_position[None, :], rate)[0]
             self.vectors += self._scaled(0, g_vectors, rate)
@@ -171,12 +177,11 @@ class LogBilinear:
         self.squares[part] += (g * g).mean(axis=1, keepdims=True)
         return np.float32(rate) * g / np.sqrt(self.squares[part])
 
-    @staticmethod
-    def _add(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-        order = np.argsort(at, kind="stable")
-        own = at[order]
-        begin = np.flatnonzero(np.diff(own, prepend=-1))
-        table[own[begin]] += np.add.reduceat(rows[order], begin)
+    def _summed(self, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The sum of the rows of each class."""
+        n, width = self.vectors.shape
+        place = (at * width)[:, None] + np.arange(width)
+        return np.bincount(place.ravel(), rows.ravel(), n * width).reshape(n, width).astype(np.float32)
 
     def log10(self, target: np.ndarray, before: np.ndarray, second: np.ndarray) -> np.ndarray:
         """Normalised log10 probability of every token; each distinct context is normalised once."""
@@ -185,9 +190,11 @@ class LogBilinear:
         q = self.predicted(pairs // n, pairs % n)
         norm = np.zeros(len(pairs), np.float32)
         for i in range(0, len(pairs), 4096):
-            s = q[i : i + 4096] @ self.vectors.T + self.bias
+            s = q[i : i + 4096] @ self.vectors.T
+            s += self.bias
             top = s.max(axis=1, keepdims=True)
-            norm[i : i + 4096] = np.log(np.exp(s - top).sum(axis=1)) + top[:, 0]
+            s -= top
+            norm[i : i + 4096] = np.log(np.exp(s, out=s).sum(axis=1)) + top[:, 0]
         own = np.einsum("ij,ij->i", q[which], self.vectors[target]) + self.bias[target] - norm[which]
         return own.astype(np.float64) / np.log(10)
 
@@ -196,6 +203,7 @@ def learnt(texts: DataFrame, vocab: Vocabulary, noise: np.ndarray, dimension: in
     """The parameters after each task has trained on its texts from `flat` on: the average by tokens."""
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
         own = LogBilinear(noise, dimension)
         own.load(flat)
         task = TaskContext.get().partitionId()
@@ -265,6 +273,7 @@ def score(docs: DataFrame, scratch: Scratch, held_out_of: int = 5, held_out: int
     rare_norm = vocab.rare_total + 0.5 * (rare_words + 1)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
         row = TaskContext.get().partitionId() << 33
         base_log, rare_log = np.log10(base_norm), np.log10(rare_norm)
         for batch in steps(batches):
