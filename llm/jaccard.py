@@ -13,7 +13,8 @@
 
 Blocks and families larger than a task's limit are cut into parts. All parts see the same pivots, so what
 is similar becomes connected across parts; the few members outside a group's largest component then meet
-every part. Work is in proportion to the group, not to its square, and no link between components is lost.
+every part, so a block of members that are mostly unlike each other is compared pair by pair, in many tasks. Work on
+members that are alike is in proportion to their number, and no link between components is lost.
 
 Only bounded data reach the driver: the most frequent grams, `most_hot` at most, which only affect the order,
 and a bitmap of fixed size that tells which texts are read a third time.
@@ -225,10 +226,12 @@ def candidate_forest(sizes: np.ndarray, signatures: list[np.ndarray], threshold:
     edges: list[tuple[int, int]] = []
 
     def unite(i: int, others: np.ndarray) -> None:
-        for j in others.tolist():
-            if label[i] != label[j]:
-                edges.append((i, j))
-                label[label == label[j]] = label[i]
+        """Link i with one member of each component among the others, and give all of these its label at once."""
+        met, at = np.unique(label[others], return_index=True)
+        new = met != label[i]
+        if new.any():
+            edges.extend((i, j) for j in others[at[new]].tolist())
+            label[np.isin(label, met[new])] = label[i]
 
     width = np.array([len(s) for s in signatures])
     for w in np.unique(width).tolist():
@@ -268,8 +271,11 @@ def _join_tree(tree: SignatureTree, own: np.ndarray, wide: np.ndarray, label: np
                 stack += [(0, a[half:], b[half:]), (0, a[:half], b[:half])]
                 continue
             ok = tree.may_link(0, a, b, threshold)
-            for i, j in zip(a[ok].tolist(), b[ok].tolist(), strict=True):
-                unite(int(own[i]), own[j : j + 1])
+            order = np.argsort(a[ok], kind="stable")
+            a, b = a[ok][order], b[ok][order]
+            edge = np.flatnonzero(np.diff(a, prepend=-1, append=-1))
+            for i, j in zip(edge, edge[1:], strict=False):
+                unite(int(own[a[i]]), own[b[i:j]])
             continue
         keep = ~((same[level][a] >= 0) & (same[level][a] == same[level][b]))
         a, b = a[keep], b[keep]
@@ -287,7 +293,8 @@ def _join_tree(tree: SignatureTree, own: np.ndarray, wide: np.ndarray, label: np
 def true_forest(sets: list[np.ndarray], threshold: Fraction) -> list[tuple[int, int]]:
     """Pairs that reach the threshold and connect what true links connect.
 
-    From each member reached, its overlaps with all that are not yet reached are counted at once.
+    From each member reached, its overlaps with all that are not yet reached are counted at once: over the members
+    that share a gram with it if these are few, else over all.
     """
     sizes = np.array([len(s) for s in sets], np.int64)
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -297,25 +304,33 @@ def true_forest(sets: list[np.ndarray], threshold: Fraction) -> list[tuple[int,
     posted = owner[order]
     first = np.searchsorted(gram[order], np.arange(len(grams) + 1))
     reached = np.zeros(len(sets), bool)
-    at_last = len(sets)
+    left = at_last = len(sets)
     edges = []
     for seed in range(len(sets)):
-        queue = [] if reached[seed] else [seed]
-        reached[seed] = True
-        while queue:
+        if reached[seed]:
+            continue
+        queue, reached[seed] = [seed], True
+        left -= 1
+        while queue and left:
             x = queue.pop()
-            if reached.all():
-                break
-            if 2 * (~reached).sum() < at_last:  # drop those reached from the lists
+            if 2 * left < at_last:  # drop those reached from the lists
                 live = ~reached[posted]
                 kept = np.concatenate([[0], np.cumsum(live)])
-                posted, first, at_last = posted[live], kept[first], int((~reached).sum())
+                posted, first, at_last = posted[live], kept[first], left
             own = gram[start[x] : start[x] + sizes[x]]
             n = first[own + 1] - first[own]
             at = np.repeat(first[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            shared = np.bincount(posted[at], minlength=len(sets))
-            new = np.flatnonzero(~reached & (shared > 0) & (shared >= needed(sizes[x], sizes, threshold)))
+            met = posted[at]
+            met = met[~reached[met]]
+            if 16 * len(met) < len(sets):
+                other, shared = np.unique(met, return_counts=True)
+            else:
+                shared = np.bincount(met, minlength=len(sets))
+                other = np.flatnonzero(shared)
+                shared = shared[other]
+            new = other[shared >= needed(sizes[x], sizes[other], threshold)]
             reached[new] = True
+            left -= len(new)
             edges += [(x, int(y)) for y in new]
             queue += new.tolist()
     return edges
@@ -440,9 +455,9 @@ def jaccard_components(
     found = scratch.table(features(docs, width, threshold, hot, counts))
 
     entries = found.filter(F.col("prefix").isNotNull()).select("class", F.explode("prefix").alias("gram"))
-    same = Window.partitionBy("gram")
-    shared = entries.withColumn("low", F.min("class").over(same)).withColumn("high", F.max("class").over(same))
-    shared = scratch.table(shared.filter("low <> high").select("gram", "class").distinct())
+    # Counted in tasks before the shuffle: a gram of a third of all texts is no window over all of them.
+    several = entries.groupBy("gram").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
+    shared = scratch.table(entries.join(several.select("gram"), "gram", "left_semi").distinct())
     alike = shared.groupBy("gram").agg(
         F.count("*").alias("members"),
         F.bit_xor(F.xxhash64("class")).alias("x"),
