@@ -99,11 +99,20 @@ def document_frequencies(docs: DataFrame, bits: int) -> tuple[np.ndarray, int]:
 
 
 def sample_features(docs: DataFrame, bits: int, per_language: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """lang, features and shares of at most `per_language` documents of each language."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "lang"), "doc_id")
-    chosen = docs.select("doc_id", "lang").withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language)
-    ids = sorted({(r["doc_id"] is None, r["doc_id"] or 0) for r in chosen.select("doc_id").collect()})
-    wanted = docs.sparkSession.createDataFrame([(None if null else i,) for null, i in ids], "doc_id long")
+    """lang, features and shares of at most `per_language` documents of each language, equal rows counted once.
+
+    They are those with the smallest hashes. A limit for the hash, from the approximate number of different rows,
+    leaves somewhat more than that many before anything is ordered.
+    """
+    space = 1 << 32
+    keyed = docs.select("lang", "text", F.xxhash64("doc_id", "lang", "text").alias("key"))
+    counted = keyed.groupBy("lang").agg(F.approx_count_distinct("key", 0.02).alias("n")).collect()  # a row for each language
+    if not counted:
+        return []
+    limits = [x for r in counted for x in (F.lit(r["lang"]), F.lit(min(space, int(space * 1.3 * per_language / r["n"]) + 1)))]
+    drawn = keyed.filter(F.pmod("key", F.lit(space)) < F.create_map(*limits)[F.col("lang")])
+    order = Window.partitionBy("lang").orderBy(F.pmod("key", F.lit(space)), "key")
+    drawn = drawn.dropDuplicates(["lang", "key"]).withColumn("k", F.row_number().over(order))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens.forget()
@@ -121,9 +130,8 @@ def sample_features(docs: DataFrame, bits: int, per_language: int) -> list[tuple
                     ["lang", "features", "shares"],
                 )
 
-    # The ids are as many as the sample.
-    texts = docs.select("doc_id", "lang", "text").join(F.broadcast(wanted), "doc_id", "left_semi")
-    table = texts.select("lang", "text").mapInArrow(make, "lang string, features array<int>, shares array<float>").toArrow()
+    texts = drawn.filter(F.col("k") <= per_language).select("lang", "text")
+    table = texts.mapInArrow(make, "lang string, features array<int>, shares array<float>").toArrow()
     rows = []
     for batch in table.to_batches():  # as arrays, for the driver's memory
         ends = batch.column("features").offsets.to_numpy()

@@ -87,3 +87,16 @@ def test_lm_of_nothing(spark):
     got = lm.score(cases.frame(spark, held), Scratch(spark, "t"), classes=8).collect()
     assert {(r.n_known, r.train_tokens) for r in got} == {(0, 0)}
     assert all(np.isfinite(r.score) for r in got)
+
+
+def test_language_sample_is_bounded(spark):
+    """An id that repeats on most rows, and rows that repeat, do not widen the sample or change it."""
+    rows = [(1, f"same id, text {i}", "en") for i in range(200)] + [(i, f"text {i}", "fr") for i in range(2, 40)]
+    rows += [(5, "one row", "de")] * 100 + [(None, "no id", "de")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.sample_features(docs, 16, 20)
+    by_language = {k: sum(r[0] == k for r in found) for k in ("de", "en", "fr")}
+    assert by_language == {"de": 2, "en": 20, "fr": 20}
+    again = langid.sample_features(docs.repartition(7, "text"), 16, 20)
+    assert [(a, f.tolist(), x.tolist()) for a, f, x in found] == [(a, f.tolist(), x.tolist()) for a, f, x in again]
+    assert langid.sample_features(docs.filter("false"), 16, 20) == []
