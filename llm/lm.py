@@ -1,19 +1,23 @@
-"""Language-model scoring with a log-bilinear model trained by noise-contrastive estimation.
-
-Words of all training texts are counted. The `classes` - 2 most frequent words and the end of a text are
-classes of their own; all other words share the class of rare words. The model gives each class a vector and a
-bias; the two classes before a token predict its vector by position-wise weights, and the product of
-the prediction with all class vectors gives, after normalising, the probability of the next class. A rare
-word's probability is that of its class times its smoothed share of the class, in which one more share stands
-for all unknown words. So the probabilities of all words, unknown as one, and the end add up to 1.
-
-Training is noise-contrastive: real tokens are told from tokens drawn by frequency, by the same batch of
-noise for a whole minibatch, so that every step is a few matrix products. A first model is fitted to a
+"""Language-model scoring with a two-level log-bilinear model trained by noise-contrastive estimation.
+
+Words of all training texts are counted. The most frequent words, about eight times the square root of the training
+tokens and so more of them in a larger corpus, are classes of their own, as is the end of a text; every other word belongs
+to one of 64 classes by its last two bytes. The model gives each class a vector, a bias and a context vector;
+the two classes before a token predict its vector by position-wise weights. Classes in order of frequency are
+cut into groups of about the square root of their number. Products of the prediction with all groups' vectors,
+normalised, give the probability of the group; products with the vectors of the group's classes, normalised, that
+of the class. So a token costs about twice the square root of the classes. The probability of a word in a class
+by ending is that of the class times the word's smoothed share of it, in which one more share stands for all
+unknown words with such an ending. So the probabilities of all words, the unknown by their endings, and the end add up to 1.
+
+Training is noise-contrastive on both levels: real tokens and groups are told from ones drawn by frequency, by the
+same batch of noise for a whole minibatch, so that every step is a few matrix products. A first model is fitted to a
 bounded sample of texts; then every task trains it on all of its share of the training texts, and the
-tasks' models are averaged by their numbers of tokens.
+tasks' models are averaged, each class by how often a task met it.
 
 The counts of all words stay a table. The most frequent, at most `sent`, 2^18 by default, go to every task; what
-is rarer meets the table in a join.
+is rarer meets the table in a join. `sent` also bounds the classes, whose model of 200 bytes a class goes to every task.
+Training depends on how rows are split into tasks, so scores differ slightly between clusters.
 
 Defined cases. A null text is empty and has the end alone. Without any training text, counts are zero and
 the base score of every token is log10(1 / (V + 1)) with V = 0. Repeated rows train and score repeatedly. An
@@ -22,6 +26,8 @@ empty table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,8 +40,7 @@ from pyspark.sql import functions as F
 from llm.common import Scratch, crc_mod, most_frequent, one_thread, steps
 from llm.text import words
 
-CLASSES, DIMENSION, SENT = 1024, 24, 1 << 18
-RARE, END, START = 0, 1, 2  # START is only ever a context
+DIMENSION, SENT, ENDINGS, BLOCK = 24, 1 << 18, 64, 4096
 _HELD = 300_000
 
 
@@ -61,200 +66,322 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def classes_for(tokens: int, sent: int = SENT) -> int:
+    """How many classes a corpus of so many tokens gets."""
+    return max(1024, min(sent, 8 * math.isqrt(tokens)))
+
+
+def ending(word: bytes, endings: int) -> int:
+    return zlib.crc32(word[-2:]) % endings
+
+
+def ending_of(word: str, endings: int):
+    """The same as a column."""
+    return F.pmod(F.crc32(F.expr(f"substring({word}, -2)")), F.lit(endings)).cast("int")
+
+
 @dataclass
 class Vocabulary:
-    """The most frequent words with counts and classes, and the totals over all words and ends."""
+    """The most frequent words with counts and classes, counts of the classes, and totals over all words and ends."""
 
     count: dict[bytes, int]
     cls: dict[bytes, int]
+    rare: np.ndarray
+    rare_norm: np.ndarray
+    end: int
+    class_counts: np.ndarray
     total: int
     distinct: int
-    rare_total: int
+
+    @property
+    def start(self) -> int:
+        """What stands before a text; it only ever is a context."""
+        return len(self.class_counts)
 
     def codes(self, texts: pa.Array):
-        """The words of the texts, and for each distinct one its count, 0 if not here, and its class."""
+        """The words of the texts, and for each distinct one its count, 0 if not here, its class and the log10 of its class's norm.
+
+        The norm is 0 for words that are classes of their own.
+        """
         found = words(texts)
         distinct = found.distinct.to_pylist()
         n = np.fromiter((self.count.get(w, 0) for w in distinct), np.int64, len(distinct))
-        c = np.fromiter((self.cls.get(w, RARE) for w in distinct), np.int64, len(distinct))
-        return found, distinct, n, c
-
-
-def vocabulary(counts: DataFrame, ends: int, classes: int, sent: int) -> Vocabulary:
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+        c = np.fromiter((self.cls.get(w, -1) for w in distinct), np.int64, len(distinct))
+        norm = np.zeros(len(distinct))
+        others = np.flatnonzero(c < 0)
+        by = np.fromiter((ending(distinct[i], len(self.rare)) for i in others.tolist()), np.int64, len(others))
+        c[others], norm[others] = self.rare[by], np.log10(self.rare_norm[by])
+        return found, distinct, n, c, norm
+
+
+def vocabulary(counts: DataFrame, ends: int, classes: int | None, sent: int) -> Vocabulary:
+    by_ending = counts.groupBy(ending_of("word", 1 << 10).alias("e")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
+    total, distinct = sum(r["n"] for r in by_ending), sum(r["words"] for r in by_ending)
+    classes = classes_for(total + ends, sent) if classes is None else classes
+    endings = min(ENDINGS, 1 << int(math.log2(max(1, classes // 4))))  # a power of two, so it divides 2^10
+    rare_n, rare_words = np.zeros(endings, np.int64), np.zeros(endings, np.int64)
+    for r in by_ending:
+        rare_n[r["e"] % endings] += r["n"]
+        rare_words[r["e"] % endings] += r["words"]
     top = most_frequent(counts, sent)
     pairs = sorted(zip(top.column("n").to_pylist(), top.column("word").to_pylist(), strict=True), key=lambda x: (-x[0], x[1]))
-    names, numbers = [w for _, w in pairs], [n for n, _ in pairs]
-    own = {w: k + 3 for k, w in enumerate(names[: classes - 3])}
-    rare = total - sum(numbers[: classes - 3])
-    return Vocabulary(dict(zip(names, numbers, strict=True)), own, total + ends, distinct + (ends > 0), rare)
+    own = pairs[: max(0, classes - endings - 2)]
+    for n, w in own:
+        rare_n[ending(w, endings)] -= n
+        rare_words[ending(w, endings)] -= 1
+    numbers = np.array([*rare_n, ends, *(n for n, _ in own)], np.int64)
+    order = np.argsort(-numbers, kind="stable")
+    place = np.empty(len(numbers), np.int64)
+    place[order] = np.arange(len(numbers))
+    cls = {w: int(place[endings + 1 + i]) for i, (_, w) in enumerate(own)}
+    return Vocabulary(
+        {w: n for n, w in pairs}, cls, place[:endings], rare_n + 0.5 * (rare_words + 1), int(place[endings]), numbers[order], total + ends, distinct + (ends > 0)
+    )
 
 
-def sequences(found, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sequences(found, cls: np.ndarray, end: int, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Class of every token with the ends, and of the two tokens before it."""
     first = found.first
     rows = len(first) - 1
     at = np.arange(len(found.codes)) + np.repeat(np.arange(rows), np.diff(first))
-    target = np.full(len(found.codes) + rows, END, np.int64)
+    target = np.full(len(found.codes) + rows, end, np.int64)
     target[at] = cls[found.codes]
-    before = np.full(len(target), START, np.int64)
+    before = np.full(len(target), start, np.int64)
     before[1:] = target[:-1]
     begin = first[:-1] + np.arange(rows)
-    before[begin] = START
-    second = np.full(len(target), START, np.int64)
+    before[begin] = start
+    second = np.full(len(target), start, np.int64)
     second[1:] = before[:-1]
-    second[begin] = START
+    second[begin] = start
     return target, before, second
 
 
+class Level:
+    """Vectors and biases of what one level chooses from, and the noise that training tells it from."""
+
+    def __init__(self, noise: np.ndarray, vectors: np.ndarray):
+        self.vectors = vectors
+        self.bias = np.log(noise).astype(np.float32)
+        self.log_noise = self.bias.copy()
+        self.cumulated = np.cumsum(noise)
+
+    def contrast(self, q: np.ndarray, t: np.ndarray, rng, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For k drawn ones that all tokens share: the gradient by q, and places, vectors' and biases' gradients."""
+        drawn = np.minimum(np.searchsorted(self.cumulated, rng.random(k) * self.cumulated[-1]), len(self.bias) - 1)
+        log_k = np.float32(np.log(k))
+        own, other = self.vectors[t], self.vectors[drawn]
+        real = np.einsum("ij,ij->i", q, own) + self.bias[t] - self.log_noise[t] - log_k
+        # P(noise) of the real ones and P(real) of the drawn ones; the latter, for a whole minibatch, are most of a step.
+        with np.errstate(over="ignore"):  # 1 / (1 + inf) is 0, as it should be
+            g_real = 1 / (1 + np.exp(real))
+            g_false = q @ -other.T
+            g_false -= self.bias[drawn] - self.log_noise[drawn] - log_k
+            np.exp(g_false, out=g_false)
+        g_false += 1
+        np.reciprocal(g_false, out=g_false)
+        g_q = g_real[:, None] * own - g_false @ other
+        biases = np.concatenate([g_real, -(np.ones(len(q), np.float32) @ g_false)])
+        return g_q, np.concatenate([t, drawn]), np.concatenate([g_real[:, None] * q, -(g_false.T @ q)]), biases
+
+
 class LogBilinear:
-    """vectors and biases of classes, position weights of the two classes before."""
+    """Classes in groups of consecutive ones, and position weights of the two classes before.
+
+    The last row of the context vectors is that of a text's start.
+    """
 
     def __init__(self, noise: np.ndarray, dimension: int, seed: int = 11):
         rng = np.random.default_rng(seed)
         n = len(noise)
-        self.vectors = rng.normal(0, 0.1, (n, dimension)).astype(np.float32)
-        self.context = rng.normal(0, 0.1, (n, dimension)).astype(np.float32)
+        noise = np.maximum(noise / max(noise.sum(), 1e-9), 1e-9)
+        self.width = max(1, math.isqrt(n - 1) + 1)
+        small = lambda rows: rng.normal(0, 0.1, (rows, dimension)).astype(np.float32)
+        self.words = Level(noise, small(n))
+        self.groups = Level(np.add.reduceat(noise, np.arange(0, n, self.width)), small(-(-n // self.width)))
+        self.context = small(n + 1)
         self.position = np.ones((2, dimension), np.float32)
-        self.bias = np.log(np.maximum(noise, 1e-9)).astype(np.float32)
-        self.bias[START] = -30.0
-        self.squares: dict[int, np.ndarray] = {}
+        self.squares: dict[str, np.ndarray] = {}
 
-    def parts(self) -> list[np.ndarray]:
-        return [self.vectors, self.context, self.position, self.bias]
+    def classes(self) -> np.ndarray:
+        """A row for every class and the start: context, vector, bias."""
+        own = np.column_stack([self.words.vectors, self.words.bias])
+        return np.column_stack([self.context, np.vstack([own, np.zeros_like(own[:1])])])
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in self.parts()])
+    def shared(self) -> np.ndarray:
+        return np.concatenate([self.groups.vectors.ravel(), self.groups.bias, self.position.ravel()])
 
-    def load(self, flat: np.ndarray) -> None:
+    def load(self, classes: np.ndarray, shared: np.ndarray) -> None:
+        d = self.context.shape[1]
+        self.context[...] = classes[:, :d]
+        self.words.vectors[...] = classes[:-1, d : 2 * d]
+        self.words.bias[...] = classes[:-1, 2 * d]
         at = 0
-        for p in self.parts():
-            p[...] = flat[at : at + p.size].reshape(p.shape)
+        for p in (self.groups.vectors, self.groups.bias, self.position):
+            p[...] = shared[at : at + p.size].reshape(p.shape)
             at += p.size
 
     def predicted(self, before: np.ndarray, second: np.ndarray) -> np.ndarray:
         return self.context[before] * self.position[0] + self.context[second] * self.position[1]
 
-    def train(self, target: np.ndarray, before: np.ndarray, second: np.ndarray, noise: np.ndarray, rng, rate: float, batch: int = 4096, k: int = 128) -> None:
-        """One turn over the tokens. Each is told from k noise tokens that its minibatch shares.
+    def train(self, target: np.ndarray, before: np.ndarray, second: np.ndarray, rng, rate: float, batch: int = 4096, k: int = 64) -> None:
+        """One turn over the tokens. Each is told from k noise classes, and its group from k noise groups.
 
-        Steps are scaled by the gradients that a class has had before (AdaGrad, one number for each class).
+        Steps are scaled by the gradients that a row has had before (AdaGrad, one number for each row). Only rows that
+        a minibatch meets are touched, so its cost doesn't depend on the number of classes.
         """
-        log_noise = np.log(np.maximum(noise, 1e-12)).astype(np.float32) + np.float32(np.log(k))
-        cumulated = np.cumsum(noise)
         for i in range(0, len(target), batch):
             t, b, s = target[i : i + batch], before[i : i + batch], second[i : i + batch]
-            q = self.predicted(b, s)
-            drawn = np.minimum(np.searchsorted(cumulated, rng.random(k) * cumulated[-1]), len(noise) - 1)
-            real = np.einsum("ij,ij->i", q, self.vectors[t]) + self.bias[t] - log_noise[t]
-            false = q @ self.vectors[drawn].T
-            false += self.bias[drawn] - log_noise[drawn]
-            g_real = (1 / (1 + np.exp(np.clip(real, -30, 30)))).astype(np.float32)  # 1 - P(real)
-            # -1 / (1 + exp(-false)), in place: the products of a minibatch with its noise are most of a step.
-            np.clip(false, -30, 30, out=false)
-            np.negative(false, out=false)
-            np.exp(false, out=false)
-            false += 1
-            g_false = np.divide(-1, false, out=false)
-            g_q = g_real[:, None] * self.vectors[t] + g_false @ self.vectors[drawn]
-            g_vectors = self._summed(t, g_real[:, None] * q)
-            g_context = np.zeros_like(self.context)
-            np.add.at(g_vectors, drawn, g_false.T @ q)
-            g_bias = np.bincount(t, g_real, len(self.bias)).astype(np.float32)
-            np.add.at(g_bias, drawn, g_false.sum(axis=0))
-            for p, c in enumerate((b, s)):
-                g_context += self._summed(c, g_q * self.position[p])
-                g_position = np.einsum("ij,ij->j", g_q, self.context[c])
-                self.position[p] += self._scaled(2 + p, g_position[None, :], rate)[0]
-            self.vectors += self._scaled(0, g_vectors, rate)
-            self.context += self._scaled(1, g_context, rate)
-            self.bias += self._scaled(4, g_bias[:, None], rate)[:, 0]
-            self.bias[START] = -30.0
-
-    def _scaled(self, part: int, g: np.ndarray, rate: float) -> np.ndarray:
-        if part not in self.squares:
-            self.squares[part] = np.full((len(g), 1), 1e-3, np.float32)
-        self.squares[part] += (g * g).mean(axis=1, keepdims=True)
-        return np.float32(rate) * g / np.sqrt(self.squares[part])
-
-    def _summed(self, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """The sum of the rows of each class."""
-        n, width = self.vectors.shape
-        place = (at * width)[:, None] + np.arange(width)
-        return np.bincount(place.ravel(), rows.ravel(), n * width).reshape(n, width).astype(np.float32)
+            first, then = self.context[b], self.context[s]
+            q = first * self.position[0] + then * self.position[1]
+            g_q = np.zeros_like(q)
+            for name, level, own in (("words", self.words, t), ("groups", self.groups, t // self.width)):
+                g, at, vectors, biases = level.contrast(q, own, rng, k)
+                g_q += g
+                self._step(name, level.vectors, at, vectors, rate)
+                self._step(name + " bias", level.bias[:, None], at, biases[:, None], rate)
+            at, rows = np.concatenate([b, s]), np.concatenate([g_q * self.position[0], g_q * self.position[1]])
+            self._step("context", self.context, at, rows, rate)
+            moved = np.stack([np.einsum("ij,ij->j", g_q, first), np.einsum("ij,ij->j", g_q, then)])
+            self._step("position", self.position, np.arange(2), moved, rate)
+
+    def _step(self, name: str, values: np.ndarray, at: np.ndarray, rows: np.ndarray, rate: float) -> None:
+        """Adds the scaled sums of the rows of each place."""
+        n, width = values.shape
+        if name not in self.squares:
+            self.squares[name] = np.full((n, 1), 1e-3, np.float32)
+        met = np.zeros(n, bool)
+        met[at] = True
+        kinds = np.flatnonzero(met)
+        number = np.empty(n, np.int64)
+        number[kinds] = np.arange(len(kinds))
+        place = (number[at] * width)[:, None] + np.arange(width)
+        g = np.bincount(place.ravel(), rows.ravel(), len(kinds) * width).reshape(-1, width).astype(np.float32)
+        squares = self.squares[name][kinds] + (g * g).mean(axis=1, keepdims=True)
+        self.squares[name][kinds] = squares
+        values[kinds] += np.float32(rate) * g / np.sqrt(squares)
 
     def log10(self, target: np.ndarray, before: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """Normalised log10 probability of every token; each distinct context is normalised once."""
-        n = len(self.bias)
+        """Normalised log10 probability of every token; groups are normalised once for each distinct context."""
+        n = len(self.context)
         pairs, which = np.unique(before * n + second, return_inverse=True)
         q = self.predicted(pairs // n, pairs % n)
-        norm = np.zeros(len(pairs), np.float32)
-        for i in range(0, len(pairs), 4096):
-            s = q[i : i + 4096] @ self.vectors.T
-            s += self.bias
+        norm = log_sums(q, self.groups.vectors, self.groups.bias)
+        group = target // self.width
+        own = lambda level, at: np.einsum("ij,ij->i", q[which], level.vectors[at]) + level.bias[at]
+        out = own(self.groups, group) - norm[which] + own(self.words, target)
+        order = np.argsort(group, kind="stable")
+        edges = np.searchsorted(group[order], np.arange(len(self.groups.bias) + 1))
+        for g in np.flatnonzero(np.diff(edges)):
+            at = order[edges[g] : edges[g + 1]]
+            members = slice(g * self.width, (g + 1) * self.width)
+            out[at] -= log_sums(q[which[at]], self.words.vectors[members], self.words.bias[members])
+        return out.astype(np.float64) / np.log(10)
+
+
+def log_sums(q: np.ndarray, vectors: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """The logarithm of each row's sum of exponentials over all vectors."""
+    out = np.zeros(len(q), np.float32)
+    ones = np.ones(len(bias), np.float32)
+    for i in range(0, len(q), 1024):
+        s = q[i : i + 1024] @ vectors.T
+        s += bias
+        with np.errstate(over="ignore", divide="ignore"):
+            out[i : i + 1024] = np.log(np.exp(s) @ ones)
+        if not (np.abs(out[i : i + 1024]) < 60).all():  # beyond what exponentials can hold
             top = s.max(axis=1, keepdims=True)
-            s -= top
-            norm[i : i + 4096] = np.log(np.exp(s, out=s).sum(axis=1)) + top[:, 0]
-        own = np.einsum("ij,ij->i", q[which], self.vectors[target]) + self.bias[target] - norm[which]
-        return own.astype(np.float64) / np.log(10)
+            out[i : i + 1024] = np.log(np.exp(s - top) @ ones) + top[:, 0]
+    return out
+
 
+def learnt(texts: DataFrame, vocab: Vocabulary, noise: np.ndarray, dimension: int, before: LogBilinear, turns: int, rate: float) -> LogBilinear:
+    """The model after each task has trained on its texts from `before` on, averaged over the tasks.
 
-def learnt(texts: DataFrame, vocab: Vocabulary, noise: np.ndarray, dimension: int, flat: np.ndarray, turns: int, rate: float) -> np.ndarray:
-    """The parameters after each task has trained on its texts from `flat` on: the average by tokens."""
+    A class's row counts by how often it was met in the task, what all classes share by the task's tokens. Rows travel in
+    blocks, block -1 being the shared part, and are added up by block, so no task holds more than a few.
+    """
+    classes, shared = before.classes(), before.shared()
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one_thread()
         own = LogBilinear(noise, dimension)
-        own.load(flat)
+        own.load(classes, shared)
         task = TaskContext.get().partitionId()
         rng = np.random.default_rng(task)
-        tokens = 0
+        met = np.zeros(len(classes))
         for batch in steps(batches):
-            found, _, _, cls = vocab.codes(batch.column("text"))
-            target, before, second = sequences(found, cls)
+            found, _, _, cls, _ = vocab.codes(batch.column("text"))
+            target, first, second = sequences(found, cls, vocab.end, vocab.start)
             for _ in range(turns):
                 order = rng.permutation(len(target))
-                own.train(target[order], before[order], second[order], noise, rng, rate)
-            tokens += len(target)
-        if tokens:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([task % 16], pa.int64()), pa.array([tokens], pa.int64()), pa.array([own.flat().tobytes()], pa.binary())],
-                ["pile", "tokens", "model"],
-            )
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, tokens = np.zeros(len(flat)), 0
+                own.train(target[order], first[order], second[order], rng, rate)
+            met += np.bincount(target, minlength=len(met)) + np.bincount(first, minlength=len(met))
+        if met.any():
+            rows = own.classes() - classes
+            for i in range(0, len(rows), BLOCK):
+                yield block(i // BLOCK, task, met[i : i + BLOCK], rows[i : i + BLOCK])
+            yield block(-1, task, met.sum(keepdims=True), (own.shared() - shared)[None, :])
+
+    def block(number: int, pile: int, weights: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+        return record(number, pile, weights, rows * weights[:, None])
+
+    def record(number: int, pile: int, weights: np.ndarray, rows: np.ndarray, kind: str = "<f8") -> pa.RecordBatch:
+        packed = [pa.array([x], pa.int64()) for x in (number, pile % 16)]
+        packed += [pa.array([x.astype(kind).tobytes()], pa.binary()) for x in (weights, rows)]
+        return pa.RecordBatch.from_arrays(packed, ["block", "pile", "weights", "rows"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> dict[int, list[np.ndarray]]:
+        held: dict[int, list[np.ndarray]] = {}
         for batch in batches:
-            for n, model in zip(batch.column("tokens").to_pylist(), batch.column("model").to_pylist(), strict=True):
-                total += n * np.frombuffer(model, "<f4").astype(np.float64)
-                tokens += n
-        if tokens:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([0], pa.int64()), pa.array([tokens], pa.int64()), pa.array([total.tobytes()], pa.binary())],
-                ["pile", "tokens", "model"],
-            )
-
-    schema = "pile long, tokens long, model binary"
-    piles = texts.select("text").mapInArrow(learn, schema).repartition(16, "pile").mapInArrow(add, schema).collect()
-    tokens = sum(r["tokens"] for r in piles)  # 16 rows at most
-    if not tokens:
-        return flat
-    return (sum(np.frombuffer(r["model"], np.float64) for r in piles) / tokens).astype(np.float32)
+            for number, weights, rows in zip(*(batch.column(c).to_pylist() for c in ("block", "weights", "rows")), strict=True):
+                w, r = np.frombuffer(weights, "<f8"), np.frombuffer(rows, "<f8")
+                if number in held:
+                    held[number][0] += w
+                    held[number][1] += r
+                else:
+                    held[number] = [w.copy(), r.copy()]
+        return held
 
-
-def fit(training: DataFrame, vocab: Vocabulary, class_counts: np.ndarray, dimension: int = DIMENSION, warm_tokens: int = 500_000) -> LogBilinear:
-    """A first model from a sample of about `warm_tokens` in one task, then all texts in all tasks."""
-    noise = class_counts / max(1, class_counts.sum())
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, (w, r) in added(batches).items():
+            yield record(number, 0, w, r)
+
+    def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, (w, r) in added(batches).items():
+            yield record(number, 0, w[:0], r.reshape(len(w), -1) / np.maximum(w, 1)[:, None], "<f4")
+
+    schema = "block long, pile long, weights binary, rows binary"
+    piles = texts.select("text").mapInArrow(learn, schema).repartition("block", "pile").mapInArrow(add, schema)
+    # No more than the model itself: some 200 bytes for each of at most `sent` classes.
+    moved = piles.repartition("block").mapInArrow(mean, schema).select("block", "rows").toArrow()
+    for number, rows in zip(moved.column("block").to_pylist(), moved.column("rows"), strict=True):
+        change = np.frombuffer(rows.as_buffer(), "<f4")
+        if number < 0:
+            shared = shared + change
+        else:
+            change = change.reshape(-1, classes.shape[1])
+            classes[number * BLOCK : number * BLOCK + len(change)] += change
+    after = LogBilinear(noise, dimension)
+    after.load(classes, shared)
+    return after
+
+
+def fit(training: DataFrame, vocab: Vocabulary, dimension: int = DIMENSION, warm_tokens: int = 500_000) -> LogBilinear:
+    """A first model from a sample of about `warm_tokens` in one task, then all texts in all tasks.
+
+    The sample is drawn by a hash of the row's place, so that repeated ids or rows don't enter it together.
+    """
+    noise = vocab.class_counts + 0.5
     model = LogBilinear(noise, dimension)
-    if class_counts.sum():
-        share = min(1.0, warm_tokens / class_counts.sum())
-        sample = training.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-        model.load(learnt(sample.repartition(1), vocab, noise, dimension, model.flat(), 5, 0.1))
-        model.load(learnt(training, vocab, noise, dimension, model.flat(), 1, 0.03))
+    if vocab.total:
+        share = min(1.0, warm_tokens / vocab.total)
+        drawn = F.pmod(F.xxhash64("_place"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
+        sample = training.select("text", F.monotonically_increasing_id().alias("_place")).filter(drawn)
+        model = learnt(sample.repartition(1), vocab, noise, dimension, model, 5, 0.1)
+        model = learnt(training, vocab, noise, dimension, model, 1, 0.03)
     return model
 
 
-def score(docs: DataFrame, scratch: Scratch, held_out_of: int = 5, held_out: int = 1, classes: int = CLASSES, sent: int = SENT) -> DataFrame:
+def score(docs: DataFrame, scratch: Scratch, held_out_of: int = 5, held_out: int = 1, classes: int | None = None, sent: int = SENT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every text."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     out = F.coalesce(crc_mod("doc_id", held_out_of) == held_out, F.lit(False))
@@ -262,31 +389,24 @@ def score(docs: DataFrame, scratch: Scratch, held_out_of: int = 5, held_out: int
     counts = scratch.table(word_counts(training))
     ends = training.count()
     vocab = vocabulary(counts, ends, classes, sent)
-    class_counts = np.zeros(classes, np.int64)
-    for word, k in vocab.cls.items():
-        class_counts[k] = vocab.count[word]
-    class_counts[[RARE, END]] = vocab.rare_total, ends
-    model = fit(training, vocab, class_counts)
-
+    model = fit(training, vocab)
     base_norm = vocab.total + 0.5 * (vocab.distinct + 1)
-    rare_words = vocab.distinct - (ends > 0) - len(vocab.cls)
-    rare_norm = vocab.rare_total + 0.5 * (rare_words + 1)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one_thread()
         row = TaskContext.get().partitionId() << 33
-        base_log, rare_log = np.log10(base_norm), np.log10(rare_norm)
+        base_log = np.log10(base_norm)
         for batch in steps(batches):
-            found, distinct, n, cls = vocab.codes(batch.column("text"))
+            found, distinct, n, cls, norm = vocab.codes(batch.column("text"))
             rows = len(found.first) - 1
-            target, before, second = sequences(found, cls)
+            target, before, second = sequences(found, cls, vocab.end, vocab.start)
             doc = np.repeat(np.arange(rows), np.diff(found.first) + 1)
             per_doc = lambda values, at: np.bincount(at, values, rows)
             modelled = per_doc(model.log10(target, before, second), doc)
             word_doc = np.repeat(np.arange(rows), np.diff(found.first))
             here = n[found.codes] > 0
             logs = np.log10(np.maximum(n, 1) + 0.5)
-            share = np.where(cls == RARE, logs - rare_log, 0.0)
+            share = np.where(norm > 0, logs - norm, 0.0)
             base = per_doc(np.where(here, logs[found.codes] - base_log, 0.0), word_doc) + np.log10(ends + 0.5) - base_log
             modelled += per_doc(np.where(here, share[found.codes], 0.0), word_doc)
             known = per_doc(here, word_doc) + (ends > 0)
@@ -311,10 +431,11 @@ def score(docs: DataFrame, scratch: Scratch, held_out_of: int = 5, held_out: int
     found = scratch.table(docs.mapInArrow(make, schema))
     rare = found.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count("*").alias("times"))
     n = F.coalesce(F.col("n"), F.lit(0))
+    rare_norm = F.array(*[F.lit(float(x)) for x in np.log10(vocab.rare_norm)])
     rare = rare.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("more_known"),
         F.sum(F.col("times") * (F.log10(n + 0.5) - F.lit(float(np.log10(base_norm))))).alias("more_base"),
-        F.sum(F.col("times") * (F.log10(n + 0.5) - F.lit(float(np.log10(rare_norm))))).alias("more_model"),
+        F.sum(F.col("times") * (F.log10(n + 0.5) - F.element_at(rare_norm, ending_of("word", len(vocab.rare)) + 1))).alias("more_model"),
     )
     plus = lambda a, b: F.col(a) + F.coalesce(F.col(b), F.lit(0))
     return found.drop("rare").join(rare, "row", "left").select(

@@ -74,13 +74,49 @@ def test_model_is_normalised():
     model = lm.LogBilinear(noise / noise.sum(), 8)
     target = r.integers(0, 50, 5000)
     before = np.concatenate([[2], target[:-1]])
-    model.train(target, before, np.roll(before, 1), noise / noise.sum(), r, 0.1)
+    model.train(target, before, np.roll(before, 1), r, 0.1)
     every = np.arange(50)
     for a, b in [(2, 2), (7, 9), (0, 1)]:
         p = 10 ** model.log10(every, np.full(50, a), np.full(50, b))
         assert p.sum() == pytest.approx(1, abs=1e-5)
 
 
+def test_two_levels_equal_the_plain_softmax():
+    """Group times class, token by token in plain numbers; the last group is not full, and 53 is a text's start."""
+    r = np.random.default_rng(5)
+    model = lm.LogBilinear(r.random(53), 6)
+    target, before, second = (r.integers(0, n, 400) for n in (53, 54, 54))
+    model.train(target, before, second, r, 0.2, batch=64)
+    got = model.log10(target, before, second)
+    for i in range(400):
+        q = model.context[before[i]] * model.position[0] + model.context[second[i]] * model.position[1]
+        by_group = np.exp(model.groups.vectors @ q + model.groups.bias)
+        g = target[i] // 8
+        own = np.exp(model.words.vectors @ q + model.words.bias)
+        want = np.log10(by_group[g] / by_group.sum() * own[target[i]] / own[8 * g : 8 * g + 8].sum())
+        assert got[i] == pytest.approx(want, abs=1e-4)
+
+
+def test_lm_classes_grow_and_words_share(spark):
+    """More tokens, more classes; all words, the unknown by their endings, and the end have probability 1 after any context."""
+    assert [lm.classes_for(n) for n in (0, 10**5, 10**6, 10**8, 10**12)] == [1024, 2528, 8000, 80000, 1 << 18]
+    words = {f"w{i}{'abcde'[i % 5]}": 1 + i * i for i in range(35)}
+    counts = spark.createDataFrame([(w.encode(), n) for w, n in words.items()], "word binary, n long")
+    vocab = lm.vocabulary(counts, 9, 14, 8)
+    assert vocab.class_counts.sum() == vocab.total == sum(words.values()) + 9 and vocab.distinct == 36
+    assert len(vocab.cls) == 8 and sorted(vocab.class_counts, reverse=True) == list(vocab.class_counts)
+    share = collections.Counter()
+    for w, n in words.items():
+        if w.encode() not in vocab.cls:
+            share[lm.ending(w.encode(), 2)] += n + 0.5
+    for e in range(2):
+        assert share[e] + 0.5 == vocab.rare_norm[e]
+    found = counts.select("word", lm.ending_of("word", 4).alias("e")).collect()
+    assert all(r.e == lm.ending(bytes(r.word), 4) for r in found)
+    odd = spark.createDataFrame([(x,) for x in (b"a", b"ab", b"abc", "\u00e9".encode())], "word binary")
+    assert [r[0] for r in odd.select(lm.ending_of("word", 64)).collect()] == [lm.ending(x, 64) for x in (b"a", b"ab", b"abc", "\u00e9".encode())]
+
+
 def test_lm_of_nothing(spark):
     assert lm.score(cases.empty(spark), Scratch(spark, "t")).collect() == []
     held = [(i, "a b", None, None, None) for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 1]
