@@ -4,9 +4,9 @@ Words of all training texts are counted. The most frequent words, about eight ti
 tokens and so more of them in a larger corpus, are classes of their own, as is the end of a text; every other word belongs
 to one of 64 classes by its last two bytes. The model gives each class a vector, a bias and a context vector;
 the two classes before a token predict its vector by position-wise weights. Classes in order of frequency are
-cut into groups of about the square root of their number. Products of the prediction with all groups' vectors,
+cut into groups that widen from 2 classes on by 4 from group to group, so that frequent classes are in small ones. Products of the prediction with all groups' vectors,
 normalised, give the probability of the group; products with the vectors of the group's classes, normalised, that
-of the class. So a token costs about twice the square root of the classes. The probability of a word in a class
+of the class. So a token costs at most about four times the square root of the classes. The probability of a word in a class
 by ending is that of the class times the word's smoothed share of it, in which one more share stands for all
 unknown words with such an ending. So the probabilities of all words, the unknown by their endings, and the end add up to 1.
 
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from llm.common import Scratch, crc_mod, most_frequent, one_thread, steps
 from llm.text import words
 
-DIMENSION, SENT, ENDINGS, BLOCK = 24, 1 << 18, 64, 4096
+DIMENSION, SENT, ENDINGS, BLOCK, PART = 24, 1 << 18, 64, 4096, 1024
 _HELD = 300_000
 
 
@@ -82,10 +82,11 @@ def ending_of(word: str, endings: int):
 
 @dataclass
 class Vocabulary:
-    """The most frequent words with counts and classes, counts of the classes, and totals over all words and ends."""
+    """The most frequent words by rank, counts and classes by rank, counts of the classes, totals over all words and ends."""
 
-    count: dict[bytes, int]
-    cls: dict[bytes, int]
+    rank: dict[bytes, int]
+    count: np.ndarray
+    cls: np.ndarray
     rare: np.ndarray
     rare_norm: np.ndarray
     end: int
@@ -105,13 +106,14 @@ class Vocabulary:
         """
         found = words(texts)
         distinct = found.distinct.to_pylist()
-        n = np.fromiter((self.count.get(w, 0) for w in distinct), np.int64, len(distinct))
-        c = np.fromiter((self.cls.get(w, -1) for w in distinct), np.int64, len(distinct))
+        rank = self.rank
+        at = np.fromiter((rank.get(w, -1) for w in distinct), np.int64, len(distinct))
+        n, c = self.count[at], self.cls[at]
         norm = np.zeros(len(distinct))
         others = np.flatnonzero(c < 0)
         by = np.fromiter((ending(distinct[i], len(self.rare)) for i in others.tolist()), np.int64, len(others))
         c[others], norm[others] = self.rare[by], np.log10(self.rare_norm[by])
-        return found, distinct, n, c, norm
+        return found, n, c, norm
 
 
 def vocabulary(counts: DataFrame, ends: int, classes: int | None, sent: int) -> Vocabulary:
@@ -133,9 +135,12 @@ def vocabulary(counts: DataFrame, ends: int, classes: int | None, sent: int) ->
     order = np.argsort(-numbers, kind="stable")
     place = np.empty(len(numbers), np.int64)
     place[order] = np.arange(len(numbers))
-    cls = {w: int(place[endings + 1 + i]) for i, (_, w) in enumerate(own)}
+    # What stands at -1 is for words that aren't here.
+    cls = np.full(len(pairs) + 1, -1, np.int64)
+    cls[: len(own)] = place[endings + 1 :]
+    count = np.array([*(n for n, _ in pairs), 0], np.int64)
     return Vocabulary(
-        {w: n for n, w in pairs}, cls, place[:endings], rare_n + 0.5 * (rare_words + 1), int(place[endings]), numbers[order], total + ends, distinct + (ends > 0)
+        {w: i for i, (_, w) in enumerate(pairs)}, count, cls, place[:endings], rare_n + 0.5 * (rare_words + 1), int(place[endings]), numbers[order], total + ends, distinct + (ends > 0)
     )
 
 
@@ -156,6 +161,11 @@ def sequences(found, cls: np.ndarray, end: int, start: int) -> tuple[np.ndarray,
     return target, before, second
 
 
+def group_of(classes: np.ndarray) -> np.ndarray:
+    """Group g holds the classes from 2 g^2 on."""
+    return np.sqrt(classes // 2).astype(np.int64)
+
+
 class Level:
     """Vectors and biases of what one level chooses from, and the noise that training tells it from."""
 
@@ -171,17 +181,24 @@ class Level:
         log_k = np.float32(np.log(k))
         own, other = self.vectors[t], self.vectors[drawn]
         real = np.einsum("ij,ij->i", q, own) + self.bias[t] - self.log_noise[t] - log_k
-        # P(noise) of the real ones and P(real) of the drawn ones; the latter, for a whole minibatch, are most of a step.
+        # P(noise) of the real ones and P(real) of the drawn ones. The latter, for a whole minibatch, are most of a step and
+        # are worked out in parts that stay in a core's cache.
+        against, shift = np.ascontiguousarray(-other.T), self.bias[drawn] - self.log_noise[drawn] - log_k
+        g_q, g_other, g_bias = np.empty_like(q), np.zeros_like(other), np.zeros(k, np.float32)
         with np.errstate(over="ignore"):  # 1 / (1 + inf) is 0, as it should be
             g_real = 1 / (1 + np.exp(real))
-            g_false = q @ -other.T
-            g_false -= self.bias[drawn] - self.log_noise[drawn] - log_k
-            np.exp(g_false, out=g_false)
-        g_false += 1
-        np.reciprocal(g_false, out=g_false)
-        g_q = g_real[:, None] * own - g_false @ other
-        biases = np.concatenate([g_real, -(np.ones(len(q), np.float32) @ g_false)])
-        return g_q, np.concatenate([t, drawn]), np.concatenate([g_real[:, None] * q, -(g_false.T @ q)]), biases
+            for i in range(0, len(q), PART):
+                part = q[i : i + PART]
+                g = part @ against
+                g -= shift
+                np.exp(g, out=g)
+                g += 1
+                np.reciprocal(g, out=g)
+                np.matmul(g, other, out=g_q[i : i + PART])
+                g_other -= g.T @ part
+                g_bias -= np.ones(len(part), np.float32) @ g
+        g_q = g_real[:, None] * own - g_q
+        return g_q, np.concatenate([t, drawn]), np.concatenate([g_real[:, None] * q, g_other]), np.concatenate([g_real, g_bias])
 
 
 class LogBilinear:
@@ -194,13 +211,15 @@ class LogBilinear:
         rng = np.random.default_rng(seed)
         n = len(noise)
         noise = np.maximum(noise / max(noise.sum(), 1e-9), 1e-9)
-        self.width = max(1, math.isqrt(n - 1) + 1)
+        self.edges = 2 * np.arange(group_of(np.array([n - 1]))[0] + 2) ** 2
+        self.edges[-1] = n
         small = lambda rows: rng.normal(0, 0.1, (rows, dimension)).astype(np.float32)
         self.words = Level(noise, small(n))
-        self.groups = Level(np.add.reduceat(noise, np.arange(0, n, self.width)), small(-(-n // self.width)))
+        self.groups = Level(np.add.reduceat(noise, self.edges[:-1]), small(len(self.edges) - 1))
         self.context = small(n + 1)
         self.position = np.ones((2, dimension), np.float32)
         self.squares: dict[str, np.ndarray] = {}
+        self.met: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
     def classes(self) -> np.ndarray:
         """A row for every class and the start: context, vector, bias."""
@@ -234,62 +253,70 @@ class LogBilinear:
             first, then = self.context[b], self.context[s]
             q = first * self.position[0] + then * self.position[1]
             g_q = np.zeros_like(q)
-            for name, level, own in (("words", self.words, t), ("groups", self.groups, t // self.width)):
+            for name, level, own in (("words", self.words, t), ("groups", self.groups, group_of(t))):
                 g, at, vectors, biases = level.contrast(q, own, rng, k)
                 g_q += g
-                self._step(name, level.vectors, at, vectors, rate)
-                self._step(name + " bias", level.bias[:, None], at, biases[:, None], rate)
+                self._step(name, at, rate, (level.vectors, vectors), (level.bias[:, None], biases[:, None]))
             at, rows = np.concatenate([b, s]), np.concatenate([g_q * self.position[0], g_q * self.position[1]])
-            self._step("context", self.context, at, rows, rate)
+            self._step("context", at, rate, (self.context, rows))
             moved = np.stack([np.einsum("ij,ij->j", g_q, first), np.einsum("ij,ij->j", g_q, then)])
-            self._step("position", self.position, np.arange(2), moved, rate)
+            self._step("position", np.arange(2), rate, (self.position, moved))
 
-    def _step(self, name: str, values: np.ndarray, at: np.ndarray, rows: np.ndarray, rate: float) -> None:
-        """Adds the scaled sums of the rows of each place."""
-        n, width = values.shape
+    def _step(self, name: str, at: np.ndarray, rate: float, *changes: tuple[np.ndarray, np.ndarray]) -> None:
+        """Adds to each of the values the scaled sums of its rows, by the rows' places."""
+        n = len(changes[0][0])
         if name not in self.squares:
-            self.squares[name] = np.full((n, 1), 1e-3, np.float32)
-        met = np.zeros(n, bool)
+            self.squares[name] = np.full((len(changes), n), 1e-3, np.float32)
+            self.met[name] = np.zeros(n, bool), np.zeros(n, np.int64)
+        met, number = self.met[name]
         met[at] = True
         kinds = np.flatnonzero(met)
-        number = np.empty(n, np.int64)
+        met[kinds] = False
         number[kinds] = np.arange(len(kinds))
-        place = (number[at] * width)[:, None] + np.arange(width)
-        g = np.bincount(place.ravel(), rows.ravel(), len(kinds) * width).reshape(-1, width).astype(np.float32)
-        squares = self.squares[name][kinds] + (g * g).mean(axis=1, keepdims=True)
-        self.squares[name][kinds] = squares
-        values[kinds] += np.float32(rate) * g / np.sqrt(squares)
+        place = number[at]
+        for (values, rows), before in zip(changes, self.squares[name], strict=True):
+            g = np.array([np.bincount(place, c, len(kinds)) for c in np.ascontiguousarray(rows.T)], np.float32).T
+            squares = before[kinds] + np.einsum("ij,ij->i", g, g) / np.float32(values.shape[1])
+            before[kinds] = squares
+            values[kinds] += g * (np.float32(rate) / np.sqrt(squares))[:, None]
 
     def log10(self, target: np.ndarray, before: np.ndarray, second: np.ndarray) -> np.ndarray:
         """Normalised log10 probability of every token; groups are normalised once for each distinct context."""
-        n = len(self.context)
+        n, part = len(self.context), 1 << 15
         pairs, which = np.unique(before * n + second, return_inverse=True)
-        q = self.predicted(pairs // n, pairs % n)
-        norm = log_sums(q, self.groups.vectors, self.groups.bias)
-        group = target // self.width
-        own = lambda level, at: np.einsum("ij,ij->i", q[which], level.vectors[at]) + level.bias[at]
-        out = own(self.groups, group) - norm[which] + own(self.words, target)
+        norm = np.empty(len(pairs), np.float32)
+        for i in range(0, len(pairs), part):
+            some = pairs[i : i + part]
+            norm[i : i + part] = log_sums(self.predicted(some // n, some % n), self.groups.vectors, self.groups.bias)
+        group = group_of(target)
         order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(len(self.groups.bias) + 1))
-        for g in np.flatnonzero(np.diff(edges)):
-            at = order[edges[g] : edges[g + 1]]
-            members = slice(g * self.width, (g + 1) * self.width)
-            out[at] -= log_sums(q[which[at]], self.words.vectors[members], self.words.bias[members])
-        return out.astype(np.float64) / np.log(10)
+        out = np.empty(len(target))
+        for i in range(0, len(order), part):
+            at = order[i : i + part]
+            t, g = target[at], group[at]
+            q = self.predicted(before[at], second[at])
+            own = lambda level, k, q=q: np.einsum("ij,ij->i", q, level.vectors[k]) + level.bias[k]
+            logs = own(self.groups, g) - norm[which[at]] + own(self.words, t)
+            edges = np.append(np.flatnonzero(np.diff(g, prepend=-1)), len(g)).tolist()
+            for a, b in zip(edges, edges[1:], strict=False):
+                members = slice(self.edges[g[a]], self.edges[g[a] + 1])
+                logs[a:b] -= log_sums(q[a:b], self.words.vectors[members], self.words.bias[members])
+            out[at] = logs
+        return out / np.log(10)
 
 
 def log_sums(q: np.ndarray, vectors: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """The logarithm of each row's sum of exponentials over all vectors."""
     out = np.zeros(len(q), np.float32)
     ones = np.ones(len(bias), np.float32)
-    for i in range(0, len(q), 1024):
-        s = q[i : i + 1024] @ vectors.T
+    for i in range(0, len(q), PART):
+        s = q[i : i + PART] @ vectors.T
         s += bias
         with np.errstate(over="ignore", divide="ignore"):
-            out[i : i + 1024] = np.log(np.exp(s) @ ones)
-        if not (np.abs(out[i : i + 1024]) < 60).all():  # beyond what exponentials can hold
+            out[i : i + PART] = np.log(np.exp(s) @ ones)
+        if not (np.abs(out[i : i + PART]) < 60).all():  # beyond what exponentials can hold
             top = s.max(axis=1, keepdims=True)
-            out[i : i + 1024] = np.log(np.exp(s - top) @ ones) + top[:, 0]
+            out[i : i + PART] = np.log(np.exp(s - top) @ ones) + top[:, 0]
     return out
 
 
@@ -309,7 +336,7 @@ def learnt(texts: DataFrame, vocab: Vocabulary, noise: np.ndarray, dimension: in
         rng = np.random.default_rng(task)
         met = np.zeros(len(classes))
         for batch in steps(batches):
-            found, _, _, cls, _ = vocab.codes(batch.column("text"))
+            found, _, cls, _ = vocab.codes(batch.column("text"))
             target, first, second = sequences(found, cls, vocab.end, vocab.start)
             for _ in range(turns):
                 order = rng.permutation(len(target))
@@ -397,7 +424,7 @@ def score(docs: DataFrame, scratch: Scratch, held_out_of: int = 5, held_out: int
         row = TaskContext.get().partitionId() << 33
         base_log = np.log10(base_norm)
         for batch in steps(batches):
-            found, distinct, n, cls, norm = vocab.codes(batch.column("text"))
+            found, n, cls, norm = vocab.codes(batch.column("text"))
             rows = len(found.first) - 1
             target, before, second = sequences(found, cls, vocab.end, vocab.start)
             doc = np.repeat(np.arange(rows), np.diff(found.first) + 1)
@@ -412,7 +439,7 @@ def score(docs: DataFrame, scratch: Scratch, held_out_of: int = 5, held_out: int
             known = per_doc(here, word_doc) + (ends > 0)
             missing = np.flatnonzero(~here)
             at = np.searchsorted(word_doc[missing], np.arange(rows + 1))
-            words_ = pa.array(distinct, pa.binary()).take(pa.array(found.codes[missing]))
+            words_ = found.distinct.cast(pa.binary()).take(pa.array(found.codes[missing]))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(row + np.arange(rows)),
