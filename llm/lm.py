@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from llm.common import Scratch, crc_mod, most_frequent, one_thread, steps
 from llm.text import words
 
-DIMENSION, SENT, ENDINGS, BLOCK, PART = 24, 1 << 18, 64, 4096, 1024
+DIMENSION, SENT, ENDINGS, BLOCK, PART = 24, 1 << 18, 64, 4096, 512
 _HELD = 300_000
 
 
@@ -176,29 +176,31 @@ class Level:
         self.cumulated = np.cumsum(noise)
 
     def contrast(self, q: np.ndarray, t: np.ndarray, rng, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For k drawn ones that all tokens share: the gradient by q, and places, vectors' and biases' gradients."""
+        """For k drawn ones that all tokens share: the gradient by q, and places, vectors' and biases' gradients.
+
+        q has a last column of ones, which takes the biases along in the products.
+        """
         drawn = np.minimum(np.searchsorted(self.cumulated, rng.random(k) * self.cumulated[-1]), len(self.bias) - 1)
-        log_k = np.float32(np.log(k))
-        own, other = self.vectors[t], self.vectors[drawn]
-        real = np.einsum("ij,ij->i", q, own) + self.bias[t] - self.log_noise[t] - log_k
-        # P(noise) of the real ones and P(real) of the drawn ones. The latter, for a whole minibatch, are most of a step and
+        log_k, plain = np.float32(np.log(k)), q[:, :-1]
+        own, other = self.vectors.take(t, axis=0), self.vectors[drawn]
+        real = np.einsum("ij,ij->i", plain, own) + self.bias[t] - self.log_noise[t] - log_k
+        g_real = (1 - np.tanh(real / 2)) / 2  # P(noise) of the real ones
+        # P(real) of the drawn ones is (1 + tanh(score / 2)) / 2. For a whole minibatch these are most of a step, so they
         # are worked out in parts that stay in a core's cache.
-        against, shift = np.ascontiguousarray(-other.T), self.bias[drawn] - self.log_noise[drawn] - log_k
-        g_q, g_other, g_bias = np.empty_like(q), np.zeros_like(other), np.zeros(k, np.float32)
-        with np.errstate(over="ignore"):  # 1 / (1 + inf) is 0, as it should be
-            g_real = 1 / (1 + np.exp(real))
-            for i in range(0, len(q), PART):
-                part = q[i : i + PART]
-                g = part @ against
-                g -= shift
-                np.exp(g, out=g)
-                g += 1
-                np.reciprocal(g, out=g)
-                np.matmul(g, other, out=g_q[i : i + PART])
-                g_other -= g.T @ part
-                g_bias -= np.ones(len(part), np.float32) @ g
-        g_q = g_real[:, None] * own - g_q
-        return g_q, np.concatenate([t, drawn]), np.concatenate([g_real[:, None] * q, g_other]), np.concatenate([g_real, g_bias])
+        half = np.vstack([other.T, self.bias[drawn] - self.log_noise[drawn] - log_k]) / np.float32(2)
+        by_q, by_drawn = np.empty_like(own), np.zeros_like(half)
+        for i in range(0, len(q), PART):
+            part = q[i : i + PART]
+            curve = part @ half
+            np.tanh(curve, out=curve)
+            np.matmul(curve, other, out=by_q[i : i + PART])
+            by_drawn += part.T @ curve
+        by_q += other.sum(axis=0)
+        by_drawn += q.sum(axis=0)[:, None]
+        g_q = g_real[:, None] * own - by_q / 2
+        by_drawn /= -2
+        vectors = np.concatenate([g_real[:, None] * plain, by_drawn[:-1].T])
+        return g_q, np.concatenate([t, drawn]), vectors, np.concatenate([g_real, by_drawn[-1]])
 
 
 class LogBilinear:
@@ -240,7 +242,7 @@ class LogBilinear:
             at += p.size
 
     def predicted(self, before: np.ndarray, second: np.ndarray) -> np.ndarray:
-        return self.context[before] * self.position[0] + self.context[second] * self.position[1]
+        return self.context.take(before, axis=0) * self.position[0] + self.context.take(second, axis=0) * self.position[1]
 
     def train(self, target: np.ndarray, before: np.ndarray, second: np.ndarray, rng, rate: float, batch: int = 4096, k: int = 64) -> None:
         """One turn over the tokens. Each is told from k noise classes, and its group from k noise groups.
@@ -250,9 +252,9 @@ class LogBilinear:
         """
         for i in range(0, len(target), batch):
             t, b, s = target[i : i + batch], before[i : i + batch], second[i : i + batch]
-            first, then = self.context[b], self.context[s]
-            q = first * self.position[0] + then * self.position[1]
-            g_q = np.zeros_like(q)
+            first, then = self.context.take(b, axis=0), self.context.take(s, axis=0)
+            q = np.column_stack([first * self.position[0] + then * self.position[1], np.ones(len(t), np.float32)])
+            g_q = np.zeros_like(first)
             for name, level, own in (("words", self.words, t), ("groups", self.groups, group_of(t))):
                 g, at, vectors, biases = level.contrast(q, own, rng, k)
                 g_q += g
@@ -278,25 +280,19 @@ class LogBilinear:
             g = np.array([np.bincount(place, c, len(kinds)) for c in np.ascontiguousarray(rows.T)], np.float32).T
             squares = before[kinds] + np.einsum("ij,ij->i", g, g) / np.float32(values.shape[1])
             before[kinds] = squares
-            values[kinds] += g * (np.float32(rate) / np.sqrt(squares))[:, None]
+            values[kinds] = values.take(kinds, axis=0) + g * (np.float32(rate) / np.sqrt(squares))[:, None]
 
     def log10(self, target: np.ndarray, before: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """Normalised log10 probability of every token; groups are normalised once for each distinct context."""
-        n, part = len(self.context), 1 << 15
-        pairs, which = np.unique(before * n + second, return_inverse=True)
-        norm = np.empty(len(pairs), np.float32)
-        for i in range(0, len(pairs), part):
-            some = pairs[i : i + part]
-            norm[i : i + part] = log_sums(self.predicted(some // n, some % n), self.groups.vectors, self.groups.bias)
+        """Normalised log10 probability of every token, in order of groups and in parts of bounded size."""
         group = group_of(target)
         order = np.argsort(group, kind="stable")
         out = np.empty(len(target))
-        for i in range(0, len(order), part):
-            at = order[i : i + part]
+        for i in range(0, len(order), 1 << 15):
+            at = order[i : i + (1 << 15)]
             t, g = target[at], group[at]
             q = self.predicted(before[at], second[at])
-            own = lambda level, k, q=q: np.einsum("ij,ij->i", q, level.vectors[k]) + level.bias[k]
-            logs = own(self.groups, g) - norm[which[at]] + own(self.words, t)
+            own = lambda level, k, q=q: np.einsum("ij,ij->i", q, level.vectors.take(k, axis=0)) + level.bias[k]
+            logs = own(self.groups, g) - log_sums(q, self.groups.vectors, self.groups.bias) + own(self.words, t)
             edges = np.append(np.flatnonzero(np.diff(g, prepend=-1)), len(g)).tolist()
             for a, b in zip(edges, edges[1:], strict=False):
                 members = slice(self.edges[g[a]], self.edges[g[a] + 1])
