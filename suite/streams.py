@@ -17,7 +17,7 @@ from cdclake.streaming.messages import capture_all, captured_changes, dead_lette
 from cdclake.streaming.upsert import query_id, stream_change_files, stream_silver
 from cdclake.operators.reconcile import union_all
 from suite import bindings as b
-from suite.lakes import empty_lake, envelope_files, fresh_dir, once, plain, user_files
+from suite.lakes import empty_lake, envelope_files, fresh_dir, once, plain, small_tasks, user_files
 from suite.registry import query
 
 ONCE = {"availableNow": True}
@@ -159,8 +159,9 @@ def all_tables(spark: SparkSession, sf: str) -> DataFrame:
     for name, spec in b.SPECS.items():
         day = b.feed(spark, sf, name).where(F.col("event_date") == b.DAY_1)
         b.as_messages(day, spec).write.mode("append").parquet(path)
-    messages = stream_messages(spark, "parquet", {"path": path})
-    capture_all(messages, b.SPECS.values(), root, fresh_dir(spark, "ckpt"), ONCE).awaitTermination()
+    with small_tasks(spark):  # a task sorts parsed messages, many times their size in the files
+        messages = stream_messages(spark, "parquet", {"path": path})
+        capture_all(messages, b.SPECS.values(), root, fresh_dir(spark, "ckpt"), ONCE).awaitTermination()
     return union_all(
         [
             captured_changes(spark, root, spec).select(

@@ -59,3 +59,14 @@ def test_change_files_without_a_shuffle(spark, tmp_path):
     assert len(files) == 3
     kept = read_changes(spark, str(tmp_path), ITEM)
     assert rows(kept, "id", "name", "qty", "__op") == rows(log, "id", "name", "qty", "__op")
+
+
+def test_tasks_of_a_capture_take_in_little(spark, tmp_path):
+    """A large file is read by several tasks, so that each sorts its parsed messages in memory."""
+    with open(tmp_path / "text", "wb") as f:
+        f.write((b"x" * 999 + b"\n") * 40_000)
+    whole = spark.read.text(str(tmp_path / "text")).rdd.getNumPartitions()
+    with lakes.small_tasks(spark):
+        small = spark.read.text(str(tmp_path / "text")).rdd.getNumPartitions()
+    assert small >= 3 and small >= whole
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != lakes.TASK_BYTES
