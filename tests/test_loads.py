@@ -1,11 +1,13 @@
 """How the suite's lakes are loaded: buckets by the size of the input, changes moved once a merge."""
 
+import datetime as dt
 import os
 
 from cdclake.operators.merge import merge_state
 from cdclake.sources.change_files import read_changes, table_path, write_change_files
 from cdclake.sources.lake import create_layers, read_state
 from conftest import rows
+from suite import bindings as b
 from suite import lakes
 from util import ITEM, changes
 
@@ -70,3 +72,58 @@ def test_tasks_of_a_capture_take_in_little(spark, tmp_path):
         small = spark.read.text(str(tmp_path / "text")).rdd.getNumPartitions()
     assert small >= 3 and small >= whole
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") != lakes.TASK_BYTES
+
+
+def small_tables(spark, path):
+    """Order 1 has lines of both states, order 2 none, order 3 occurs twice; no supplier, no customer is missing."""
+    day = dt.datetime(1995, 3, 1)
+    tables = {
+        "nation": ("n_nationkey int, n_name string", [(7, "PERU"), (8, "CHINA")]),
+        "supplier": ("s_suppkey long, s_nationkey int", [(1, 7)]),
+        "customer": ("c_custkey long, c_nationkey int", [(5, 8)]),
+        "orders": (
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+            [(k, 5, "O", 10.0 * k, day, "HIGH") for k in (1, 2, 3, 3)],
+        ),
+        "lineitem": (
+            "l_orderkey long, l_linenumber int, l_suppkey long, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+            [(1, 1, 1, "R", "F", day), (1, 2, 1, "N", "O", day), (3, 1, 1, None, "F", day)],
+        ),
+    }
+    for name, (schema, data) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def test_the_feed_reads_lines_once_for_both_days(spark, tmp_path):
+    sf = small_tables(spark, tmp_path)
+    for name in ("pnr_records", "payments", "flight_segments"):
+        plan = b.feed(spark, sf, name)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [l_orderkey") == 1
+    status = lambda name, key, column: rows(b.feed(spark, sf, name), "event_date", "__op", key, column)
+    one, two = b.DAY_1, b.DAY_2
+    assert status("pnr_records", "pnr_id", "booking_status") == sorted(
+        [(one, "r", k, "CREATED") for k in "1233"]
+        + [(two, "u", "1", "CANCELLED"), (two, "d", "2", None), (two, "u", "3", "TICKETED"), (two, "u", "3", "TICKETED")],
+        key=repr,
+    )
+    assert status("payments", "payment_id", "payment_status") == sorted(
+        [(one, "r", k, "PENDING") for k in "1233"] + [(two, "u", "1", "FAILED")] + 2 * [(two, "u", "3", "SUCCESS")], key=repr
+    )
+    # Line 25 belongs to the order that occurs twice.
+    assert status("flight_segments", "segment_id", "dest_airport") == sorted(
+        [(one, "r", k, "CHINA") for k in (9, 10, 25, 25)] + [(two, "d", 9, "CHINA")], key=repr
+    )
+
+
+def test_marts_are_made_with_the_settings_of_the_load(spark, tmp_path, monkeypatch):
+    """Their shuffles too are as wide as the input is large."""
+    seen = []
+    for job in ("run_bronze", "run_silver", "run_gold"):
+        monkeypatch.setattr(
+            lakes, job, lambda *a, job=job, **k: seen.append((job, spark.conf.get("spark.sql.shuffle.partitions")))
+        )
+    monkeypatch.setattr(lakes, "feed_files", lambda *a: "nowhere")
+    monkeypatch.setattr(lakes, "state_buckets", lambda *a: 9)
+    lakes.loaded_lake(spark, str(tmp_path))
+    assert [job for job, _ in seen][-1] == "run_gold" and {n for _, n in seen} == {"9"}
