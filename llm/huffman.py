@@ -27,9 +27,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.common import Scratch, partitions_for, steps
+from llm.text import buffers
 from llm.tokens import encoder
 
 LONGEST, EVERY, BLOCK_IDS = 16, 128, 1 << 18
+COUNTED = 1 << 20  # ids that are counted at once
 _NO_ID = np.iinfo(np.int64).min
 _BLOCK = "part int, block int, docs long, n_ids long, doc_ids binary, counts binary, checkpoints binary, bits binary"
 
@@ -149,8 +151,9 @@ def id_counts(ids: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for x in batch.column("ids"):
-                total += np.bincount(np.frombuffer(x.as_buffer(), "<u2"), minlength=1 << 16)
+            ids = buffers(batch.column("ids"))[0].view("<u2")
+            for i in range(0, len(ids), COUNTED):
+                total += np.bincount(ids[i : i + COUNTED], minlength=1 << 16)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 

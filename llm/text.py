@@ -7,6 +7,7 @@ never among those, so working on bytes is exact. Lower-casing concerns A-Z only.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,16 @@ def binary_array(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
     )
 
 
+def bytes_list(values: pa.Array) -> list[bytes]:
+    """A large binary column without nulls as a list, cut from its buffer: `to_pylist` makes a scalar of each value first."""
+    if not len(values):
+        return []
+    _, offsets, data = values.buffers()
+    off = np.frombuffer(offsets, np.int64, len(values) + 1, values.offset * 8)
+    raw = data[off[0] : off[-1]].to_pybytes() if data is not None else b""
+    return [raw[a:b] for a, b in pairwise((off - off[0]).tolist())]
+
+
 @dataclass
 class Words:
     """codes[i] numbers the i-th word; row r has the words first[r] to first[r + 1]."""
@@ -60,7 +71,7 @@ class Words:
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of every word."""
         table = np.fromiter(
-            map(xxhash.xxh3_64_intdigest, self.distinct.to_pylist()), np.uint64, len(self.distinct)
+            map(xxhash.xxh3_64_intdigest, bytes_list(self.distinct)), np.uint64, len(self.distinct)
         )
         return table[self.codes]
 

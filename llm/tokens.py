@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from llm.text import LOWER, SPACE, binary_array, buffers
+from llm.text import LOWER, SPACE, binary_array, buffers, bytes_list
 
 #: Pieces kept in a worker's memory, and the bytes of the longest one that is kept.
 MEMORY, LONGEST = 800_000, 48
@@ -137,14 +137,14 @@ class Encoder:
             at_edge = np.isin(cuts, off)
             cuts = cuts[at_edge | ~whole[np.minimum(inner, rows - 1)]]
         if not self.spaces:
-            row = np.searchsorted(off, cuts[:-1], "right") - 1
-            blank = SPACE[data[cuts[:-1]]] & ~whole[row]
+            blank = SPACE[data[cuts[:-1]]]
+            blank[np.searchsorted(cuts, off[:-1][whole])] = False  # such a row is the one piece that starts with it
         pieces = binary_array(data, cuts)
         starts = cuts[:-1]
         if not self.spaces:
             pieces, starts = pieces.filter(pa.array(~blank)), starts[~blank]
         coded = pieces.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        distinct = bytes_list(coded.dictionary)
         if len(self.known) > MEMORY:
             self._forget()
         new = [p for p in distinct if p not in self.known]
@@ -152,7 +152,7 @@ class Encoder:
         kept = len(self.starts), len(self.ids)
         once = [p for p in new if len(p) > LONGEST]
         self._learn(once)
-        place = np.fromiter((self.known[p] for p in distinct), np.int64, len(distinct))
+        place = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
         piece = place[coded.indices.to_numpy(zero_copy_only=False)]
         lengths = self.lengths[piece]
         ends = np.cumsum(lengths)

@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from llm.text import bytes_list
 from llm.tokens import Encoder
 
 FILES = [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)]
@@ -41,3 +42,20 @@ def test_listed_texts(pair):
 def test_any_text(pair, texts):
     tok, enc = pair
     assert by_encoder(enc, texts) == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_values_are_cut_from_the_buffer():
+    values = pa.array([b"", b"a", "é中".encode(), b"\x00b", b""], pa.large_binary())
+    assert bytes_list(values) == values.to_pylist()
+    assert bytes_list(values.slice(1, 3)) == values.to_pylist()[1:4]
+    assert bytes_list(values.slice(5)) == bytes_list(pa.array([], pa.large_binary())) == []
+    assert bytes_list(pa.array([b""], pa.large_binary())) == [b""]
+
+
+def test_pieces_are_not_made_into_scalars(monkeypatch):
+    """Arrow's own way takes longer than all the rest of the encoding."""
+    seen = []
+    monkeypatch.setattr("llm.tokens.bytes_list", lambda values: seen.append(len(values)) or bytes_list(values))
+    enc = Encoder(public_tokenizers.path(FILES[1][0]), False)
+    assert len(enc.encode(pa.array(["one two one", None, " two 中 one"]))[1]) == 4
+    assert seen == [3]
