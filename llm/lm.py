@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import Scratch, crc_mod, most_frequent, one_thread, steps
-from llm.text import words
+from llm.text import bytes_list, words
 
 DIMENSION, SENT, ENDINGS, BLOCK, PART = 24, 1 << 18, 64, 4096, 512
 _HELD = 300_000
@@ -56,7 +56,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in steps(batches):
             found = words(batch.column("text"))
             counts = np.bincount(found.codes, minlength=len(found.distinct))
-            for word, n in zip(found.distinct.to_pylist(), counts.tolist(), strict=True):
+            for word, n in zip(bytes_list(found.distinct), counts.tolist(), strict=True):
                 held[word] = held.get(word, 0) + n
             if len(held) > _HELD:
                 yield out()
@@ -105,7 +105,7 @@ class Vocabulary:
         The norm is 0 for words that are classes of their own.
         """
         found = words(texts)
-        distinct = found.distinct.to_pylist()
+        distinct = bytes_list(found.distinct)
         rank = self.rank
         at = np.fromiter((rank.get(w, -1) for w in distinct), np.int64, len(distinct))
         n, c = self.count[at], self.cls[at]

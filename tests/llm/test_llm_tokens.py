@@ -59,3 +59,18 @@ def test_pieces_are_not_made_into_scalars(monkeypatch):
     enc = Encoder(public_tokenizers.path(FILES[1][0]), False)
     assert len(enc.encode(pa.array(["one two one", None, " two 中 one"]))[1]) == 4
     assert seen == [3]
+
+
+def test_words_of_the_language_model_are_not_made_into_scalars(monkeypatch):
+    import numpy as np
+
+    from llm import lm
+
+    seen = []
+    monkeypatch.setattr(lm, "bytes_list", lambda values: seen.append(len(values)) or bytes_list(values), raising=False)
+    one = np.ones(2, np.int64)
+    vocab = lm.Vocabulary({b"two": 0}, np.array([7, 0]), np.array([3, -1]), np.array([1, 2]), 10.0 * one, 0, one, 9, 2)
+    found, n, cls, norm = vocab.codes(pa.array(["One two", None, "two"]))
+    assert seen == [2]
+    assert found.distinct.to_pylist() == [b"one", b"two"]
+    assert n.tolist() == [0, 7] and cls.tolist() == [1 + lm.ending(b"one", 2), 3] and norm.tolist() == [1.0, 0.0]
