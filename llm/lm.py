@@ -26,10 +26,12 @@ empty table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +42,8 @@ from pyspark.sql import functions as F
 from llm.common import Scratch, crc_mod, most_frequent, one_thread, steps
 from llm.text import bytes_list, words
 
-DIMENSION, SENT, ENDINGS, BLOCK, PART = 24, 1 << 18, 64, 4096, 512
+DIMENSION, SENT, ENDINGS, BLOCK, PART = 24, 1 << 18, 64, 4096, 256
+_CELLS = 1 << 16  # of a table of scores that stays in a core's cache
 _HELD = 300_000
 
 
@@ -75,6 +78,27 @@ def ending(word: bytes, endings: int) -> int:
     return zlib.crc32(word[-2:]) % endings
 
 
+@functools.cache
+def _crcs() -> tuple[np.ndarray, np.ndarray]:
+    """The crc32 of every two bytes, the first one counting 256, and of every single byte."""
+    two = np.fromiter((zlib.crc32(i.to_bytes(2, "big")) for i in range(1 << 16)), np.int64, 1 << 16)
+    return two, np.fromiter((zlib.crc32(bytes([i])) for i in range(256)), np.int64, 256)
+
+
+def endings_of(found: pa.Array, endings: int) -> np.ndarray:
+    """:func:`ending` of every word of a large binary column without nulls or empty words."""
+    if not len(found):
+        return np.zeros(0, np.int64)
+    _, offsets, data = found.buffers()
+    off = np.frombuffer(offsets, np.int64, len(found) + 1, found.offset * 8)
+    raw = np.frombuffer(data, np.uint8)
+    two, one = _crcs()
+    last, single = off[1:] - 1, np.diff(off) == 1
+    crc = two[raw[np.maximum(last - 1, 0)].astype(np.int64) * 256 + raw[last]]
+    crc[single] = one[raw[last[single]]]
+    return crc % endings
+
+
 def ending_of(word: str, endings: int):
     """The same as a column."""
     return F.pmod(F.crc32(F.expr(f"substring({word}, -2)")), F.lit(endings)).cast("int")
@@ -105,13 +129,11 @@ class Vocabulary:
         The norm is 0 for words that are classes of their own.
         """
         found = words(texts)
-        distinct = bytes_list(found.distinct)
-        rank = self.rank
-        at = np.fromiter((rank.get(w, -1) for w in distinct), np.int64, len(distinct))
+        at = np.fromiter(map(self.rank.get, bytes_list(found.distinct), repeat(-1)), np.int64, len(found.distinct))
         n, c = self.count[at], self.cls[at]
-        norm = np.zeros(len(distinct))
+        norm = np.zeros(len(at))
         others = np.flatnonzero(c < 0)
-        by = np.fromiter((ending(distinct[i], len(self.rare)) for i in others.tolist()), np.int64, len(others))
+        by = endings_of(found.distinct, len(self.rare))[others]
         c[others], norm[others] = self.rare[by], np.log10(self.rare_norm[by])
         return found, n, c, norm
 
@@ -167,40 +189,73 @@ def group_of(classes: np.ndarray) -> np.ndarray:
 
 
 class Level:
-    """Vectors and biases of what one level chooses from, and the noise that training tells it from."""
+    """Vectors and biases of what one level chooses from, and the noise that training tells it from.
+
+    `rows` holds both, the bias last; a prediction has a last column of ones, which takes the biases along in products.
+    """
 
     def __init__(self, noise: np.ndarray, vectors: np.ndarray):
-        self.vectors = vectors
-        self.bias = np.log(noise).astype(np.float32)
-        self.log_noise = self.bias.copy()
+        self.log_noise = np.log(noise).astype(np.float32)
+        self.rows = np.column_stack([vectors, self.log_noise])
+        self.vectors, self.bias = self.rows[:, :-1], self.rows[:, -1]
         self.cumulated = np.cumsum(noise)
 
-    def contrast(self, q: np.ndarray, t: np.ndarray, rng, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For k drawn ones that all tokens share: the gradient by q, and places, vectors' and biases' gradients.
+    def draw(self, rng, k: int) -> np.ndarray:
+        return np.minimum(np.searchsorted(self.cumulated, rng.random(k) * self.cumulated[-1]), len(self.rows) - 1)
 
-        q has a last column of ones, which takes the biases along in the products.
-        """
-        drawn = np.minimum(np.searchsorted(self.cumulated, rng.random(k) * self.cumulated[-1]), len(self.bias) - 1)
-        log_k, plain = np.float32(np.log(k)), q[:, :-1]
-        own, other = self.vectors.take(t, axis=0), self.vectors[drawn]
-        real = np.einsum("ij,ij->i", plain, own) + self.bias[t] - self.log_noise[t] - log_k
-        g_real = (1 - np.tanh(real / 2)) / 2  # P(noise) of the real ones
-        # P(real) of the drawn ones is (1 + tanh(score / 2)) / 2. For a whole minibatch these are most of a step, so they
-        # are worked out in parts that stay in a core's cache.
-        half = np.vstack([other.T, self.bias[drawn] - self.log_noise[drawn] - log_k]) / np.float32(2)
-        by_q, by_drawn = np.empty_like(own), np.zeros_like(half)
-        for i in range(0, len(q), PART):
-            part = q[i : i + PART]
-            curve = part @ half
-            np.tanh(curve, out=curve)
-            np.matmul(curve, other, out=by_q[i : i + PART])
-            by_drawn += part.T @ curve
-        by_q += other.sum(axis=0)
-        by_drawn += q.sum(axis=0)[:, None]
-        g_q = g_real[:, None] * own - by_q / 2
-        by_drawn /= -2
-        vectors = np.concatenate([g_real[:, None] * plain, by_drawn[:-1].T])
-        return g_q, np.concatenate([t, drawn]), vectors, np.concatenate([g_real, by_drawn[-1]])
+
+def contrast(q: np.ndarray, levels: list[tuple[Level, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The gradient by q, and for each level those of the rows of its real ones and of its drawn ones.
+
+    A level comes with the real ones of the tokens and with drawn ones that all tokens share.
+    """
+    log_k = np.float32(np.log(len(levels[0][2])))
+    noise = np.concatenate([level.rows.take(drawn, axis=0) for level, _, drawn in levels])
+    other, half = np.ascontiguousarray(noise[:, :-1]), np.ascontiguousarray(noise.T)
+    half[-1] -= np.concatenate([level.log_noise.take(drawn) for level, _, drawn in levels]) + log_k
+    half /= 2
+    # P(real) of the drawn ones is (1 + tanh(score / 2)) / 2. For a whole minibatch these are most of a step, so those of all
+    # levels are worked out together, in parts that stay in a core's cache.
+    g_q, by_drawn = np.empty((len(q), q.shape[1] - 1), np.float32), np.zeros_like(half)
+    for i in range(0, len(q), PART):
+        part = q[i : i + PART]
+        curve = part @ half
+        np.tanh(curve, out=curve)
+        np.matmul(curve, other, out=g_q[i : i + PART])
+        by_drawn += part.T @ curve
+    g_q += other.sum(axis=0)
+    g_q /= -2
+    by_drawn += q.sum(axis=0)[:, None]
+    by_drawn /= -2
+    out, at = [], 0
+    for level, t, drawn in levels:
+        own = level.rows.take(t, axis=0)
+        real = np.einsum("ij,ij->i", q, own) - level.log_noise.take(t) - log_k
+        g_real = ((1 - np.tanh(real / 2)) / 2)[:, None]  # P(noise) of the real ones
+        own *= g_real
+        g_q += own[:, :-1]
+        rows = np.zeros((len(t) + len(drawn), q.shape[1] + q.shape[1] % 2), np.float32)
+        np.multiply(q, g_real, out=rows[: len(t), : q.shape[1]])
+        rows[len(t) :, : q.shape[1]] = by_drawn[:, at : at + len(drawn)].T
+        out.append(rows)
+        at += len(drawn)
+    return g_q, out
+
+
+def sums_by(place: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """The sums of the rows at each of n places, all of which occur. Columns in pairs are added as complex numbers, two at a time."""
+    order = np.argsort(place.astype(np.uint16) if n <= 1 << 16 else place, kind="stable")
+    counts = np.bincount(place, minlength=n)
+    first = np.cumsum(counts) - counts
+    out = rows.take(order[first], axis=0)
+    many = np.flatnonzero(counts > 1)  # most occur once
+    if len(many):
+        counts = counts[many]
+        ordered = rows.take(order[np.repeat(first[many] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())], axis=0)
+        if rows.shape[1] % 2 == 0:
+            ordered = ordered.view(np.complex64)
+        out[many] = np.add.reduceat(ordered, np.cumsum(counts) - counts, axis=0).view(np.float32)
+    return out
 
 
 class LogBilinear:
@@ -225,7 +280,7 @@ class LogBilinear:
 
     def classes(self) -> np.ndarray:
         """A row for every class and the start: context, vector, bias."""
-        own = np.column_stack([self.words.vectors, self.words.bias])
+        own = self.words.rows
         return np.column_stack([self.context, np.vstack([own, np.zeros_like(own[:1])])])
 
     def shared(self) -> np.ndarray:
@@ -241,8 +296,12 @@ class LogBilinear:
             p[...] = shared[at : at + p.size].reshape(p.shape)
             at += p.size
 
-    def predicted(self, before: np.ndarray, second: np.ndarray) -> np.ndarray:
-        return self.context.take(before, axis=0) * self.position[0] + self.context.take(second, axis=0) * self.position[1]
+    def predicted(self, first: np.ndarray, then: np.ndarray) -> np.ndarray:
+        """What the context vectors predict, with a last column of ones."""
+        q = np.ones((len(first), first.shape[1] + 1), np.float32)
+        np.multiply(first, self.position[0], out=q[:, :-1])
+        q[:, :-1] += then * self.position[1]
+        return q
 
     def train(self, target: np.ndarray, before: np.ndarray, second: np.ndarray, rng, rate: float, batch: int = 4096, k: int = 64) -> None:
         """One turn over the tokens. Each is told from k noise classes, and its group from k noise groups.
@@ -250,69 +309,78 @@ class LogBilinear:
         Steps are scaled by the gradients that a row has had before (AdaGrad, one number for each row). Only rows that
         a minibatch meets are touched, so its cost doesn't depend on the number of classes.
         """
+        group, d = group_of(target), self.context.shape[1]
         for i in range(0, len(target), batch):
-            t, b, s = target[i : i + batch], before[i : i + batch], second[i : i + batch]
+            t, g, b, s = target[i : i + batch], group[i : i + batch], before[i : i + batch], second[i : i + batch]
             first, then = self.context.take(b, axis=0), self.context.take(s, axis=0)
-            q = np.column_stack([first * self.position[0] + then * self.position[1], np.ones(len(t), np.float32)])
-            g_q = np.zeros_like(first)
-            for name, level, own in (("words", self.words, t), ("groups", self.groups, group_of(t))):
-                g, at, vectors, biases = level.contrast(q, own, rng, k)
-                g_q += g
-                self._step(name, at, rate, (level.vectors, vectors), (level.bias[:, None], biases[:, None]))
-            at, rows = np.concatenate([b, s]), np.concatenate([g_q * self.position[0], g_q * self.position[1]])
-            self._step("context", at, rate, (self.context, rows))
+            q = self.predicted(first, then)
+            drawn, from_groups = self.words.draw(rng, k), self.groups.draw(rng, k)
+            g_q, (by_word, by_group) = contrast(q, [(self.words, t, drawn), (self.groups, g, from_groups)])
+            self._step("words", np.concatenate([t, drawn]), rate, self.words.rows, by_word, d)
+            self._step("groups", np.concatenate([g, from_groups]), rate, self.groups.rows, by_group, d)
+            rows = np.empty((2, len(t), d), np.float32)
+            np.multiply(g_q, self.position[:, None], out=rows)
+            self._step("context", np.concatenate([b, s]), rate, self.context, rows.reshape(-1, d), d)
             moved = np.stack([np.einsum("ij,ij->j", g_q, first), np.einsum("ij,ij->j", g_q, then)])
-            self._step("position", np.arange(2), rate, (self.position, moved))
+            self._step("position", np.arange(2), rate, self.position, moved, d)
 
-    def _step(self, name: str, at: np.ndarray, rate: float, *changes: tuple[np.ndarray, np.ndarray]) -> None:
-        """Adds to each of the values the scaled sums of its rows, by the rows' places."""
-        n = len(changes[0][0])
+    def _step(self, name: str, at: np.ndarray, rate: float, values: np.ndarray, rows: np.ndarray, cut: int) -> None:
+        """Adds to the values the scaled sums of the rows, by the rows' places. The columns before `cut` are scaled together, as
+        are those from it on; columns that the values don't have are ignored."""
+        n, width = values.shape
+        columns = [slice(a, b) for a, b in ((0, cut), (cut, width)) if a < b]
         if name not in self.squares:
-            self.squares[name] = np.full((len(changes), n), 1e-3, np.float32)
+            self.squares[name] = np.full((len(columns), n), 1e-3, np.float32)
             self.met[name] = np.zeros(n, bool), np.zeros(n, np.int64)
         met, number = self.met[name]
         met[at] = True
         kinds = np.flatnonzero(met)
         met[kinds] = False
         number[kinds] = np.arange(len(kinds))
-        place = number[at]
-        for (values, rows), before in zip(changes, self.squares[name], strict=True):
-            g = np.array([np.bincount(place, c, len(kinds)) for c in np.ascontiguousarray(rows.T)], np.float32).T
-            squares = before[kinds] + np.einsum("ij,ij->i", g, g) / np.float32(values.shape[1])
+        change = sums_by(number[at], rows, len(kinds))[:, :width]
+        for c, before in zip(columns, self.squares[name], strict=True):
+            g = change[:, c]
+            squares = before[kinds] + np.einsum("ij,ij->i", g, g) / np.float32(c.stop - c.start)
             before[kinds] = squares
-            values[kinds] = values.take(kinds, axis=0) + g * (np.float32(rate) / np.sqrt(squares))[:, None]
+            g *= (np.float32(rate) / np.sqrt(squares))[:, None]
+        change += values.take(kinds, axis=0)
+        values[kinds] = change
 
     def log10(self, target: np.ndarray, before: np.ndarray, second: np.ndarray) -> np.ndarray:
         """Normalised log10 probability of every token, in order of groups and in parts of bounded size."""
         group = group_of(target)
-        order = np.argsort(group, kind="stable")
+        order = np.argsort(group.astype(np.uint16), kind="stable")  # there are at most 2^15 groups
         out = np.empty(len(target))
         for i in range(0, len(order), 1 << 15):
             at = order[i : i + (1 << 15)]
-            t, g = target[at], group[at]
-            q = self.predicted(before[at], second[at])
-            own = lambda level, k, q=q: np.einsum("ij,ij->i", q, level.vectors.take(k, axis=0)) + level.bias[k]
-            logs = own(self.groups, g) - log_sums(q, self.groups.vectors, self.groups.bias) + own(self.words, t)
+            t, g = target.take(at), group.take(at)
+            q = self.predicted(self.context.take(before.take(at), axis=0), self.context.take(second.take(at), axis=0))
+            own = lambda level, k, q=q: np.einsum("ij,ij->i", q, level.rows.take(k, axis=0))
+            logs = own(self.groups, g) - log_sums(q, self.groups.rows) + own(self.words, t)
             edges = np.append(np.flatnonzero(np.diff(g, prepend=-1)), len(g)).tolist()
             for a, b in zip(edges, edges[1:], strict=False):
                 members = slice(self.edges[g[a]], self.edges[g[a] + 1])
-                logs[a:b] -= log_sums(q[a:b], self.words.vectors[members], self.words.bias[members])
+                logs[a:b] -= log_sums(q[a:b], self.words.rows[members])
             out[at] = logs
         return out / np.log(10)
 
 
-def log_sums(q: np.ndarray, vectors: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """The logarithm of each row's sum of exponentials over all vectors."""
-    out = np.zeros(len(q), np.float32)
-    ones = np.ones(len(bias), np.float32)
-    for i in range(0, len(q), PART):
-        s = q[i : i + PART] @ vectors.T
-        s += bias
-        with np.errstate(over="ignore", divide="ignore"):
-            out[i : i + PART] = np.log(np.exp(s) @ ones)
-        if not (np.abs(out[i : i + PART]) < 60).all():  # beyond what exponentials can hold
-            top = s.max(axis=1, keepdims=True)
-            out[i : i + PART] = np.log(np.exp(s - top) @ ones) + top[:, 0]
+def log_sums(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The logarithm of each prediction's sum of exponentials over all rows."""
+    out = np.empty(len(q), np.float32)
+    ones = np.ones(len(rows), np.float32)
+    size = max(16, _CELLS // len(rows))
+    with np.errstate(over="ignore", divide="ignore"):
+        for i in range(0, len(q), size):
+            s = q[i : i + size] @ rows.T
+            np.exp(s, out=s)
+            np.log(s @ ones, out=out[i : i + size])
+    beyond = np.flatnonzero(~(np.abs(out) < 60))  # what exponentials can't hold
+    for i in range(0, len(beyond), size):
+        at = beyond[i : i + size]
+        s = q[at] @ rows.T
+        top = s.max(axis=1, keepdims=True)
+        out[at] = np.log(np.exp(s - top) @ ones) + top[:, 0]
     return out
 
 

@@ -6,6 +6,7 @@ import zlib
 
 import cases
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm import langid, lm
@@ -118,6 +119,52 @@ def test_lm_classes_grow_and_words_share(spark):
     assert [r[0] for r in odd.select(lm.ending_of("word", 64)).collect()] == [lm.ending(x, 64) for x in (b"a", b"ab", b"abc", "\u00e9".encode())]
 
 
+def test_sums_by_place():
+    """One row at most places, many at others; even and odd numbers of columns."""
+    r = np.random.default_rng(4)
+    for width in (5, 6):
+        for place in (np.arange(7)[::-1], np.r_[np.arange(30), r.integers(0, 9, 400)], np.zeros(3, int)):
+            rows = r.normal(size=(len(place), width)).astype(np.float32)
+            want = np.zeros((place.max() + 1, width))
+            np.add.at(want, place, rows)
+            assert lm.sums_by(place, rows, len(want)) == pytest.approx(want, abs=1e-4)
+
+
+def test_contrast_of_both_levels():
+    """Gradients of the log likelihood of telling real from drawn ones, in plain numbers, more tokens than a part holds."""
+    r = np.random.default_rng(6)
+    model = lm.LogBilinear(r.random(53), 6)
+    n, k, levels = lm.PART + 30, 5, []
+    q = np.column_stack([r.normal(size=(n, 6)), np.ones(n)]).astype(np.float32)
+    for level in (model.words, model.groups):
+        level.rows[:] += r.normal(size=level.rows.shape)
+        levels.append((level, r.integers(0, len(level.rows), n), level.draw(r, k)))
+    g_q, found = lm.contrast(q, levels)
+    want_q = np.zeros((n, 6))
+    for (level, t, drawn), rows in zip(levels, found, strict=True):
+        odds = q.astype(float) @ level.rows.T - level.log_noise - np.log(k)
+        real = 1 / (1 + np.exp(-odds))
+        own, others = 1 - real[np.arange(n), t], real[:, drawn]
+        want_q += own[:, None] * level.vectors[t] - others @ level.vectors[drawn]
+        assert rows[:, :7] == pytest.approx(np.vstack([own[:, None] * q, -others.T @ q]), abs=1e-3)
+    assert g_q == pytest.approx(want_q, abs=1e-3)
+
+
+def test_words_and_their_endings():
+    """Endings of one, two and more bytes, ranks, and words that aren't known."""
+    texts = pa.array(["a bb \u00e9 \u00fcber", None, "x" * 40 + " bb c"]).slice(0)
+    distinct = lm.words(texts).distinct
+    assert lm.endings_of(distinct, 64).tolist() == [lm.ending(w, 64) for w in distinct.to_pylist()]
+    assert lm.endings_of(distinct.slice(2), 8).tolist() == [lm.ending(w, 8) for w in distinct.to_pylist()[2:]]
+    assert lm.endings_of(distinct.slice(0, 0), 8).tolist() == []
+    vocab = lm.Vocabulary({b"bb": 0, b"a": 1}, np.array([9, 4, 0]), np.array([0, 1, -1]), np.array([2, 3]), np.array([10.0, 100.0]), 4, np.ones(5), 13, 2)
+    found, n, cls, norm = vocab.codes(texts)
+    by_word = dict(zip(found.distinct.to_pylist(), zip(n.tolist(), cls.tolist(), norm.tolist(), strict=True), strict=True))
+    assert by_word[b"bb"] == (9, 0, 0.0) and by_word[b"a"] == (4, 1, 0.0)
+    e = lm.ending(b"c", 2)
+    assert by_word[b"c"] == (0, 2 + e, 1.0 + e)
+
+
 def test_lm_of_nothing(spark):
     assert lm.score(cases.empty(spark), Scratch(spark, "t")).collect() == []
     held = [(i, "a b", None, None, None) for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 1]
