@@ -5,7 +5,7 @@ import os
 
 from cdclake.operators.merge import merge_state
 from cdclake.sources.change_files import read_changes, table_path, write_change_files
-from cdclake.sources.lake import create_layers, read_state
+from cdclake.sources.lake import apply_changes, create_layers, read_state, scan_silver
 from conftest import rows
 from suite import bindings as b
 from suite import lakes
@@ -52,6 +52,20 @@ def test_a_merge_moves_its_changes_once(spark, lake):
         assert merged.count() == 50
 
 
+def test_small_files_of_a_state_share_a_task(spark, lake):
+    """There is one for every month and bucket; with a task for every few, shuffles get blocks of a few rows."""
+    spec = b.SPECS["payments"]
+    create_layers(lake, [spec])
+    days = [dt.datetime(1990 + i // 12, 1 + i % 12, 1) for i in range(120)]
+    log = [(str(i), "1", "CASH", None, "VND", "SUCCESS", day, day, "c", 1) for i, day in enumerate(days)]
+    apply_changes(lake, changes(spark, log, spec), spec)
+    with lakes.sized_for(spark, lake.state_buckets):
+        statuses = scan_silver(lake, spec).select("payment_status")
+        assert len(statuses.inputFiles()) == 120
+        assert statuses.rdd.getNumPartitions() <= 16
+        assert statuses.count() == 120
+
+
 def test_change_files_without_a_shuffle(spark, tmp_path):
     """As many writers as tasks, though the rows would fit one file; the same rows."""
     log = changes(spark, [(i, f"n{i}", i, "c", i) for i in range(60)]).repartition(3)
